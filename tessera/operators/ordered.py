@@ -5,10 +5,10 @@ task, and ``Window.orderBy(o)`` with no partition moves the whole table
 there.  A hot key (a third of all rows) or a global order would then run on
 one core.  The two helpers below keep the same results with bounded tasks:
 
-* :func:`positions` gives ``row_number() - 1`` per key by range-partitioning
-  on ``(key, order)``: the sampler splits a hot key over many partitions,
-  every partition counts its rows, and a running sum over the small
-  per-partition count table gives each partition its offset.
+* :func:`positions` gives ``row_number() - 1`` per key.  Rows are numbered
+  inside bounded pieces (hash-prefix buckets, or sampled range partitions
+  that split a hot key over many tasks); a running sum over the small
+  per-piece count table gives each piece its offset.
 * :func:`carry` gives the last (or next) non-null value per key in order by
   cutting the order column into fixed-width chunks: a window inside each
   chunk, plus a window over the small per-chunk table for values that come
@@ -21,6 +21,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 
 def _cols(cs) -> list[str]:
     if cs is None:
@@ -31,15 +33,34 @@ def _cols(cs) -> list[str]:
 
 
 def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
-              name: str = "pos", num_partitions: int | None = None) -> DataFrame:
+              name: str = "pos", bucket: Column | None = None,
+              num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of each row within ``partition_cols``
     in ``order_cols`` order (``row_number() over (...) - 1``).
 
     ``order_cols`` must be unique within a partition key, so that the order
     (and therefore the result) is the same on every recomputation.
+
+    With ``bucket`` (a deterministic integer column that never decreases
+    along the order, such as the leading hex digits of a hash key) the rows
+    are numbered inside ``(partition, bucket)`` and shifted by the sizes of
+    the earlier buckets; no data is materialised.  Without it the rows are
+    range-partitioned by a sample of the keys, numbered in partition order
+    and checkpointed to the shared checkpoint folder once, so that both
+    uses of the numbered data see the same partitions.
     """
     part = _cols(partition_cols)
     order = _cols(order_cols)
+    if bucket is not None:
+        b = df.withColumn("_b", bucket)
+        w = Window.partitionBy(*part, "_b").orderBy(*order)
+        b = b.withColumn("_r", F.row_number().over(w) - 1)
+        counts = b.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        wc = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
+        out = b.join(counts, [*part, "_b"])
+        return out.withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint")).drop("_b", "_r", "_off")
+
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in part + order]
@@ -49,6 +70,8 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid", *part).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
     w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

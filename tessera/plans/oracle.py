@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from tessera.functions.text import whitespace_sql_chars
 from tessera.functions.tokens import CLEAN_UP_REPLACEMENTS
-from tessera.plans.queries import CORPUS_LENGTH, PAIR_LENGTH
+from tessera.plans.queries import (
+    BATCH, CORPUS_LENGTH, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE, SEED, WORLD)
 
 WS = whitespace_sql_chars()
 
@@ -30,6 +31,14 @@ F2 = """f2 as (
   join conversations a on a.conv_id=u.conv_id and a.turn=u.turn+1
   where u.role='user' and a.role='assistant')"""
 
+F4 = """f4 as (
+  select user_id%20 as run_id, (event_id%4)::INT as rank, ((event_id//20)%6)::INT as epoch,
+         row_number() over (partition by user_id%20, event_id%4, (event_id//20)%6, event_type='error'
+                            order by event_id)-1 as step,
+         case when event_type='error' then 'val' else 'train' end as phase,
+         value/100 as loss, ts
+  from events)"""
+
 DOC_LINES = f"""doc_lines as (
   select doc_id, grp, split, line_no, text from (
     select doc_id, grp, split, (i - 1)::BIGINT as line_no, trim(p[i], {WS}) as text from (
@@ -129,3 +138,107 @@ ORACLE["corpus_chain_splits"] = f"""with {F1}, {DOC_LINES}
 select case split when 'validation' then 'evaluation' else split end as split,
        count(*) as n_lines, sum(least(strlen(text), {CORPUS_LENGTH}))::BIGINT as n_tokens
 from doc_lines where split in ('train', 'validation') group by 1"""
+
+
+SHUFFLED = f"""s as (
+  select e.epoch::INT as epoch, row_id,
+         row_number() over (partition by e.epoch
+           order by md5(concat_ws(':', '{SEED}', e.epoch::VARCHAR, row_id::VARCHAR)), row_id) - 1 as pos
+  from f2, (select unnest(range({EPOCHS})) as epoch) e)"""
+
+RANKED = f"""c as (select epoch, count(*) as n from s group by epoch),
+x as (select epoch, n, unnest(range(n, ((n + {WORLD} - 1) // {WORLD}) * {WORLD})) as p from c),
+allr as (
+  select epoch, row_id, pos, false as is_padding from s
+  union all
+  select s.epoch, s.row_id, x.p as pos, true as is_padding
+  from x join s on s.epoch = x.epoch and s.pos = (x.p - x.n) % x.n),
+ranked as (
+  select epoch, row_id, pos, is_padding, (pos % {WORLD})::INT as rank, pos // {WORLD} as pos_in_rank,
+         ((pos % {WORLD}) // {DEVICES_PER_NODE})::INT as node_rank, (pos % {WORLD} % {DEVICES_PER_NODE})::INT as local_rank
+  from allr)"""
+
+ORACLE["shuffle_epoch"] = f"""with {F2}, {SHUFFLED}
+select epoch, row_id, pos from s"""
+
+ORACLE["rank_shards"] = f"""with {F2}, {SHUFFLED}, {RANKED}
+select * from ranked"""
+
+ORACLE["rank_batches"] = f"""with {F2}, {SHUFFLED}, {RANKED}
+select epoch, rank, pos_in_rank // {BATCH} as batch_id, count(*) as n_rows,
+       list(row_id order by pos_in_rank) as row_ids
+from ranked group by 1, 2, 3"""
+
+
+def r4(x: str) -> str:
+    return f"round_even(({x})*10000.0::DOUBLE, 0)/10000.0::DOUBLE"
+
+
+def r12(x: str) -> str:
+    return f"round_even(({x})*1000000000000.0::DOUBLE, 0)/1000000000000.0::DOUBLE"
+
+
+def py_float_text(x: str) -> str:
+    d = f"rtrim(({x})::DECIMAL(38,4)::VARCHAR, '0')"
+    return f"(case when ends_with({d}, '.') then {d} || '0' else {d} end)"
+
+
+ORACLE["epoch_loss_by_rank"] = f"""with {F4}
+select run_id, rank, epoch, phase, {r4('avg(loss)')} as avg_loss, count(*) as n_steps
+from f4 group by 1, 2, 3, 4"""
+
+ORACLE["loss_across_ranks"] = f"""with {F4},
+steps as (
+  select run_id, phase, epoch, 'step' as level, step, {r12('avg(loss)')} as mean_loss, count(*) as n
+  from f4 where phase <> 'train' or (step + 1) % {EVERY_N} = 0 group by 1, 2, 3, 5),
+per_rank as (select run_id, phase, epoch, rank, avg(loss) as m from f4 group by 1, 2, 3, 4),
+epochs as (
+  select run_id, phase, epoch, 'epoch' as level, NULL::BIGINT as step, {r12('avg(m)')} as mean_loss, count(*) as n
+  from per_rank group by 1, 2, 3)
+select * from steps union all select * from epochs"""
+
+ORACLE["early_stop"] = f"""with {F4},
+mon as (
+  select run_id, epoch, avg(m) as value
+  from (select run_id, epoch, rank, avg(loss) as m from f4 where phase = 'val' group by 1, 2, 3)
+  group by 1, 2),
+x as (
+  select *, row_number() over (partition by run_id order by epoch) as i,
+         min(case when isfinite(value) then value end) over (partition by run_id order by epoch
+             rows between unbounded preceding and 1 preceding) as prev
+  from mon),
+y as (select *, (isfinite(value) and (prev is null or value < prev)) as imp from x),
+z as (select *, max(case when imp then i end) over (partition by run_id order by epoch
+             rows between unbounded preceding and current row) as last from y),
+st as (select *, (not isfinite(value)) or (i - coalesce(last, 0) >= {PATIENCE}) as stop from z),
+t as (select *, min(case when stop then i end) over (partition by run_id) as si,
+             count(*) over (partition by run_id) as n from st)
+select run_id, max(case when i = si then epoch end) as stop_epoch,
+       arg_max(epoch, case when imp then i end) as best_epoch,
+       {r12('arg_max(value, case when imp then i end)')} as best_value,
+       max(n)::BIGINT as n_epochs
+from t where si is null or i <= si group by run_id"""
+
+ORACLE["checkpoint_names"] = f"""with {F4},
+per as (
+  select run_id, rank, epoch,
+         {r4("avg(case when phase = 'train' then loss end)")} as t,
+         {r4("avg(case when phase = 'val' then loss end)")} as v,
+         count(case when phase = 'train' then 1 end) as nt
+  from f4 group by 1, 2, 3),
+c as (select *, last_value(v ignore nulls) over (partition by run_id, rank order by epoch
+        rows between unbounded preceding and current row) as vc from per)
+select run_id, rank, epoch,
+       'outputs/T5-epoch-' || epoch || '-train-loss-' || {py_float_text('t')}
+       || '-val-loss-' || coalesce({py_float_text('vc')}, 'None') as checkpoint
+from c where nt > 0"""
+
+ORACLE["argmax_accuracy"] = """with f5 as (select vec_id as example_id, embedding as logits, label from embeddings),
+h as (select case when list_position(logits, list_max(logits)) - 1 = label then 1 else 0 end as hit from f5)
+select count(*) as n_examples, sum(hit)::BIGINT as n_correct, avg(hit::DOUBLE) as accuracy from h"""
+
+ORACLE["run_elapsed"] = f"""with {F4},
+r as (select run_id, min(ts) as start_ts, max(ts) as end_ts from f4 group by 1)
+select run_id, start_ts, end_ts, (epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0::DOUBLE as elapsed_sec,
+       printf('%.2f min', ((epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0::DOUBLE) / 60.0::DOUBLE) as elapsed_text
+from r"""

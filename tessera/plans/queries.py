@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.operators.corpus import select_splits, split_lines
 from tessera.operators.encode import decode, encode_causal, encode_pairs
+from tessera.operators.feed import assign_batch, assign_rank, collect_batches, shuffle_position
+from tessera.operators import metrics as m
 from tessera.plans import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +21,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # parameters shared with the oracle SQL
 CORPUS_LENGTH = 512
 PAIR_LENGTH = 256
+EPOCHS = 3
+SEED = 84
+WORLD = 8            # nodes x devices per node
+DEVICES_PER_NODE = 4
+BATCH = 6
+EVERY_N = 10
+PATIENCE = 2
+MAX_EPOCHS = 6
 
 
 def query(fn):
@@ -80,3 +90,56 @@ def corpus_chain_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("n_tokens"))
+
+
+# ---- step 3: feeding ------------------------------------------------------
+
+@query
+def shuffle_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shuffle_position(fx.pairs(spark, sf_dir), epochs=EPOCHS, seed=SEED)
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_rank(shuffle_epoch(spark, sf_dir), world_size=WORLD, devices_per_node=DEVICES_PER_NODE)
+
+
+@query
+def rank_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked(spark, sf_dir)
+
+
+@query
+def rank_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collect_batches(assign_batch(_ranked(spark, sf_dir), BATCH))
+
+
+# ---- step 4: run metrics --------------------------------------------------
+
+@query
+def epoch_loss_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.epoch_loss(fx.step_metrics(spark, sf_dir))
+
+
+@query
+def loss_across_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.loss_across_ranks(fx.step_metrics(spark, sf_dir), every_n=EVERY_N)
+
+
+@query
+def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.early_stop(m.epoch_monitor(fx.step_metrics(spark, sf_dir)), patience=PATIENCE)
+
+
+@query
+def checkpoint_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.checkpoint_names(fx.step_metrics(spark, sf_dir), max_epochs=MAX_EPOCHS)
+
+
+@query
+def argmax_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.argmax_accuracy(fx.logits(spark, sf_dir))
+
+
+@query
+def run_elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.run_elapsed(fx.step_metrics(spark, sf_dir))
