@@ -104,3 +104,28 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(example_id, logits ARRAY<FLOAT>, label INT)``."""
     return read(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("example_id"), F.col("embedding").alias("logits"), "label")
+
+
+def inventory_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory text (``name, bus id, memory``) of every device seen in the
+    F3 log, one line per device and host."""
+    from tessera.operators.telemetry import monitor_fields
+    f = monitor_fields(monitor_log(spark, sf_dir), mode="skip")
+    devs = f.select("source", "device", "gpu_memory_total").distinct()
+    line = F.concat_ws(", ", F.concat(F.lit("GPU "), F.col("source")), F.col("device"),
+                       F.concat(F.col("gpu_memory_total"), F.lit(" MiB")))
+    return devs.select("source", line.alias("line"))
+
+
+def driver_banners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Banner text per F3 host; host2's banner has no version (error row).
+    The version numbers come from the host's line count."""
+    n = monitor_log(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    text = (
+        F.when(F.col("source") == "host2",
+               F.lit("NVIDIA-SMI has failed because it couldn't communicate with the driver."))
+        .otherwise(F.concat(
+            F.lit("| NVIDIA-SMI 470.57.02    Driver Version: 470.57."), (F.col("n") % 100).cast("string"),
+            F.lit("    CUDA Version: 11."), (F.col("n") % 10).cast("string"), F.lit("     |")))
+    )
+    return n.select("source", text.alias("text"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from tessera.functions.text import whitespace_sql_chars
 from tessera.functions.tokens import CLEAN_UP_REPLACEMENTS
 from tessera.plans.queries import (
-    BATCH, CORPUS_LENGTH, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE, SEED, WORLD)
+    BATCH, CORPUS_LENGTH, PROFILE_CHUNK, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE, SEED, WORLD)
 
 WS = whitespace_sql_chars()
 
@@ -39,6 +39,31 @@ F4 = """f4 as (
          value/100 as loss, ts
   from events)"""
 
+def _f3_sql() -> str:
+    return """f3 as (
+  with t as (
+    select 'host'||(user_id%3) as source, event_id, ts, value,
+           row_number() over (partition by user_id%3 order by ts, event_id)-1 as line_no
+    from events)
+  select source, line_no,
+    case
+      when source='host2' and line_no=(select max(line_no) from t t2 where t2.source='host2')
+        then '00000000:00:01.0, 2024/0'
+      when source='host1' and line_no%2=0
+        then concat_ws(', ', '00000000:00:01.0',
+               strftime(ts,'%Y/%m/%d %H:%M:%S')||'.'||lpad((event_id%1000)::varchar,3,'0'),
+               (floor(value)::int%101)::varchar, ((event_id*37)%16160)::varchar, '16160')
+      else concat_ws(', ',
+             '00000000:00:0'||(case when source='host1' then 2 else event_id%2 end)::varchar||'.0',
+             strftime(ts,'%Y/%m/%d %H:%M:%S')||'.'||lpad((event_id%1000)::varchar,3,'0'),
+             (floor(value)::int%101)::varchar, ((event_id*37)%16160)::varchar, '16160',
+             ((event_id*7)%1000/10.0)::varchar, (1000+(event_id*13)%60000)::varchar, '61440')
+    end as line
+  from t)"""
+
+
+F3 = _f3_sql()
+
 DOC_LINES = f"""doc_lines as (
   select doc_id, grp, split, line_no, text from (
     select doc_id, grp, split, (i - 1)::BIGINT as line_no, trim(p[i], {WS}) as text from (
@@ -242,3 +267,81 @@ r as (select run_id, min(ts) as start_ts, max(ts) as end_ts from f4 group by 1)
 select run_id, start_ts, end_ts, (epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0::DOUBLE as elapsed_sec,
        printf('%.2f min', ((epoch_us(end_ts) - epoch_us(start_ts)) / 1000000.0::DOUBLE) / 60.0::DOUBLE) as elapsed_text
 from r"""
+
+
+NUM = ["gpu_utilization", "gpu_memory_used", "gpu_memory_total", "cpu_utilization", "ram_used", "ram_total"]
+TEXT_FIELDS = ["timestamp"] + NUM
+SPLIT3 = f"""p as (select source, line_no, list_transform(string_split(line, ','), lambda x: trim(x, {WS})) as f from f3)"""
+
+
+def _fields(mode: str) -> str:
+    """Text fields per kept line, as ``fields``."""
+    base = "select source, line_no, f[1] as device, split_part(f[2], '.', 1) as timestamp, f[3] as gpu_utilization, f[4] as gpu_memory_used, f[5] as gpu_memory_total"
+    if mode == "strict":
+        return f"""{SPLIT3},
+cut as (select source, min(line_no) as c from p where len(f) <> 8 group by source),
+fields as ({base}, f[6] as cpu_utilization, f[7] as ram_used, f[8] as ram_total
+  from p left join cut using (source) where (c is null or line_no < c) and len(f) = 8)"""
+    if mode == "skip":
+        return f"""{SPLIT3},
+fields as ({base}, f[6] as cpu_utilization, f[7] as ram_used, f[8] as ram_total from p where len(f) = 8)"""
+    return f"""{SPLIT3},
+k as (select *, first_value(case when len(f) = 8 then [f[6], f[7], f[8]] end ignore nulls) over (
+        partition by source order by line_no rows between current row and unbounded following) as host
+      from p where len(f) in (5, 8)),
+fields as ({base}, host[1] as cpu_utilization, host[2] as ram_used, host[3] as ram_total from k)"""
+
+
+def _parsed(mode: str) -> str:
+    nums = ", ".join(f"try_cast({c} as DOUBLE) as {c}" for c in NUM)
+    return f"""{_fields(mode)},
+parsed as (select source, line_no, device, try_strptime(timestamp, '%Y/%m/%d %H:%M:%S') as ts, {nums} from fields)"""
+
+
+for _mode in ("strict", "skip", "backfill"):
+    ORACLE[f"monitor_parse_{_mode}"] = f"""with {F3}, {_parsed(_mode)}
+select * from parsed"""
+
+ORACLE["device_max_report"] = f"""with {F3}, {_parsed('skip')},
+m as (select source, device, max(gpu_utilization) as max_gpu, max(gpu_memory_used) as max_gpu_memory,
+             max(cpu_utilization) as max_cpu, max(ram_used) as max_ram from parsed group by 1, 2)
+select *, printf('%2.1f%%', max_gpu) as max_gpu_text, printf('%dMB', trunc(max_gpu_memory)::BIGINT) as max_gpu_memory_text,
+       printf('%2.1f%%', max_cpu) as max_cpu_text, printf('%dMB', trunc(max_ram)::BIGINT) as max_ram_text
+from m"""
+
+ORACLE["device_percent_series"] = f"""with {F3}, {_parsed('skip')},
+firsts as (select source, device, arg_min(ts, line_no) as first_ts, arg_min(gpu_memory_total, line_no) as fm,
+                  arg_min(ram_total, line_no) as fr from parsed group by 1, 2),
+x as (select p.*, (epoch_us(p.ts) - epoch_us(f.first_ts)) / 1000000.0::DOUBLE as seconds_since_start,
+             100.0::DOUBLE * p.gpu_memory_used / nullif(p.gpu_memory_total, 0) as gpu_memory_pct,
+             100.0::DOUBLE * p.ram_used / nullif(p.ram_total, 0) as ram_pct, f.fm, f.fr
+      from parsed p join firsts f using (source, device))
+select source, device, line_no, ts, seconds_since_start, gpu_utilization, gpu_memory_pct, cpu_utilization, ram_pct,
+       (gpu_memory_pct / 100.0::DOUBLE) * fm as gpu_memory_mb, (ram_pct / 100.0::DOUBLE) * fr as ram_mb
+from x"""
+
+_series = ", ".join(f"'{c}': list({c} order by line_no)" for c in TEXT_FIELDS)
+ORACLE["device_profile_nested"] = f"""with {F3}, {_fields('skip')},
+per_dev as (select source, line_no // {PROFILE_CHUNK} as chunk, device, {{{_series}}} as s
+            from fields group by 1, 2, 3)
+select source, chunk, to_json(map_from_entries(list({{'k': device, 'v': s}} order by device))) as profile_json
+from per_dev group by 1, 2"""
+
+ORACLE["device_inventory"] = f"""with {F3}, {_fields('skip')},
+inv as (select distinct source, device, gpu_memory_total from fields)
+select source, 'GPU ' || source as name, device as device_id, gpu_memory_total || ' MiB' as memory,
+       count(*) over (partition by source) as n_devices
+from inv"""
+
+ORACLE["driver_versions"] = f"""with {F3},
+b as (select source, case when source = 'host2'
+        then 'NVIDIA-SMI has failed because it couldn''t communicate with the driver.'
+        else '| NVIDIA-SMI 470.57.02    Driver Version: 470.57.' || (count(*) % 100) || '    CUDA Version: 11.' || (count(*) % 10) || '     |' end as text
+      from f3 group by source),
+v as (select source, regexp_matches(text, 'Driver Version: (.+?) ') and regexp_matches(text, 'CUDA Version:(.*) ') as ok,
+             trim(regexp_extract(text, 'Driver Version: (.+?) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as d,
+             trim(regexp_extract(text, 'CUDA Version:(.*) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as c
+      from b)
+select source, case when ok then d end as driver_version, case when ok then c end as cuda_version,
+       case when not ok then 'nvidia-smi output is unexpected' end as error
+from v"""

@@ -14,6 +14,7 @@ from tessera.operators.corpus import select_splits, split_lines
 from tessera.operators.encode import decode, encode_causal, encode_pairs
 from tessera.operators.feed import assign_batch, assign_rank, collect_batches, shuffle_position
 from tessera.operators import metrics as m
+from tessera.operators import telemetry as tm
 from tessera.plans import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,7 @@ BATCH = 6
 EVERY_N = 10
 PATIENCE = 2
 MAX_EPOCHS = 6
+PROFILE_CHUNK = 4096
 
 
 def query(fn):
@@ -143,3 +145,46 @@ def argmax_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.run_elapsed(fx.step_metrics(spark, sf_dir))
+
+
+# ---- step 5: device telemetry ---------------------------------------------
+
+@query
+def monitor_parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.parse_monitor(fx.monitor_log(spark, sf_dir), mode="strict")
+
+
+@query
+def monitor_parse_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.parse_monitor(fx.monitor_log(spark, sf_dir), mode="skip")
+
+
+@query
+def monitor_parse_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.parse_monitor(fx.monitor_log(spark, sf_dir), mode="backfill")
+
+
+@query
+def device_max_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.device_report(tm.parse_monitor(fx.monitor_log(spark, sf_dir), mode="skip"))
+
+
+@query
+def device_percent_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.percent_series(tm.parse_monitor(fx.monitor_log(spark, sf_dir), mode="skip"))
+
+
+@query
+def device_profile_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = tm.monitor_fields(fx.monitor_log(spark, sf_dir), mode="skip")
+    return tm.profile_json(tm.profile_nested(fields, chunk=PROFILE_CHUNK))
+
+
+@query
+def device_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.parse_inventory(fx.inventory_lines(spark, sf_dir))
+
+
+@query
+def driver_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.parse_versions(fx.driver_banners(spark, sf_dir))
