@@ -10,7 +10,7 @@ from __future__ import annotations
 from tessera.functions.text import whitespace_sql_chars
 from tessera.functions.tokens import CLEAN_UP_REPLACEMENTS
 from tessera.plans.queries import (
-    BATCH, CORPUS_LENGTH, PROFILE_CHUNK, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE, SEED, WORLD)
+    BATCH, CORPUS_LENGTH, PROFILE_CHUNK, RETURN_SEQUENCES, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE, SEED, WORLD)
 
 WS = whitespace_sql_chars()
 
@@ -345,3 +345,35 @@ v as (select source, regexp_matches(text, 'Driver Version: (.+?) ') and regexp_m
 select source, case when ok then d end as driver_version, case when ok then c end as cuda_version,
        case when not ok then 'nvidia-smi output is unexpected' end as error
 from v"""
+
+
+# ---- step 6: user functions (same results as the native operators) ----------
+ORACLE["batch_mapper"] = ORACLE["corpus_lines_document"]
+ORACLE["user_tokenizer"] = ORACLE["pair_encode"]
+ORACLE["metric_callback"] = ORACLE["argmax_accuracy"]
+ORACLE["batch_generate"] = f"""with {F2}
+select row_id, s.seq_no::INTEGER as seq_no, {cleanup(byte_prefix('source_text', PAIR_LENGTH - 1))} as text
+from f2, (select unnest(range({RETURN_SEQUENCES})) as seq_no) s"""
+
+# ---- step 7 ------------------------------------------------------------------
+ORACLE["csv_roundtrip"] = f"""with {F2}
+select row_id, source_text, target_text from f2"""
+
+ORACLE["prepared_dataset"] = f"""with {F2}, {SHUFFLED}, {RANKED}
+select r.epoch, r.rank, r.pos_in_rank, r.pos_in_rank // {BATCH} as batch_id, r.row_id, r.is_padding,
+       (least(strlen(f2.source_text), {PAIR_LENGTH - 1}) + 1)::INTEGER as source_len
+from ranked r join f2 using (row_id)"""
+
+# ---- step 8: streams equal the batch aggregate when nothing is late ----------
+ORACLE["stream_device_max"] = f"""with {F3}, {_parsed('skip')}
+select time_bucket(interval '10 minutes', ts) as window_start,
+       time_bucket(interval '10 minutes', ts) + interval '10 minutes' as window_end,
+       source, device, max(gpu_utilization) as max_gpu, max(gpu_memory_used) as max_gpu_memory,
+       max(cpu_utilization) as max_cpu, max(ram_used) as max_ram
+from parsed where ts is not null group by 1, 2, 3, 4"""
+
+ORACLE["stream_step_loss"] = f"""with {F4}
+select time_bucket(interval '1 hour', ts) as window_start,
+       time_bucket(interval '1 hour', ts) + interval '1 hour' as window_end,
+       run_id, phase, epoch, {r12('sum(loss) / count(*)')} as mean_loss, count(*) as n
+from f4 group by 1, 2, 3, 4, 5"""

@@ -8,14 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tessera.operators.corpus import select_splits, split_lines
 from tessera.operators.encode import decode, encode_causal, encode_pairs
 from tessera.operators.feed import assign_batch, assign_rank, collect_batches, shuffle_position
 from tessera.operators import metrics as m
 from tessera.operators import telemetry as tm
+from tessera.operators import udf
 from tessera.plans import fixtures as fx
+from tessera.plans import standins
+from tessera.session import staging_path
+from tessera.sources import files
+from tessera.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,6 +36,11 @@ EVERY_N = 10
 PATIENCE = 2
 MAX_EPOCHS = 6
 PROFILE_CHUNK = 4096
+PAIR_ROW_SCHEMA = T.StructType([
+    T.StructField("row_id", T.LongType()),
+    T.StructField("source_text", T.StringType()),
+    T.StructField("target_text", T.StringType()),
+])
 
 
 def query(fn):
@@ -188,3 +198,91 @@ def device_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def driver_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.parse_versions(fx.driver_banners(spark, sf_dir))
+
+
+# ---- step 6: user functions -----------------------------------------------
+
+@query
+def batch_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return udf.map_batches(fx.corpus(spark, sf_dir).select("doc_id", "text"), standins.python_split_lines,
+                           "doc_id long, line_no long, text string")
+
+
+@query
+def user_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enc = udf.encode_with_tokenizer(
+        fx.pairs(spark, sf_dir), standins.ByteTokenizer,
+        {"source_text": PAIR_LENGTH, "target_text": PAIR_LENGTH}, keep=("row_id",),
+        labels={"target_text": "mask_zero"})
+    return enc.select("row_id", "source_text_input_ids", "source_text_attention_mask", "labels",
+                      F.col("target_text_attention_mask").alias("labels_attention_mask"))
+
+
+GENERATE_OPTIONS = dict(max_length=PAIR_LENGTH, num_beams=2, top_k=10, top_p=0.95,
+                        repetition_penalty=2.5, length_penalty=1.0, early_stopping=True)
+RETURN_SEQUENCES = 2
+
+
+@query
+def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return udf.generate(fx.pairs(spark, sf_dir), standins.EchoModel, num_return_sequences=RETURN_SEQUENCES,
+                        **GENERATE_OPTIONS)
+
+
+@query
+def metric_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = udf.metric(fx.logits(spark, sf_dir), standins.accuracy_partial, ["n_examples", "n_correct"],
+                     lambda c: {"accuracy": c["n_correct"] / c["n_examples"]}, cols=["logits", "label"])
+    return out.select(F.col("n_examples").cast("bigint").alias("n_examples"),
+                      F.col("n_correct").cast("bigint").alias("n_correct"), "accuracy")
+
+
+# ---- step 7: staging and the prepared dataset -------------------------------
+
+@query
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "pairs-csv")
+    files.write_pairs_csv(fx.pairs(spark, sf_dir), path)
+    return files.read_pairs_csv(spark, path, schema=PAIR_ROW_SCHEMA)
+
+
+@query
+def prepared_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fx.pairs(spark, sf_dir)
+    encoded = encode_pairs(pairs, source_max_length=PAIR_LENGTH, target_max_length=PAIR_LENGTH)
+    order = assign_batch(assign_rank(shuffle_position(pairs, epochs=EPOCHS, seed=SEED), world_size=WORLD,
+                                     devices_per_node=DEVICES_PER_NODE), BATCH)
+    path = staging_path(spark, "prepared")
+    files.write_prepared(encoded, order.select("epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding"),
+                         path)
+    rows, ordered = files.read_prepared(spark, path)
+    real = F.aggregate("source_text_attention_mask", F.lit(0), lambda a, x: a + x)
+    return ordered.join(rows.select("row_id", real.alias("source_len")), "row_id").select(
+        "epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding", "source_len")
+
+
+# ---- step 8: streams --------------------------------------------------------
+
+STREAM_WINDOW = "10 minutes"
+STEP_WINDOW = "1 hour"
+STREAM_DELAY = "1 hour"
+
+
+@query
+def stream_device_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = staging_path(spark, "monitor-in")
+    fx.monitor_log(spark, sf_dir).write.parquet(src)
+    out, ck = staging_path(spark, "monitor-out"), staging_path(spark, "monitor-ck")
+    lines = spark.readStream.schema(streams.MONITOR_SCHEMA).parquet(src)
+    streams.run_to_table(streams.device_max_stream(lines, STREAM_WINDOW, STREAM_DELAY), out, ck)
+    return streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
+
+
+@query
+def stream_step_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = staging_path(spark, "steps-in")
+    fx.step_metrics(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(src)
+    out, ck = staging_path(spark, "steps-out"), staging_path(spark, "steps-ck")
+    steps = spark.readStream.schema(streams.STEP_SCHEMA).parquet(src)
+    streams.run_to_table(streams.step_loss_stream(steps, STEP_WINDOW, STREAM_DELAY), out, ck)
+    return streams.latest(spark, out, ["window_start", "window_end", "run_id", "phase", "epoch"])

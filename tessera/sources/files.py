@@ -35,7 +35,8 @@ def write_pairs_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header and no index column (what ``to_csv(index=False)``
     writes); quotes and embedded line feeds survive a read with S1."""
     (df.write.mode(mode).option("header", True).option("escape", '"')
-     .option("quoteAll", False).csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def read_split_corpus(spark: SparkSession, path: str, split_col: str = "split") -> DataFrame:
