@@ -81,16 +81,15 @@ def byte_ids(text, max_bytes: int) -> Column:
     """H4 + H6: ids of the first ``max_bytes`` UTF-8 bytes of ``text``.
 
     The cut happens on the binary value, so it may fall inside a multi-byte
-    character exactly as the tokenizer's id truncation does.
+    character exactly as the tokenizer's id truncation does.  The bytes are
+    then read as ISO-8859-1, where every byte is one character with the
+    byte's value as code point, so splitting into characters and taking
+    code points yields the byte values without a per-byte conversion.
     """
     b = F.substring(F.encode(_col(text), "UTF-8"), 1, max_bytes)
-    h = F.hex(b)
-    n = F.octet_length(b)
-    idx = F.slice(F.sequence(F.lit(0), n), 1, n)
-    return F.transform(
-        idx,
-        lambda i: F.conv(h.substr(i * 2 + 1, F.lit(2)), 16, 10).cast("int") + F.lit(BYTE_OFFSET),
-    )
+    chars = F.split(F.decode(b, "ISO-8859-1"), "", -1)
+    ids = F.transform(chars, lambda x: F.ascii(x) + F.lit(BYTE_OFFSET))
+    return F.when(F.octet_length(b) > 0, ids).otherwise(F.array().cast("array<int>"))
 
 
 def encode_text(text, max_length: int, p: str | TokenPreset = "seq2seq") -> dict[str, Column]:
@@ -152,6 +151,12 @@ def decode_ids(ids, skip_special: bool = True, clean_spaces: bool = True) -> Col
     a = _col(ids)
     if skip_special:
         a = F.filter(a, lambda x: (x >= F.lit(BYTE_OFFSET)) & (x < F.lit(BYTE_OFFSET + 256)))
-    hexed = F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x - F.lit(BYTE_OFFSET)), 2, "0")), "")
-    text = F.replace(F.make_valid_utf8(F.unhex(hexed).cast("string")), F.lit("�"), F.lit(""))
+    else:
+        a = F.transform(a, lambda x: F.when((x >= F.lit(BYTE_OFFSET)) & (x < F.lit(BYTE_OFFSET + 256)), x))
+        a = F.filter(a, lambda x: x.isNotNull())
+    # one ISO-8859-1 character per byte, back to bytes, then read as UTF-8;
+    # invalid sequences become U+FFFD and are dropped (errors="ignore")
+    latin1 = F.array_join(F.transform(a, lambda x: F.chr(x - F.lit(BYTE_OFFSET))), "")
+    raw = F.encode(latin1, "ISO-8859-1").cast("string")
+    text = F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
     return clean_up_spaces(text) if clean_spaces else text

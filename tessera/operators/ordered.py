@@ -99,13 +99,14 @@ def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequenc
     fwd = direction == "forward"
     if direction not in ("forward", "backward"):
         raise ValueError("direction must be 'forward' or 'backward'")
-    if fwd:
-        frame = (Window.unboundedPreceding, 0 if inclusive else -1)
-    else:
-        frame = (0 if inclusive else 1, Window.unboundedFollowing)
-    w_in = Window.partitionBy(*part, "_ck").orderBy(order_col).rowsBetween(*frame)
-    pick = F.last if fwd else F.first
-    inside = base.withColumn("_in", pick("_v", ignorenulls=True).over(w_in))
+    # a backward carry is a forward carry in descending order: frames that
+    # end at the current row are computed incrementally, while frames that
+    # run to the end of the partition would be recomputed for every row
+    o = F.col(order_col) if fwd else F.col(order_col).desc()
+    ck_o = F.col("_ck") if fwd else F.col("_ck").desc()
+    frame = (Window.unboundedPreceding, 0 if inclusive else -1)
+    w_in = Window.partitionBy(*part, "_ck").orderBy(o).rowsBetween(*frame)
+    inside = base.withColumn("_in", F.last("_v", ignorenulls=True).over(w_in))
 
     # one row per (key, chunk): the chunk's last (first) non-null value; every
     # chunk with rows needs the value carried from its neighbours, including
@@ -117,11 +118,10 @@ def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequenc
         .agg(edge("_v", F.col(order_col)).alias("_edge"))
     )
     chunks = base.select(*part, "_ck").distinct()
-    frame_ck = (Window.unboundedPreceding, -1) if fwd else (1, Window.unboundedFollowing)
-    w_ck = Window.partitionBy(*part).orderBy("_ck").rowsBetween(*frame_ck)
+    w_ck = Window.partitionBy(*part).orderBy(ck_o).rowsBetween(Window.unboundedPreceding, -1)
     allck = (
         chunks.join(known, [*part, "_ck"], "left")
-        .withColumn("_from", pick("_edge", ignorenulls=True).over(w_ck))
+        .withColumn("_from", F.last("_edge", ignorenulls=True).over(w_ck))
         .select(*part, "_ck", "_from")
     )
     out = inside.join(allck, [*part, "_ck"], "left")
