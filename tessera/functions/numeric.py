@@ -16,6 +16,18 @@ def round_half_even(c, places: int = 4) -> Column:
     return F.rint(_col(c) * F.lit(scale)) / F.lit(scale)
 
 
+def exact_mean_rounded(c, places: int = 4, in_scale: int = 10) -> Column:
+    """Aggregate: the mean of ``c`` rounded half-even to ``places``, computed
+    exactly.  Values are taken at ``in_scale`` decimal places and summed as
+    decimals, so the result does not depend on the order in which partial
+    sums meet (a double sum does, in its last bits, and a mean that lies
+    on a rounding tie would then round either way).  Null values are
+    ignored, as by ``avg``."""
+    x = _col(c).cast(f"decimal(18,{in_scale})")
+    mean = F.sum(x) / F.count(x).cast("decimal(20,0)")
+    return F.bround(mean, places).cast("double")
+
+
 def argmax(c) -> Column:
     """Index of the first maximum of an array (NaN counts as greatest,
     as in numpy)."""

@@ -11,16 +11,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tessera.functions.numeric import argmax, format_minutes, py_float_text, round_half_even
+from tessera.functions.numeric import (
+    argmax, exact_mean_rounded, format_minutes, py_float_text, round_half_even)
 from tessera.operators.ordered import carry
 
 
 def epoch_loss(df: DataFrame, keys: Sequence[str] = ("run_id", "rank", "epoch", "phase"),
                loss: str = "loss") -> DataFrame:
     """A2/A3: unweighted mean of the step losses of one rank and epoch,
-    rounded half-even to 4 places (Q6: every rank has its own value)."""
+    rounded half-even to 4 places (Q6: every rank has its own value).  The
+    mean is exact (see ``exact_mean_rounded``), so a mean on a rounding tie
+    rounds to even whatever the partitioning."""
     return df.groupBy(*keys).agg(
-        round_half_even(F.avg(loss), 4).alias("avg_loss"),
+        exact_mean_rounded(loss, 4).alias("avg_loss"),
         F.count(F.lit(1)).alias("n_steps"))
 
 
@@ -109,8 +112,8 @@ def checkpoint_names(df: DataFrame, output_dir: str = "outputs", prefix: str = "
     ``save_only_last_epoch`` only epoch ``max_epochs - 1`` is kept.
     """
     per = df.groupBy(run, "rank", "epoch").agg(
-        round_half_even(F.avg(F.when(F.col("phase") == "train", F.col("loss"))), 4).alias("_t"),
-        round_half_even(F.avg(F.when(F.col("phase") == "val", F.col("loss"))), 4).alias("_v"),
+        exact_mean_rounded(F.when(F.col("phase") == "train", F.col("loss")), 4).alias("_t"),
+        exact_mean_rounded(F.when(F.col("phase") == "val", F.col("loss")), 4).alias("_v"),
         F.count(F.when(F.col("phase") == "train", 1)).alias("_nt"))
     per = carry(per, "_v", "_vc", [run, "rank"], "epoch", direction="forward", inclusive=True, chunk=1 << 12)
     per = per.where(F.col("_nt") > 0)

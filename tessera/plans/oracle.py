@@ -203,13 +203,25 @@ def r12(x: str) -> str:
     return f"round_even(({x})*1000000000000.0::DOUBLE, 0)/1000000000000.0::DOUBLE"
 
 
+def exact_mean4(x: str) -> str:
+    """Half-even rounding to 4 places of the exact mean of ``x`` taken at 10
+    decimal places, in integer arithmetic (DuckDB divides decimals as
+    doubles)."""
+    num = f"(sum(({x})::DECIMAL(18,10)) * 10000000000)::HUGEINT"
+    den = f"(count(({x})::DECIMAL(18,10)) * 1000000)::HUGEINT"
+    q = f"(abs({num}) // {den})"
+    r = f"(abs({num}) % {den})"
+    k = f"({q} + case when 2 * {r} > {den} or (2 * {r} = {den} and {q} % 2 = 1) then 1 else 0 end)"
+    return f"(sign({num}) * {k})::DOUBLE / 10000.0::DOUBLE"
+
+
 def py_float_text(x: str) -> str:
     d = f"rtrim(({x})::DECIMAL(38,4)::VARCHAR, '0')"
     return f"(case when ends_with({d}, '.') then {d} || '0' else {d} end)"
 
 
 ORACLE["epoch_loss_by_rank"] = f"""with {F4}
-select run_id, rank, epoch, phase, {r4('avg(loss)')} as avg_loss, count(*) as n_steps
+select run_id, rank, epoch, phase, {exact_mean4('loss')} as avg_loss, count(*) as n_steps
 from f4 group by 1, 2, 3, 4"""
 
 ORACLE["loss_across_ranks"] = f"""with {F4},
@@ -247,8 +259,8 @@ from t where si is null or i <= si group by run_id"""
 ORACLE["checkpoint_names"] = f"""with {F4},
 per as (
   select run_id, rank, epoch,
-         {r4("avg(case when phase = 'train' then loss end)")} as t,
-         {r4("avg(case when phase = 'val' then loss end)")} as v,
+         {exact_mean4("case when phase = 'train' then loss end")} as t,
+         {exact_mean4("case when phase = 'val' then loss end")} as v,
          count(case when phase = 'train' then 1 end) as nt
   from f4 group by 1, 2, 3),
 c as (select *, last_value(v ignore nulls) over (partition by run_id, rank order by epoch
