@@ -36,8 +36,8 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
     single line spanning a whole group is, by definition, one output value.)
     """
     if scope == "document":
-        out = df.select(*keep, key_col, F.posexplode(split_lines_col(text_col)).alias("line_no", "_raw"))
-        out = out.withColumn("line_no", F.col("line_no").cast("bigint"))
+        out = df.select(*keep, key_col, *_explode(split_lines_col(text_col), "line_no", "_raw"))
+        out = out.where(F.col("line_no").isNotNull()).withColumn("line_no", F.col("line_no").cast("bigint"))
         return _clean(out, "_raw", text_col)
     if scope != "group":
         raise ValueError(f"unknown scope {scope!r}; use 'document' or 'group'")
@@ -47,25 +47,26 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
     g, o = group_col, order_col
     base = df.select(F.col(g).alias(g), F.col(o).alias(o), split_lines_col(text_col).alias("_parts"))
     base = base.withColumn("_nl", F.size("_parts") - 1)
-    ex = base.select(g, o, "_nl", F.posexplode("_parts").alias("_pos", "_frag"))
+    ex = base.select(g, o, "_nl", *_explode(F.col("_parts"), "_pos", "_frag")).where(F.col("_pos").isNotNull())
 
+    # lines inside one row: complete, never shuffled
     interior = ex.where((F.col("_pos") > 0) & (F.col("_pos") < F.col("_nl"))).select(
         g, F.col(o).alias(key_col), F.col("_pos").cast("bigint").alias("line_no"), F.col("_frag").alias("_raw"))
 
-    # the last piece of a row with a line feed opens a line ...
-    opening = ex.where((F.col("_pos") == F.col("_nl")) & (F.col("_nl") > 0)).select(
-        g, F.col(o).alias("_sd"), F.col("_nl").cast("bigint").alias("_sp"), F.col(o).alias("_o"),
-        F.col("_pos").alias("_p"), "_frag")
-    # ... and the first piece of every row continues the line opened by the
-    # last earlier row with a line feed (none: the group's first line)
-    first = ex.where(F.col("_pos") == 0)
-    brk = F.when(F.col("_nl") > 0, F.struct(F.col(o).alias("d"), F.col("_nl").cast("bigint").alias("p")))
-    first = carry(first, brk, "_start", [g], o, direction="forward", inclusive=False, chunk=chunk)
-    continuing = first.select(g, F.col("_start.d").alias("_sd"), F.col("_start.p").alias("_sp"),
-                              F.col(o).alias("_o"), F.col("_pos").alias("_p"), "_frag")
+    # first and last piece of every row: the last piece of a row with a line
+    # feed opens a line; the first piece of a row continues the line opened
+    # by the nearest earlier opening piece (none: the group's first line)
+    boundary = ex.where((F.col("_pos") == 0) | (F.col("_pos") == F.col("_nl")))
+    opens = (F.col("_pos") == F.col("_nl")) & (F.col("_nl") > 0)
+    brk = F.when(opens, F.struct(F.col(o).alias("d"), F.col("_nl").cast("bigint").alias("p")))
+    boundary = carry(boundary, brk, "_start", [g], [o, "_pos"], direction="forward", inclusive=False, chunk=chunk)
+    keyed = boundary.select(
+        g,
+        F.when(opens, F.col(o)).otherwise(F.col("_start.d")).alias("_sd"),
+        F.when(opens, F.col("_nl").cast("bigint")).otherwise(F.col("_start.p")).alias("_sp"),
+        F.col(o).alias("_o"), F.col("_pos").alias("_p"), "_frag")
     joined = (
-        opening.unionByName(continuing)
-        .groupBy(g, "_sd", "_sp")
+        keyed.groupBy(g, "_sd", "_sp")
         .agg(F.min("_o").alias("_o0"),
              F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_p", "_frag"))),
                                       lambda x: x["_frag"]), "").alias("_raw"))
@@ -75,6 +76,13 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
     return _clean(interior.unionByName(joined), "_raw", text_col)
 
 
+def _explode(arr, pos: str, val: str):
+    """``posexplode_outer``: the inner form makes the optimizer add a
+    ``size(array) > 0`` filter below the projection, which splits every text
+    a second time; null rows (null text) are filtered by the caller."""
+    return [F.posexplode_outer(arr).alias(pos, val)]
+
+
 def select_splits(df: DataFrame, split_col: str = "split",
                   mapping: dict[str, str] | None = None) -> DataFrame:
     """Keep the named splits and rename them; others are dropped.

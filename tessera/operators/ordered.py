@@ -82,47 +82,57 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
 
 
 def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequence[str],
-          order_col: str, direction: str = "forward", inclusive: bool = True,
-          chunk: int = 1 << 16) -> DataFrame:
+          order_col: str | Sequence[str], direction: str = "forward", inclusive: bool = True,
+          chunk: int = 1 << 16, materialize: bool = True) -> DataFrame:
     """Add ``name``: the last non-null ``value`` at or before each row
     (``direction='forward'``) or the first at or after it (``'backward'``),
     within ``partition_cols`` in ``order_col`` order.  With
     ``inclusive=False`` the row itself is not considered.
 
-    ``order_col`` must be an integer column; ``chunk`` is the width of the
-    order ranges that are windowed on their own.
+    ``order_col`` is one column or a list (a lexicographic order); its first
+    column must be an integer and ``chunk`` is the width of the ranges of
+    that column that are windowed on their own.
+
+    The input is read by two branches (the window and the per-chunk table).
+    With ``materialize`` (default) it is checkpointed once to the shared
+    checkpoint folder, so the upstream plan (for example a corpus scan)
+    runs once and survives the loss of executors.
     """
     part = _cols(partition_cols)
+    order = _cols(order_col)
     v = F.col(value) if isinstance(value, str) else value
-    ck = F.floor(F.col(order_col) / F.lit(chunk)).cast("bigint")
-    base = df.withColumn("_v", v).withColumn("_ck", ck)
     fwd = direction == "forward"
     if direction not in ("forward", "backward"):
         raise ValueError("direction must be 'forward' or 'backward'")
+    ck = F.floor(F.col(order[0]) / F.lit(chunk)).cast("bigint")
+    base = df.withColumn("_v", v).withColumn("_ck", ck)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        base = base.checkpoint(eager=True)
     # a backward carry is a forward carry in descending order: frames that
     # end at the current row are computed incrementally, while frames that
     # run to the end of the partition would be recomputed for every row
-    o = F.col(order_col) if fwd else F.col(order_col).desc()
+    o = [F.col(c) if fwd else F.col(c).desc() for c in order]
     ck_o = F.col("_ck") if fwd else F.col("_ck").desc()
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
-    w_in = Window.partitionBy(*part, "_ck").orderBy(o).rowsBetween(*frame)
-    inside = base.withColumn("_in", F.last("_v", ignorenulls=True).over(w_in))
-
-    # one row per (key, chunk): the chunk's last (first) non-null value; every
-    # chunk with rows needs the value carried from its neighbours, including
-    # chunks without a non-null value of their own
-    edge = F.max_by if fwd else F.min_by
-    known = (
-        base.where(F.col("_v").isNotNull())
-        .groupBy(*part, "_ck")
-        .agg(edge("_v", F.col(order_col)).alias("_edge"))
-    )
-    chunks = base.select(*part, "_ck").distinct()
+    w_in = Window.partitionBy(*part, "_ck").orderBy(*o).rowsBetween(*frame)
+    w_all = Window.partitionBy(*part, "_ck").orderBy(*o).rowsBetween(Window.unboundedPreceding, 0)
+    inside = (base.withColumn("_in", F.last("_v", ignorenulls=True).over(w_in))
+              .withColumn("_run", F.last("_v", ignorenulls=True).over(w_all)))
+
+    # one row per (key, chunk): the value the chunk hands on (its last non-null
+    # value in the carry direction), null for chunks without one
+    edge_row = F.struct(*[F.col(c) for c in order], F.col("_run").alias("_h"))
+    pick_edge = F.max if fwd else F.min
+    per_chunk = inside.groupBy(*part, "_ck").agg(pick_edge(edge_row).alias("_edge"))
     w_ck = Window.partitionBy(*part).orderBy(ck_o).rowsBetween(Window.unboundedPreceding, -1)
-    allck = (
-        chunks.join(known, [*part, "_ck"], "left")
-        .withColumn("_from", F.last("_edge", ignorenulls=True).over(w_ck))
-        .select(*part, "_ck", "_from")
-    )
-    out = inside.join(allck, [*part, "_ck"], "left")
-    return out.withColumn(name, F.coalesce(F.col("_in"), F.col("_from"))).drop("_v", "_ck", "_in", "_from")
+    allck = per_chunk.select(*part, "_ck", F.last(F.col("_edge._h"), ignorenulls=True).over(w_ck).alias("_from"))
+    # null-safe keys: a null key is a group of its own, and no inferred
+    # ``isnotnull`` filter is pushed into the right side, whose shuffle then
+    # stays identical to the left side's and is reused instead of repeated
+    right = allck.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(part)],
+                         F.col("_ck").alias("_rck"), "_from")
+    cond = [inside[c].eqNullSafe(right[f"_r{i}"]) for i, c in enumerate(part)]
+    cond.append(inside["_ck"].eqNullSafe(right["_rck"]))
+    out = inside.join(right, cond, "left").drop(*[f"_r{i}" for i in range(len(part))], "_rck")
+    return out.withColumn(name, F.coalesce(F.col("_in"), F.col("_from"))).drop("_v", "_ck", "_in", "_run", "_from")
