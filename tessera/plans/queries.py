@@ -101,7 +101,7 @@ def corpus_chain_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return chain.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("n_tokens"))
+        F.sum(F.size(F.array_remove("attention_mask", 0))).cast("bigint").alias("n_tokens"))
 
 
 # ---- step 3: feeding ------------------------------------------------------
@@ -256,7 +256,7 @@ def prepared_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_prepared(encoded, order.select("epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding"),
                          path)
     rows, ordered = files.read_prepared(spark, path)
-    real = F.aggregate("source_text_attention_mask", F.lit(0), lambda a, x: a + x)
+    real = F.size(F.array_remove("source_text_attention_mask", 0))
     return ordered.join(rows.select("row_id", real.alias("source_len")), "row_id").select(
         "epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding", "source_len")
 

@@ -89,3 +89,18 @@ def test_carry_equals_python(spark, direction, inclusive):
                 vals = [v for _, v in cand if v is not None]
                 want = vals[0] if vals else None
             assert out[(g, o)] == want
+
+
+def test_results_do_not_depend_on_aqe(spark):
+    from tessera.plans.queries import QUERIES
+    from tests.conftest import SF_SMALL
+    names = ["shuffle_epoch", "rank_batches", "corpus_lines_group", "monitor_parse_backfill"]
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    out = {}
+    try:
+        for flag in ("true", "false"):
+            spark.conf.set("spark.sql.adaptive.enabled", flag)
+            out[flag] = [rows(QUERIES[n](spark, SF_SMALL)) for n in names]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert out["true"] == out["false"]

@@ -99,3 +99,30 @@ def test_profile_json_chunks(spark):
     js = sorted((r.chunk, r.profile_json) for r in tm.profile_json(nested).collect())
     assert [c for c, _ in js] == [0, 1, 2]
     assert js[0][1].startswith('{"0000:01.0":{"timestamp":["2024/01/01 00:00:00"')
+
+
+def py_read_monitor(lines):
+    """The strict reader restated: keep lines while they have eight fields."""
+    kept = []
+    for i, line in enumerate(lines):
+        fields = [f.strip() for f in line.split(",")]
+        if len(fields) != 8:
+            break
+        kept.append((i, fields[0], fields[1].split(".")[0]))
+    return kept
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+LINE = st.sampled_from([
+    GOOD.format(s=1), GOOD.format(s=2), "d, 2024/01/01 00:00:03, 1, 2, 3", "",
+    " d2 , 2024/01/01 00:00:04.9 , 1, 2, 3, 4, 5, 6 ", "a,b,c,d,e,f,g,h", "x, y, z, 1, 2, 3, 4, 5, 6"])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(LINE, min_size=0, max_size=12))
+def test_strict_mode_equals_python_reader(spark, lines):
+    if not lines:
+        return
+    got = sorted((r.line_no, r.device, r.timestamp) for r in tm.monitor_fields(log_df(spark, lines), "strict").collect())
+    assert got == py_read_monitor(lines)
