@@ -22,7 +22,8 @@ def shuffle_position(df: DataFrame, epochs: int = 1, seed: int = 84, row_id: str
                      partition_cols: Sequence[str] = (), bucket_digits: int = 3) -> DataFrame:
     """O1 + W4: one row per (row, epoch) with ``pos`` = the row's place in
     that epoch's random order (per value of ``partition_cols``, e.g. a
-    split).  Output ``(*partition_cols, epoch, row_id, pos)``.
+    split).  Output ``(*partition_cols, epoch, row_id, pos, n_rows)``, where
+    ``n_rows`` is the number of rows of that epoch (and split).
 
     The first ``bucket_digits`` hex digits of the md5 key cut every epoch
     into ``16 ** bucket_digits`` equal-sized buckets (uniform by
@@ -36,45 +37,46 @@ def shuffle_position(df: DataFrame, epochs: int = 1, seed: int = 84, row_id: str
         ":", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(row_id).cast("string"))))
     bucket = F.conv(F.substring("_key", 1, bucket_digits), 16, 10).cast("int")
     out = positions(keyed, order_cols=["_key", row_id], partition_cols=[*part, "epoch"], name="pos",
-                    bucket=bucket)
-    return out.select(*part, "epoch", row_id, "pos")
+                    bucket=bucket, total="n_rows")
+    return out.select(*part, "epoch", row_id, "pos", "n_rows")
 
 
 def assign_rank(df: DataFrame, world_size: int, devices_per_node: int | None = None,
                 pad: str = "wrap", row_id: str = "row_id",
-                partition_cols: Sequence[str] = ("epoch",)) -> DataFrame:
+                partition_cols: Sequence[str] = ("epoch",), count_col: str = "n_rows") -> DataFrame:
     """Divide positioned rows over ``world_size`` ranks.
 
     ``rank = pos % world_size``, ``pos_in_rank = pos div world_size``.
     With ``pad='wrap'`` the first rows of the order are repeated so that all
     ranks get the same number of rows (repeated again if there are fewer
-    rows than ranks); the repeats are flagged ``is_padding``.  The padding
-    table has at most ``world_size - 1`` rows per key, so broadcasting it is
-    bounded by the parameters, not by the data.
+    rows than ranks); the repeats are flagged ``is_padding``.  A row at
+    position ``s`` of an epoch with ``n`` rows reappears at ``n + s``,
+    ``2n + s``, ... below the padded total, so the repeats are made by a
+    filter and an ``explode`` of the few rows concerned: no join and no
+    broadcast.  The row count per epoch is read from ``count_col`` (added
+    by :func:`shuffle_position`) or counted when the column is absent.
     """
     if world_size < 1:
         raise ValueError("world_size must be positive")
     part = list(partition_cols)
-    out = df.withColumn("is_padding", F.lit(False))
+    out = df
     if pad == "wrap":
-        counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-        total = F.ceil(F.col("_n") / F.lit(world_size)) * F.lit(world_size)
-        extras = counts.where(total > F.col("_n")).select(
-            *part, "_n", F.explode(F.sequence(F.col("_n"), (total - 1).cast("bigint"))).alias("_p"))
-        extras = extras.withColumn("_src", F.pmod(F.col("_p") - F.col("_n"), F.col("_n")))
-        src = df.select(*[F.col(c).alias(f"_k_{c}") for c in part], *[c for c in df.columns if c not in part])
-        cond = [src[f"_k_{c}"] == extras[c] for c in part] + [src["pos"] == extras["_src"]]
-        padded = (
-            src.join(F.broadcast(extras), cond)
-            .drop("pos", "_n", "_src", *part)
-            .withColumnRenamed("_p", "pos")
-            .select(*[F.col(f"_k_{c}").alias(c) for c in part],
-                    *[c for c in df.columns if c not in part and c != "pos"], "pos")
-            .withColumn("is_padding", F.lit(True))
-        )
-        out = out.unionByName(padded.select(*out.columns))
-    elif pad != "none":
+        if count_col not in df.columns:
+            counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias(count_col))
+            df = df.join(counts, part)
+        n = F.col(count_col)
+        total = F.ceil(n / F.lit(world_size)) * F.lit(world_size)
+        base = df.withColumn("is_padding", F.lit(False))
+        padded = (df.where(F.col("pos") + n < total)
+                  .withColumn("pos", F.explode(F.sequence(F.col("pos") + n, (total - 1).cast("bigint"), n)))
+                  .withColumn("is_padding", F.lit(True)))
+        out = base.unionByName(padded.select(*base.columns))
+    elif pad == "none":
+        out = df.withColumn("is_padding", F.lit(False))
+    else:
         raise ValueError("pad must be 'wrap' or 'none'")
+    if count_col in out.columns:
+        out = out.drop(count_col)
     out = out.withColumn("rank", (F.col("pos") % world_size).cast("int")).withColumn(
         "pos_in_rank", F.expr(f"pos div {world_size}"))
     if devices_per_node:

@@ -34,7 +34,7 @@ def _cols(cs) -> list[str]:
 
 def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
               name: str = "pos", bucket: Column | None = None,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, total: str | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of each row within ``partition_cols``
     in ``order_cols`` order (``row_number() over (...) - 1``).
 
@@ -48,6 +48,9 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
     range-partitioned by a sample of the keys, numbered in partition order
     and checkpointed to the shared checkpoint folder once, so that both
     uses of the numbered data see the same partitions.
+
+    With ``total`` the number of rows of the row's partition key is added
+    as that column (taken from the small count table, no extra pass).
     """
     part = _cols(partition_cols)
     order = _cols(order_cols)
@@ -57,9 +60,12 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
         b = b.withColumn("_r", F.row_number().over(w) - 1)
         counts = b.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
         wc = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
+        counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0)))
+        counts = counts.withColumn("_tot", F.sum("_n").over(Window.partitionBy(*part))).drop("_n")
         out = b.join(counts, [*part, "_b"])
-        return out.withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint")).drop("_b", "_r", "_off")
+        out = out.withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
+        out = out.withColumnRenamed("_tot", total) if total else out.drop("_tot")
+        return out.drop("_b", "_r", "_off")
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -76,9 +82,11 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
     w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    out = ranged.join(counts.select("_pid", *part, "_off", "_mid0"), ["_pid", *part])
-    return out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("bigint")).drop(
-        "_pid", "_mid", "_off", "_mid0")
+    counts = counts.withColumn("_tot", F.sum("_n").over(Window.partitionBy(*part)))
+    out = ranged.join(counts.select("_pid", *part, "_off", "_mid0", "_tot"), ["_pid", *part])
+    out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("bigint"))
+    out = out.withColumnRenamed("_tot", total) if total else out.drop("_tot")
+    return out.drop("_pid", "_mid", "_off", "_mid0")
 
 
 def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequence[str],

@@ -108,11 +108,12 @@ def corpus_chain_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shuffle_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shuffle_position(fx.pairs(spark, sf_dir), epochs=EPOCHS, seed=SEED)
+    return shuffle_position(fx.pairs(spark, sf_dir), epochs=EPOCHS, seed=SEED).drop("n_rows")
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_rank(shuffle_epoch(spark, sf_dir), world_size=WORLD, devices_per_node=DEVICES_PER_NODE)
+    return assign_rank(shuffle_position(fx.pairs(spark, sf_dir), epochs=EPOCHS, seed=SEED),
+                       world_size=WORLD, devices_per_node=DEVICES_PER_NODE)
 
 
 @query
