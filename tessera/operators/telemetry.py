@@ -176,3 +176,22 @@ def parse_versions(banners: DataFrame, source: str = "source", text: str = "text
         F.when(ok, d).alias("driver_version"),
         F.when(ok, c).alias("cuda_version"),
         F.when(~ok, F.lit("nvidia-smi output is unexpected")).alias("error"))
+
+
+def profile_record(versions: DataFrame, inventory: DataFrame, nested: DataFrame) -> DataFrame:
+    """S7 + D13: the profile record as JSON, one per ``(source, chunk)``.
+
+    Without an error the record holds ``error`` (null), the two versions, the
+    device inventory and the chunk's nested profile; with an error it holds
+    only ``error`` and the (null) versions, as the original profiler
+    returns.  ``versions``: :func:`parse_versions`; ``inventory``:
+    :func:`parse_inventory`; ``nested``: :func:`profile_nested`.
+    """
+    devs = inventory.groupBy("source").agg(
+        F.array_sort(F.collect_list(F.struct("name", "device_id", "memory"))).alias("devices"))
+    x = nested.join(versions, "source", "left").join(devs, "source", "left")
+    keep_nulls = {"ignoreNullFields": "false"}
+    full = F.struct("error", "cuda_version", "driver_version", "devices", "profile")
+    short = F.struct("error", "cuda_version", "driver_version")
+    record = F.when(F.col("error").isNull(), F.to_json(full, keep_nulls)).otherwise(F.to_json(short, keep_nulls))
+    return x.select("source", "chunk", record.alias("record_json"))

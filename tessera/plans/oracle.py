@@ -389,3 +389,30 @@ select time_bucket(interval '1 hour', ts) as window_start,
        time_bucket(interval '1 hour', ts) + interval '1 hour' as window_end,
        run_id, phase, epoch, {r12('sum(loss) / count(*)')} as mean_loss, count(*) as n
 from f4 group by 1, 2, 3, 4, 5"""
+
+ORACLE["device_profile_record"] = f"""with {F3}, {_fields('skip')},
+per_dev as (select source, line_no // {PROFILE_CHUNK} as chunk, device, {{{_series}}} as s
+            from fields group by 1, 2, 3),
+nested as (select source, chunk, map_from_entries(list({{'k': device, 'v': s}} order by device)) as profile
+           from per_dev group by 1, 2),
+inv as (select distinct source, device, gpu_memory_total from fields),
+devs as (select source, list({{'name': 'GPU ' || source, 'device_id': device, 'memory': gpu_memory_total || ' MiB'}}
+                             order by 'GPU ' || source, device, gpu_memory_total || ' MiB') as devices
+         from inv group by source),
+b as (select source, case when source = 'host2'
+        then 'NVIDIA-SMI has failed because it couldn''t communicate with the driver.'
+        else '| NVIDIA-SMI 470.57.02    Driver Version: 470.57.' || (count(*) % 100) || '    CUDA Version: 11.' || (count(*) % 10) || '     |' end as text
+      from f3 group by source),
+v as (select source, regexp_matches(text, 'Driver Version: (.+?) ') and regexp_matches(text, 'CUDA Version:(.*) ') as ok,
+             trim(regexp_extract(text, 'Driver Version: (.+?) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as d,
+             trim(regexp_extract(text, 'CUDA Version:(.*) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as c
+      from b),
+ver as (select source, case when ok then d end as driver_version, case when ok then c end as cuda_version,
+               case when not ok then 'nvidia-smi output is unexpected' end as error from v)
+select n.source, n.chunk,
+       case when ver.error is null
+         then to_json({{'error': ver.error, 'cuda_version': ver.cuda_version, 'driver_version': ver.driver_version,
+                        'devices': d.devices, 'profile': n.profile}})
+         else to_json({{'error': ver.error, 'cuda_version': ver.cuda_version, 'driver_version': ver.driver_version}})
+       end as record_json
+from nested n left join ver using (source) left join devs d using (source)"""

@@ -191,6 +191,14 @@ def device_profile_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.profile_json(tm.profile_nested(fields, chunk=PROFILE_CHUNK))
 
 
+@query
+def device_profile_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = tm.monitor_fields(fx.monitor_log(spark, sf_dir), mode="skip")
+    return tm.profile_record(tm.parse_versions(fx.driver_banners(spark, sf_dir)),
+                             tm.parse_inventory(fx.inventory_lines(spark, sf_dir)),
+                             tm.profile_nested(fields, chunk=PROFILE_CHUNK))
+
+
 @query
 def device_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.parse_inventory(fx.inventory_lines(spark, sf_dir))
