@@ -36,6 +36,17 @@ STEP_SCHEMA = T.StructType([
 ])
 
 
+def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S4 as a stream: monitor log files appearing under ``path`` as
+    ``(source, line_no, line)``.  A stream has no global line order, so
+    ``line_no`` is null; the stream form of parsing is ``skip``."""
+    r = spark.readStream.option("lineSep", "\n")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.text(path).select(F.col("_metadata.file_path").alias("source"),
+                               F.lit(None).cast("bigint").alias("line_no"), F.col("value").alias("line"))
+
+
 def device_max_stream(lines: DataFrame, window: str = "10 minutes", delay: str = "1 hour") -> DataFrame:
     """Parse a stream of monitor lines (malformed lines are skipped;
     the strict cut needs the whole log and has no stream form) and keep the

@@ -73,3 +73,22 @@ def test_stream_equals_batch(spark):
          .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "source", "device",
                  "max_gpu", "max_gpu_memory", "max_cpu", "max_ram"))
     assert rows(s, sorted(s.columns)) == rows(b, sorted(s.columns))
+
+
+def test_text_log_stream_equals_batch(spark):
+    from tessera.operators import telemetry as tm
+    d = staging_path(spark, "log-files")
+    os.makedirs(d, exist_ok=True)
+    good = "d{dev}, 2024/01/01 00:{m:02d}:00.5, {g}, 10, 100, 1.5, 20, 40"
+    for f in range(2):
+        with open(os.path.join(d, f"h{f}.log"), "w") as fh:
+            fh.write("\n".join(good.format(dev=f, m=m, g=(m * 7) % 100) for m in range(30)) + "\nbad line\n")
+    out, ck = staging_path(spark, "log-out"), staging_path(spark, "log-ck")
+    streams.run_to_table(streams.device_max_stream(streams.read_text_stream(spark, d), "10 minutes", "1 hour"), out, ck)
+    got = streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
+    batch = tm.parse_monitor(files.read_text_lines(spark, d), mode="skip")
+    want = (batch.groupBy(F.window("ts", "10 minutes").alias("w"), "source", "device")
+            .agg(F.max("gpu_utilization").alias("max_gpu"))
+            .select(F.col("w.start").alias("window_start"), "source", "device", "max_gpu"))
+    assert rows(got, ["window_start", "source", "device", "max_gpu"]) == rows(want)
+    assert len(rows(want)) == 6
