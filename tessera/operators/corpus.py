@@ -19,7 +19,7 @@ def _clean(df: DataFrame, raw: str, out: str) -> DataFrame:
 def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
                 key_col: str = "doc_id", group_col: str | None = None,
                 order_col: str | None = None, keep: Sequence[str] = (),
-                chunk: int = 1 << 16) -> DataFrame:
+                chunk: int = 1 << 16, dense_order: bool = True) -> DataFrame:
     """Split texts into stripped, non-blank, non-heading lines.
 
     ``scope='document'``: every row is split on its own; output
@@ -34,6 +34,9 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
     the joining step, and the "previous row with a line feed" lookup is done
     in bounded chunks, so a hot group does not end up in one task.  (A
     single line spanning a whole group is, by definition, one output value.)
+    Chunks are ranges of ``order_col`` values of width ``chunk``; pass
+    ``dense_order=False`` when the order values are sparse (hashed ids), to
+    chunk by row position instead.
     """
     if scope == "document":
         out = df.select(*keep, key_col, *_explode(split_lines_col(text_col), "line_no", "_raw"))
@@ -59,7 +62,8 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
     boundary = ex.where((F.col("_pos") == 0) | (F.col("_pos") == F.col("_nl")))
     opens = (F.col("_pos") == F.col("_nl")) & (F.col("_nl") > 0)
     brk = F.when(opens, F.struct(F.col(o).alias("d"), F.col("_nl").cast("bigint").alias("p")))
-    boundary = carry(boundary, brk, "_start", [g], [o, "_pos"], direction="forward", inclusive=False, chunk=chunk)
+    boundary = carry(boundary, brk, "_start", [g], [o, "_pos"], direction="forward", inclusive=False,
+                     chunk=chunk, chunk_by="value" if dense_order else "position")
     keyed = boundary.select(
         g,
         F.when(opens, F.col(o)).otherwise(F.col("_start.d")).alias("_sd"),

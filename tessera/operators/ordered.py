@@ -91,7 +91,7 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
 
 def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequence[str],
           order_col: str | Sequence[str], direction: str = "forward", inclusive: bool = True,
-          chunk: int = 1 << 16, materialize: bool = True) -> DataFrame:
+          chunk: int = 1 << 16, materialize: bool = True, chunk_by: str = "value") -> DataFrame:
     """Add ``name``: the last non-null ``value`` at or before each row
     (``direction='forward'``) or the first at or after it (``'backward'``),
     within ``partition_cols`` in ``order_col`` order.  With
@@ -101,6 +101,13 @@ def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequenc
     column must be an integer and ``chunk`` is the width of the ranges of
     that column that are windowed on their own.
 
+    ``chunk_by='value'`` cuts chunks by the value of the first order column
+    (right for dense orders such as line numbers or epochs).  For sparse or
+    clustered orders (hashed ids) use ``chunk_by='position'``: rows are first
+    numbered densely per key (:func:`positions`, range partitions), so every
+    chunk holds exactly ``chunk`` rows and a key of ``n`` rows has
+    ``n / chunk`` chunks whatever its order values look like.
+
     The input is read by two branches (the window and the per-chunk table).
     With ``materialize`` (default) it is checkpointed once to the shared
     checkpoint folder, so the upstream plan (for example a corpus scan)
@@ -112,11 +119,17 @@ def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequenc
     fwd = direction == "forward"
     if direction not in ("forward", "backward"):
         raise ValueError("direction must be 'forward' or 'backward'")
-    ck = F.floor(F.col(order[0]) / F.lit(chunk)).cast("bigint")
-    base = df.withColumn("_v", v).withColumn("_ck", ck)
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        base = base.checkpoint(eager=True)
+    if chunk_by == "value":
+        base = df.withColumn("_v", v).withColumn("_ck", F.floor(F.col(order[0]) / F.lit(chunk)).cast("bigint"))
+        if materialize:
+            ensure_checkpoint_dir(df.sparkSession)
+            base = base.checkpoint(eager=True)
+    elif chunk_by == "position":
+        # positions() range-partitions and checkpoints, so no second copy
+        base = positions(df.withColumn("_v", v), order, part, name="_seq")
+        base = base.withColumn("_ck", F.floor(F.col("_seq") / F.lit(chunk)).cast("bigint")).drop("_seq")
+    else:
+        raise ValueError("chunk_by must be 'value' or 'position'")
     # a backward carry is a forward carry in descending order: frames that
     # end at the current row are computed incrementally, while frames that
     # run to the end of the partition would be recomputed for every row

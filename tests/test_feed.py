@@ -73,10 +73,13 @@ def test_batches_keep_short_last_batch(spark):
 
 @pytest.mark.parametrize("direction", ["forward", "backward"])
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_carry_equals_python(spark, direction, inclusive):
-    data = [(g, i, (i * 7) % 10 if i % 4 == 0 else None) for g in range(2) for i in range(40)]
+@pytest.mark.parametrize("chunk_by", ["value", "position"])
+def test_carry_equals_python(spark, direction, inclusive, chunk_by):
+    data = [(g, i * 1000003 if chunk_by == "position" else i, (i * 7) % 10 if i % 4 == 0 else None)
+            for g in range(2) for i in range(40)]
     df = spark.createDataFrame(data, "g int, o long, v int")
-    out = {(r.g, r.o): r.c for r in carry(df, "v", "c", ["g"], "o", direction, inclusive, chunk=6).collect()}
+    out = {(r.g, r.o): r.c for r in carry(df, "v", "c", ["g"], "o", direction, inclusive, chunk=6,
+                                           chunk_by=chunk_by).collect()}
     for g in range(2):
         seq = [(o, v) for gg, o, v in data if gg == g]
         for idx, (o, _) in enumerate(seq):

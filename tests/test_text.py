@@ -78,3 +78,11 @@ def test_group_scope_is_partition_invariant(spark):
 def test_null_text_rows_are_skipped(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], "doc_id long, text string")
     assert rows(split_lines(df)) == [(2, 0, "a")]
+
+
+def test_group_scope_sparse_order(spark):
+    data = [(i * 7919 + 13, f"g{i % 2}", f"p{i}" + ("\n" if i % 3 == 0 else "")) for i in range(40)]
+    df = spark.createDataFrame(data, "doc_id long, grp string, text string")
+    a = split_lines(df, scope="group", group_col="grp", order_col="doc_id", chunk=4, dense_order=False)
+    b = split_lines(df, scope="group", group_col="grp", order_col="doc_id")
+    assert rows(a) == rows(b)
