@@ -20,6 +20,8 @@ BYTE_PAD = 0
 BYTE_EOS = 1
 BYTE_UNK = 2
 BYTE_OFFSET = 3
+# The text of the special tokens when they are not skipped.
+BYTE_SPECIAL_TEXT = {BYTE_PAD: "<pad>", BYTE_EOS: "</s>", BYTE_UNK: "<unk>"}
 
 # The spacing clean-up applied by ``decode(...,
 # clean_up_tokenization_spaces=True)``, in the order the library applies it.
@@ -146,17 +148,24 @@ def clean_up_spaces(c) -> Column:
 
 
 def decode_ids(ids, skip_special: bool = True, clean_spaces: bool = True) -> Column:
-    """Byte ids back to text.  Special and out-of-range ids are skipped;
-    bytes that do not form valid UTF-8 are dropped (as ``errors='ignore'``)."""
+    """Byte ids back to text.  Special ids are skipped, or written as
+    their token text with ``skip_special=False``; out-of-range ids are
+    skipped; bytes that do not form valid UTF-8 are dropped (as
+    ``errors='ignore'``)."""
     a = _col(ids)
+    in_range = lambda x: (x >= F.lit(BYTE_OFFSET)) & (x < F.lit(BYTE_OFFSET + 256))
     if skip_special:
-        a = F.filter(a, lambda x: (x >= F.lit(BYTE_OFFSET)) & (x < F.lit(BYTE_OFFSET + 256)))
+        a = F.filter(a, in_range)
+        piece = lambda x: F.chr(x - F.lit(BYTE_OFFSET))
     else:
-        a = F.transform(a, lambda x: F.when((x >= F.lit(BYTE_OFFSET)) & (x < F.lit(BYTE_OFFSET + 256)), x))
-        a = F.filter(a, lambda x: x.isNotNull())
+        def piece(x):
+            out = F.when(in_range(x), F.chr(x - F.lit(BYTE_OFFSET)))
+            for i, t in BYTE_SPECIAL_TEXT.items():
+                out = out.when(x == F.lit(i), F.lit(t))
+            return out.otherwise(F.lit(""))
     # one ISO-8859-1 character per byte, back to bytes, then read as UTF-8;
     # invalid sequences become U+FFFD and are dropped (errors="ignore")
-    latin1 = F.array_join(F.transform(a, lambda x: F.chr(x - F.lit(BYTE_OFFSET))), "")
+    latin1 = F.array_join(F.transform(a, piece), "")
     raw = F.encode(latin1, "ISO-8859-1").cast("string")
     text = F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
     return clean_up_spaces(text) if clean_spaces else text

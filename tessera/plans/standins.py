@@ -7,7 +7,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
-from tessera.functions.tokens import BYTE_EOS, BYTE_OFFSET, BYTE_PAD, CLEAN_UP_REPLACEMENTS
+from tessera.functions.tokens import BYTE_EOS, BYTE_OFFSET, BYTE_PAD, BYTE_SPECIAL_TEXT, CLEAN_UP_REPLACEMENTS
 
 
 class ByteTokenizer:
@@ -29,8 +29,13 @@ class ByteTokenizer:
         return {"input_ids": ids, "attention_mask": mask}
 
     def decode(self, ids, skip_special_tokens=True, clean_up_tokenization_spaces=True):
-        data = bytes(int(x) - BYTE_OFFSET for x in ids if BYTE_OFFSET <= int(x) < BYTE_OFFSET + 256)
-        text = data.decode("utf-8", errors="ignore")
+        data = bytearray()
+        for x in map(int, ids):
+            if BYTE_OFFSET <= x < BYTE_OFFSET + 256:
+                data.append(x - BYTE_OFFSET)
+            elif not skip_special_tokens and x in BYTE_SPECIAL_TEXT:
+                data.extend(BYTE_SPECIAL_TEXT[x].encode())
+        text = bytes(data).decode("utf-8", errors="ignore")
         if clean_up_tokenization_spaces:
             for a, b in CLEAN_UP_REPLACEMENTS:
                 text = text.replace(a, b)

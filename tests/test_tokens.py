@@ -90,3 +90,13 @@ def test_decode_equals_python(spark, texts):
 def test_unknown_preset():
     with pytest.raises(ValueError):
         encode_text("t", 4, "nope")
+
+
+def test_decode_keeps_specials_when_asked(spark):
+    tok = ByteTokenizer()
+    df = spark.createDataFrame([(0, "hé .", "x")], "row_id long, source_text string, target_text string")
+    enc = encode_pairs(df, source_max_length=8, target_max_length=8)
+    out = decode(enc, "source_text_input_ids", "d", skip_special=False, clean_spaces=False).collect()[0]
+    ids = tok(["hé ."], max_length=8)["input_ids"][0]
+    assert out.d == tok.decode(ids, skip_special_tokens=False, clean_up_tokenization_spaces=False)
+    assert out.d == "hé .</s><pad><pad>"
