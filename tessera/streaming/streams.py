@@ -6,8 +6,8 @@ watermark are dropped, state older than it is evicted.  They run in
 with the batch id, to a Parquet table; :func:`latest` keeps the newest
 version of each window.  That gives every window (also the ones still open
 when an ``availableNow`` run ends, which ``append`` mode would hold back)
-and stays exactly-once: a replayed batch rewrites the same rows under the
-same batch id, and ``latest`` keeps one of the identical copies.
+and stays exactly-once: a replayed batch overwrites its own folder with
+the same rows.
 """
 
 from __future__ import annotations
@@ -83,7 +83,8 @@ def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, available_now:
     rows with its ``batch_id`` under ``out_path``.  With ``available_now`` the
     call returns once all input present at start has been processed."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(
+        # one folder per batch, overwritten on a replay: idempotent
+        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
             f"{out_path}/batch_id={batch_id}")
 
     w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(sink)
