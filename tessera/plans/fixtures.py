@@ -96,7 +96,10 @@ def step_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit("val")).otherwise(F.lit("train")).alias("phase"),
         (F.col("value") / F.lit(100.0)).alias("loss"),
         "ts", "event_id")
-    e = positions(e, order_cols=["event_id"], partition_cols=["run_id", "rank", "epoch", "phase"], name="step")
+    # event_id is a unique integer: a bucket of 2**16 consecutive ids holds at
+    # most 2**16 rows whatever the key skew, so no sampling is needed
+    e = positions(e, order_cols=["event_id"], partition_cols=["run_id", "rank", "epoch", "phase"], name="step",
+                  bucket=F.expr("event_id div 65536"))
     return e.select("run_id", "rank", "epoch", "step", "phase", "loss", "ts")
 
 
@@ -106,21 +109,21 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("vec_id").alias("example_id"), F.col("embedding").alias("logits"), "label")
 
 
-def inventory_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory_lines(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
     """Inventory text (``name, bus id, memory``) of every device seen in the
     F3 log, one line per device and host."""
     from tessera.operators.telemetry import monitor_fields
-    f = monitor_fields(monitor_log(spark, sf_dir), mode="skip")
+    f = monitor_fields(log if log is not None else monitor_log(spark, sf_dir), mode="skip")
     devs = f.select("source", "device", "gpu_memory_total").distinct()
     line = F.concat_ws(", ", F.concat(F.lit("GPU "), F.col("source")), F.col("device"),
                        F.concat(F.col("gpu_memory_total"), F.lit(" MiB")))
     return devs.select("source", line.alias("line"))
 
 
-def driver_banners(spark: SparkSession, sf_dir: str) -> DataFrame:
+def driver_banners(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
     """Banner text per F3 host; host2's banner has no version (error row).
     The version numbers come from the host's line count."""
-    n = monitor_log(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    n = (log if log is not None else monitor_log(spark, sf_dir)).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     text = (
         F.when(F.col("source") == "host2",
                F.lit("NVIDIA-SMI has failed because it couldn't communicate with the driver."))

@@ -193,9 +193,10 @@ def device_profile_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def device_profile_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = tm.monitor_fields(fx.monitor_log(spark, sf_dir), mode="skip")
-    return tm.profile_record(tm.parse_versions(fx.driver_banners(spark, sf_dir)),
-                             tm.parse_inventory(fx.inventory_lines(spark, sf_dir)),
+    log = fx.monitor_log(spark, sf_dir)
+    fields = tm.monitor_fields(log, mode="skip")
+    return tm.profile_record(tm.parse_versions(fx.driver_banners(spark, sf_dir, log)),
+                             tm.parse_inventory(fx.inventory_lines(spark, sf_dir, log)),
                              tm.profile_nested(fields, chunk=PROFILE_CHUNK))
 
 
