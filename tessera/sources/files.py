@@ -11,24 +11,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-PAIR_SCHEMA = T.StructType([
-    T.StructField("source_text", T.StringType(), True),
-    T.StructField("target_text", T.StringType(), True),
-])
-
-
 def read_pairs_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   extra_columns: Sequence[str] = ()) -> DataFrame:
+                   columns: Sequence[str] = ("source_text", "target_text"),
+                   keep: Sequence[str] = ()) -> DataFrame:
     """CSV with a header line, quoted multi-line fields, ``"`` escapes.
-    Columns other than the schema's are ignored.  A malformed record fails
-    the job (FAILFAST) instead of turning into nulls."""
-    schema = schema or PAIR_SCHEMA
-    if extra_columns:
-        schema = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType(), True) for c in extra_columns])
-    return (spark.read.schema(schema)
-            .option("header", True).option("multiLine", True).option("escape", '"')
-            .option("mode", "FAILFAST").option("enforceSchema", False)
-            .csv(path))
+
+    Without ``schema`` columns are taken by their header names, as strings
+    (no inference pass), and only ``columns`` plus ``keep`` are returned,
+    in that order; any other column of the file is ignored and the order of
+    columns in the file does not matter.  With ``schema`` the file must have
+    exactly those columns.  A malformed record fails the job (FAILFAST)
+    instead of turning into nulls.
+    """
+    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+              .option("mode", "FAILFAST"))
+    if schema is not None:
+        return reader.schema(schema).option("enforceSchema", False).csv(path)
+    df = reader.csv(path)
+    wanted = list(columns) + [c for c in keep if c not in columns]
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"CSV at {path} has no column(s) {missing}; header: {df.columns}")
+    return df.select(*wanted)
 
 
 def write_pairs_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -92,3 +92,16 @@ def test_text_log_stream_equals_batch(spark):
             .select(F.col("w.start").alias("window_start"), "source", "device", "max_gpu"))
     assert rows(got, ["window_start", "source", "device", "max_gpu"]) == rows(want)
     assert len(rows(want)) == 6
+
+
+def test_csv_columns_by_header_name(spark):
+    d = staging_path(spark, "csv-extra")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "train.csv"), "w") as fh:
+        fh.write('id,target_text,note,source_text\n1,"t, one","x","s\n1"\n2,t2,,s2\n')
+    df = files.read_pairs_csv(spark, d, keep=("id",))
+    assert df.columns == ["source_text", "target_text", "id"]
+    assert sorted(tuple(r) for r in df.collect()) == [("s\n1", "t, one", "1"), ("s2", "t2", "2")]
+    import pytest
+    with pytest.raises(ValueError):
+        files.read_pairs_csv(spark, d, columns=("source_text", "missing"))
