@@ -376,6 +376,12 @@ select r.epoch, r.rank, r.pos_in_rank, r.pos_in_rank // {BATCH} as batch_id, r.r
        (least(strlen(f2.source_text), {PAIR_LENGTH - 1}) + 1)::INTEGER as source_len
 from ranked r join f2 using (row_id)"""
 
+ORACLE["split_corpus_source"] = f"""with {F1}
+select doc_id, grp, split, text from f1"""
+
+ORACLE["monitor_text_source"] = f"""with {F3}
+select source, line_no, line from f3"""
+
 # ---- step 8: streams equal the batch aggregate when nothing is late ----------
 ORACLE["stream_device_max"] = f"""with {F3}, {_parsed('skip')}
 select time_bucket(interval '10 minutes', ts) as window_start,

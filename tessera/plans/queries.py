@@ -271,6 +271,24 @@ def prepared_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         "epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding", "source_len")
 
 
+@query
+def split_corpus_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the corpus staged as Parquet folders per split (``split=<name>``)
+    and read back through the named-split source."""
+    path = staging_path(spark, "split-corpus")
+    fx.corpus(spark, sf_dir).write.partitionBy("split").parquet(path)
+    return files.read_split_corpus(spark, path).select("doc_id", "grp", "split", "text")
+
+
+@query
+def monitor_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The F3 log written as text, several files per host, and read
+    back with line numbers counted per host across its files."""
+    path = staging_path(spark, "monitor-text")
+    files.write_text_log(fx.monitor_log(spark, sf_dir), path)
+    return files.read_text_lines(spark, path, source="source")
+
+
 # ---- step 8: streams --------------------------------------------------------
 
 STREAM_WINDOW = "10 minutes"

@@ -56,29 +56,51 @@ def read_split_corpus(spark: SparkSession, path: str, split_col: str = "split")
                            F.col("value").alias("text"))
 
 
-def read_text_lines(spark: SparkSession, path: str, source_col: str = "source") -> DataFrame:
+def read_text_lines(spark: SparkSession, path: str, source_col: str = "source",
+                    source: str | None = None) -> DataFrame:
     """Text files as ``(source, line_no, line)`` with ``line_no`` counted
-    from 0 per file, split on line feed only.
+    from 0 per source, split on line feed only.
+
+    By default every file is a source of its own (``source`` = its path).
+    With ``source`` (a partition column such as the ``source=`` folder of a
+    partitioned write) the files of one source are one log, numbered
+    across its files in file-name order (``part-00000``, ``part-00001``,
+    ... or ``log.000``, ``log.001``, ... of a rotated log).
 
     Big files are split into blocks read by different tasks.  Within a task
     a block's lines arrive in file order, so a line's number is the block's
-    offset (lines in earlier blocks of the file, a running sum over the
-    small per-block count table) plus its index in the block.
+    offset (lines in earlier files and blocks of the source, a running sum
+    over the small per-block count table) plus its index in the block.
     """
+    file = F.col("_metadata.file_path")
     raw = (spark.read.option("lineSep", "\n").text(path)
-           .select(F.col("_metadata.file_path").alias(source_col),
+           .select((F.col(source) if source else file).alias(source_col),
+                   file.alias("_file"),
                    F.col("_metadata.file_block_start").alias("_blk"),
                    F.monotonically_increasing_id().alias("_mid"),
                    F.col("value").alias("line")))
     # both uses of ``raw`` scan the same file splits in the same order, so
     # they assign the same ids; no materialisation is needed
-    blocks = raw.groupBy(source_col, "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
-    w = Window.partitionBy(source_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [source_col, "_file", "_blk"]
+    blocks = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
+    w = Window.partitionBy(source_col).orderBy("_file", "_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    out = raw.join(blocks, [source_col, "_blk"])
+    out = raw.join(blocks, keys)
     return out.select(source_col, (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("line_no"), "line")
 
 
+def write_text_log(log: DataFrame, path: str, source: str = "source", line_no: str = "line_no",
+                   line: str = "line", mode: str = "overwrite") -> None:
+    """Write ``(source, line_no, line)`` as text under ``path/source=<s>/``,
+    the form :func:`read_text_lines` reads back with ``source='source'``.
+
+    Range partitions on ``(source, line_no)`` cut a long log over many
+    tasks; each writes one file of consecutive lines, and file names grow
+    with the range, so file-name order is line order."""
+    (log.repartitionByRange(source, line_no).sortWithinPartitions(source, line_no)
+     .select(source, line).write.mode(mode).partitionBy(source).text(path))
+
+
 def read_banners(spark: SparkSession, path: str) -> DataFrame:
     """One banner text per file (a banner is a few KB), as ``(source,
     text)``."""
@@ -106,12 +128,18 @@ def write_prepared(encoded: DataFrame, order: DataFrame, path: str, row_id: str
     row_id``) is written under ``path/order`` partitioned by epoch and rank,
     sorted by position, so each trainer process reads only its own shard
     and looks rows up by ``row_id``; epochs do not copy the payload.
+
+    Both writes are range-partitioned on the folder keys *plus* a unique
+    order key (``row_id``, ``pos_in_rank``), never hash-partitioned on the
+    folder keys alone: a big split or rank is cut over many tasks, each
+    writing one sorted file, and the file names follow the order.  Rows
+    sorted by ``row_id`` let Parquet min/max statistics prune lookups.
     """
     parts = [split_col] if split_col else []
-    (encoded.repartition(*[F.col(c) for c in parts]) if parts else encoded).write.mode(mode).partitionBy(
-        *parts).parquet(f"{path}/rows")
+    (encoded.repartitionByRange(*parts, row_id).sortWithinPartitions(*parts, row_id)
+     .write.mode(mode).partitionBy(*parts).parquet(f"{path}/rows"))
     keys = parts + ["epoch", "rank"]
-    (order.repartition(*[F.col(c) for c in keys])
+    (order.repartitionByRange(*keys, "pos_in_rank")
      .sortWithinPartitions(*keys, "pos_in_rank")
      .write.mode(mode).partitionBy(*keys).parquet(f"{path}/order"))
 
