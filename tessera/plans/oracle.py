@@ -376,6 +376,10 @@ select r.epoch, r.rank, r.pos_in_rank, r.pos_in_rank // {BATCH} as batch_id, r.r
        (least(strlen(f2.source_text), {PAIR_LENGTH - 1}) + 1)::INTEGER as source_len
 from ranked r join f2 using (row_id)"""
 
+# S5 and S6 read back from files give the same rows as the in-table forms
+ORACLE["inventory_file_source"] = ORACLE["device_inventory"]
+ORACLE["banner_file_source"] = ORACLE["driver_versions"]
+
 ORACLE["split_corpus_source"] = f"""with {F1}
 select doc_id, grp, split, text from f1"""
 

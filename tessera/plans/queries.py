@@ -289,6 +289,24 @@ def monitor_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_text_lines(spark, path, source="source")
 
 
+@query
+def inventory_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + A8 from files: the inventory text of every host captured under
+    ``source=<host>/`` and parsed back."""
+    path = staging_path(spark, "inventory-text")
+    files.write_text_by_source(fx.inventory_lines(spark, sf_dir), path, "line")
+    return tm.parse_inventory(files.read_inventory(spark, path, source="source"))
+
+
+@query
+def banner_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + H12 from files: each host's banner captured as one file and
+    parsed back."""
+    path = staging_path(spark, "banner-text")
+    files.write_text_by_source(fx.driver_banners(spark, sf_dir), path, "text")
+    return tm.parse_versions(files.read_banners(spark, path, source="source"))
+
+
 # ---- step 8: streams --------------------------------------------------------
 
 STREAM_WINDOW = "10 minutes"

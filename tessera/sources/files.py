@@ -101,17 +101,28 @@ def write_text_log(log: DataFrame, path: str, source: str = "source", line_no: s
      .select(source, line).write.mode(mode).partitionBy(source).text(path))
 
 
-def read_banners(spark: SparkSession, path: str) -> DataFrame:
+def read_banners(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
     """One banner text per file (a banner is a few KB), as ``(source,
-    text)``."""
+    text)``.  ``source``: a partition column naming the host (default: the
+    file path)."""
+    src = F.col(source) if source else F.col("_metadata.file_path")
     return spark.read.option("wholetext", True).text(path).select(
-        F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
+        src.alias("source"), F.col("value").alias("text"))
 
 
-def read_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Inventory lines as ``(source, line)``."""
+def read_inventory(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
+    """Inventory lines as ``(source, line)``.  ``source``: a partition
+    column naming the host (default: the file path)."""
+    src = F.col(source) if source else F.col("_metadata.file_path")
     return spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("source"), F.col("value").alias("line"))
+        src.alias("source"), F.col("value").alias("line"))
+
+
+def write_text_by_source(df: DataFrame, path: str, text: str, source: str = "source",
+                         mode: str = "overwrite") -> None:
+    """Write one text column as files under ``path/source=<s>/`` (what a
+    capture of each host's tool output looks like)."""
+    df.select(source, text).write.mode(mode).partitionBy(source).text(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
