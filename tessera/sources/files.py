@@ -43,17 +43,22 @@ def write_pairs_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .csv(path))
 
 
-def read_split_corpus(spark: SparkSession, path: str, split_col: str = "split") -> DataFrame:
-    """S3: a corpus stored as ``path/split=<name>/*.parquet`` (or text files
-    under ``path/<split>/``).  Parquet folders give ``split`` through
-    partition discovery; for text each file becomes one document."""
-    try:
+def read_split_corpus(spark: SparkSession, path: str, split_col: str = "split",
+                      fmt: str = "parquet") -> DataFrame:
+    """S3: a corpus stored as ``path/split=<name>/*.parquet`` (``fmt='parquet'``)
+    or as text files under ``path/<split>/`` (``fmt='text'``).  Parquet
+    folders give ``split`` through partition discovery; for text each file
+    becomes one document ``(path, split, text)``."""
+    if fmt == "parquet":
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - not parquet: fall back to whole text files
-        docs = spark.read.option("wholetext", True).text(f"{path}/*/")
-        parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-        return docs.select(F.col("_metadata.file_path").alias("path"), parent.alias(split_col),
-                           F.col("value").alias("text"))
+    if fmt != "text":
+        raise ValueError("fmt must be 'parquet' or 'text'")
+    # ``wholetext`` must be the argument of ``text()``: that method passes its
+    # own ``wholetext=False`` default, which overrides an earlier ``option``
+    docs = spark.read.text(f"{path}/*/", wholetext=True)
+    parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return docs.select(F.col("_metadata.file_path").alias("path"), parent.alias(split_col),
+                       F.col("value").alias("text"))
 
 
 def read_text_lines(spark: SparkSession, path: str, source_col: str = "source",
@@ -106,7 +111,7 @@ def read_banners(spark: SparkSession, path: str, source: str | None = None) -> D
     text)``.  ``source``: a partition column naming the host (default: the
     file path)."""
     src = F.col(source) if source else F.col("_metadata.file_path")
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         src.alias("source"), F.col("value").alias("text"))
 
 

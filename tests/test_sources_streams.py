@@ -128,3 +128,31 @@ def test_text_log_numbered_across_files(spark):
     assert len(per_host) == 3 and min(per_host) > 1
     back = files.read_text_lines(spark, path, source="source")
     assert rows(back, ["source", "line_no", "line"]) == rows(log, ["source", "line_no", "line"])
+
+
+def test_split_corpus_from_text_folders(spark):
+    """S3, text form: one document per file, the split from its folder."""
+    root = staging_path(spark, "split-text").replace("file:", "")
+    docs = {"train": ["one\ntwo", "three"], "validation": ["four\n"]}
+    for split, texts in docs.items():
+        os.makedirs(f"{root}/{split}")
+        for i, t in enumerate(texts):
+            with open(f"{root}/{split}/doc{i}.txt", "w", encoding="utf-8") as fh:
+                fh.write(t)
+    back = files.read_split_corpus(spark, root, fmt="text")
+    assert rows(back, ["split", "text"]) == sorted(
+        [(s, t) for s, ts in docs.items() for t in ts], key=repr)
+
+
+def test_banner_file_is_one_record(spark):
+    """A captured banner of several lines is one text per file."""
+    from tessera.operators import telemetry as tm
+
+    root = staging_path(spark, "banner-file").replace("file:", "")
+    os.makedirs(f"{root}/source=h0")
+    with open(f"{root}/source=h0/banner.txt", "w", encoding="utf-8") as fh:
+        fh.write("+-----+\n| NVIDIA-SMI 470.57.02    Driver Version: 470.57.02    CUDA Version: 11.4     |\n"
+                 "|-----+\n")
+    b = files.read_banners(spark, root, source="source")
+    v = tm.parse_versions(b).collect()
+    assert len(v) == 1 and (v[0].driver_version, v[0].cuda_version, v[0].error) == ("470.57.02", "11.4", None)
