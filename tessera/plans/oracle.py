@@ -270,6 +270,20 @@ select run_id, rank, epoch,
        || '-val-loss-' || coalesce({py_float_text('vc')}, 'None') as checkpoint
 from c where nt > 0"""
 
+ORACLE["checkpoint_last_epoch"] = f"""with {F4},
+per as (
+  select run_id, rank, epoch,
+         {exact_mean4("case when phase = 'train' then loss end")} as t,
+         {exact_mean4("case when phase = 'val' then loss end")} as v,
+         count(case when phase = 'train' then 1 end) as nt
+  from f4 group by 1, 2, 3),
+c as (select *, last_value(v ignore nulls) over (partition by run_id, rank order by epoch
+        rows between unbounded preceding and current row) as vc from per)
+select run_id, rank, epoch,
+       'outputs/Mistral-epoch-' || epoch || '-train-loss-' || {py_float_text('t')}
+       || '-val-loss-' || coalesce({py_float_text('vc')}, 'None') as checkpoint
+from c where nt > 0 and epoch = {MAX_EPOCHS - 1}"""
+
 ORACLE["argmax_accuracy"] = """with f5 as (select vec_id as example_id, embedding as logits, label from embeddings),
 h as (select case when list_position(logits, list_max(logits)) - 1 = label then 1 else 0 end as hit from f5)
 select count(*) as n_examples, sum(hit)::BIGINT as n_correct, avg(hit::DOUBLE) as accuracy from h"""

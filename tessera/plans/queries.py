@@ -148,6 +148,14 @@ def checkpoint_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.checkpoint_names(fx.step_metrics(spark, sf_dir), max_epochs=MAX_EPOCHS)
 
 
+@query
+def checkpoint_last_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H21 + P8: only the last epoch's checkpoint is kept, with the causal
+    pipeline's name prefix."""
+    return m.checkpoint_names(fx.step_metrics(spark, sf_dir), prefix="Mistral", max_epochs=MAX_EPOCHS,
+                              save_only_last_epoch=True)
+
+
 @query
 def argmax_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.argmax_accuracy(fx.logits(spark, sf_dir))

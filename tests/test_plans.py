@@ -8,7 +8,7 @@ from tests.conftest import SF_SMALL
 
 NATIVE = ["corpus_lines_document", "corpus_lines_group", "causal_encode", "pair_encode", "pair_encode_left",
           "decode_roundtrip", "corpus_chain_splits", "shuffle_epoch", "rank_shards", "rank_batches",
-          "epoch_loss_by_rank", "loss_across_ranks", "early_stop", "checkpoint_names", "argmax_accuracy",
+          "epoch_loss_by_rank", "loss_across_ranks", "early_stop", "checkpoint_names", "checkpoint_last_epoch", "argmax_accuracy",
           "run_elapsed", "monitor_parse_strict", "monitor_parse_skip", "monitor_parse_backfill",
           "device_max_report", "device_percent_series", "device_profile_nested", "device_profile_record",
           "device_inventory",
