@@ -145,14 +145,16 @@ def write_prepared(encoded: DataFrame, order: DataFrame, path: str, row_id: str
     sorted by position, so each trainer process reads only its own shard
     and looks rows up by ``row_id``; epochs do not copy the payload.
 
-    Both writes are range-partitioned on the folder keys *plus* a unique
-    order key (``row_id``, ``pos_in_rank``), never hash-partitioned on the
-    folder keys alone: a big split or rank is cut over many tasks, each
-    writing one sorted file, and the file names follow the order.  Rows
-    sorted by ``row_id`` let Parquet min/max statistics prune lookups.
+    Neither write puts a folder in one task.  The payload is not shuffled
+    at all: every task writes its rows into the split folders it holds,
+    sorted by ``row_id`` (the partitioned writer sorts by split anyway), so
+    Parquet min/max statistics prune lookups.  The small key index is
+    range-partitioned on the folder keys *plus* ``pos_in_rank``, never
+    hash-partitioned on the folder keys alone: a big rank is cut over many
+    tasks, each writing one sorted file, and the file names follow the order.
     """
     parts = [split_col] if split_col else []
-    (encoded.repartitionByRange(*parts, row_id).sortWithinPartitions(*parts, row_id)
+    (encoded.sortWithinPartitions(*parts, row_id)
      .write.mode(mode).partitionBy(*parts).parquet(f"{path}/rows"))
     keys = parts + ["epoch", "rank"]
     (order.repartitionByRange(*keys, "pos_in_rank")
