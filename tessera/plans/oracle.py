@@ -408,6 +408,9 @@ select time_bucket(interval '10 minutes', ts) as window_start,
        max(cpu_utilization) as max_cpu, max(ram_used) as max_ram
 from parsed where ts is not null group by 1, 2, 3, 4"""
 
+# the same windows whether the log arrives as Parquet rows or as text files
+ORACLE["stream_text_device_max"] = ORACLE["stream_device_max"]
+
 ORACLE["stream_step_loss"] = f"""with {F4}
 select time_bucket(interval '1 hour', ts) as window_start,
        time_bucket(interval '1 hour', ts) + interval '1 hour' as window_end,

@@ -332,6 +332,18 @@ def stream_device_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
 
 
+@query
+def stream_text_device_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 stream form + T1: the F3 log arriving as text files per host
+    (``source=<host>/``), parsed and maximised per tumbling window."""
+    src = staging_path(spark, "monitor-text-in")
+    files.write_text_log(fx.monitor_log(spark, sf_dir), src)
+    out, ck = staging_path(spark, "monitor-text-out"), staging_path(spark, "monitor-text-ck")
+    lines = streams.read_text_stream(spark, src, source_key="source")
+    streams.run_to_table(streams.device_max_stream(lines, STREAM_WINDOW, STREAM_DELAY), out, ck)
+    return streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
+
+
 @query
 def stream_step_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = staging_path(spark, "steps-in")

@@ -36,14 +36,21 @@ STEP_SCHEMA = T.StructType([
 ])
 
 
-def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                     source_key: str | None = None) -> DataFrame:
     """S4 as a stream: monitor log files appearing under ``path`` as
     ``(source, line_no, line)``.  A stream has no global line order, so
-    ``line_no`` is null; the stream form of parsing is ``skip``."""
+    ``line_no`` is null; the stream form of parsing is ``skip``.
+
+    ``source`` is the file path, or with ``source_key`` the value of the
+    ``<source_key>=<value>`` folder the file sits in (the layout
+    :func:`tessera.sources.files.write_text_log` writes)."""
     r = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.text(path).select(F.col("_metadata.file_path").alias("source"),
+    file = F.col("_metadata.file_path")
+    src = F.regexp_extract(file, f"{source_key}=([^/]+)/", 1) if source_key else file
+    return r.text(path).select(src.alias("source"),
                                F.lit(None).cast("bigint").alias("line_no"), F.col("value").alias("line"))
 
 
