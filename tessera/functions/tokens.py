@@ -94,6 +94,12 @@ def byte_ids(text, max_bytes: int) -> Column:
     return F.when(F.octet_length(b) > 0, ids).otherwise(F.array().cast("array<int>"))
 
 
+def byte_count(text, max_bytes: int) -> Column:
+    """``size(byte_ids(text, max_bytes))`` without building the array: the
+    byte length of the cut text (0 for an empty or null text)."""
+    return F.coalesce(F.octet_length(F.substring(F.encode(_col(text), "UTF-8"), 1, max_bytes)), F.lit(0))
+
+
 def encode_text(text, max_length: int, p: str | TokenPreset = "seq2seq") -> dict[str, Column]:
     """H4-H11 for one text column: ``input_ids``, ``attention_mask`` and
     ``labels``, each an ``ARRAY<INT>`` of exactly ``max_length``.
@@ -113,7 +119,9 @@ def encode_text(text, max_length: int, p: str | TokenPreset = "seq2seq") -> dict
     if p.eos is not None:
         parts.append(F.array(F.lit(p.eos)))
     real = F.concat(*parts) if len(parts) > 1 else parts[0]
-    k = F.size(real)
+    # the real length from the byte count, not from ``size(real)``: a mask
+    # (or a token count) then never builds the id array
+    k = byte_count(text, budget) + F.lit(p.n_special)
     fill = F.lit(max_length) - k
 
     def pad_with(value) -> Column:
