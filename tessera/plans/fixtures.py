@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.operators.ordered import positions
 from tessera.session import table_path
+from tessera.sources.files import spread_narrow_scan
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +21,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, grp, split, text)``; each text gets a heading line,
     blank lines, a CRLF with NBSP, or a fullwidth-colon line by ``doc_id % 5``."""
-    d = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    # line splitting and encoding are per-row CPU work: a corpus read in
+    # fewer partitions than cores is spread first (never at scale)
+    d = spread_narrow_scan(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
     doc = F.col("doc_id")
     sid = doc.cast("string")
     m5 = doc % 5
