@@ -443,3 +443,6 @@ select n.source, n.chunk,
          else to_json({{'error': ver.error, 'cuda_version': ver.cuda_version, 'driver_version': ver.driver_version}})
        end as record_json
 from nested n left join ver using (source) left join devs d using (source)"""
+
+# The JSON sink reads back to the same records
+ORACLE["profile_json_sink"] = ORACLE["device_profile_record"]

@@ -208,6 +208,15 @@ def device_profile_record(spark: SparkSession, sf_dir: str) -> DataFrame:
                              tm.profile_nested(fields, chunk=PROFILE_CHUNK))
 
 
+@query
+def profile_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile records written through the JSON sink and read back
+    with an explicit schema (no inference pass)."""
+    path = staging_path(spark, "profile-json")
+    files.write_json(device_profile_record(spark, sf_dir), path)
+    return spark.read.schema("source string, chunk long, record_json string").json(path)
+
+
 @query
 def device_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.parse_inventory(fx.inventory_lines(spark, sf_dir))
