@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
-from tessera.llm import minhash
-from tessera.llm.common import table
+from pyspark.sql import functions as F
+
+from tessera.llm import minhash, mixing
+from tessera.llm.common import staged, table
+
+
+def op1_splitting_tree(spark, sf_dir):
+    """Mix of all documents: sources weigh 1, 2, 3 in turn, three passes at most."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    mixed = mixing.mix(staged(docs, "words"), size=F.col("words"))
+    shards = F.transform("draws", lambda d: d["shard"]).alias("shards")
+    return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", shards)
 
 
 def op3_hyperminhash(spark, sf_dir):
@@ -12,6 +23,7 @@ def op3_hyperminhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_splitting_tree": op1_splitting_tree,
     "op3_hyperminhash": op3_hyperminhash,
 }
 
