@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import minhash, mixing
+from tessera.llm import minhash, mixing, packing, quality
 from tessera.llm.common import staged, table
 
 
@@ -22,9 +22,23 @@ def op3_hyperminhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op5_hilbert_packing(spark, sf_dir):
+    """All documents packed into sequences of 1024 ids along the Hilbert curve."""
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_bradley_terry(spark, sf_dir):
+    """Quality scores of all documents from pairwise ranking."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_splitting_tree": op1_splitting_tree,
     "op3_hyperminhash": op3_hyperminhash,
+    "op5_hilbert_packing": op5_hilbert_packing,
+    "op6_bradley_terry": op6_bradley_terry,
 }
 
 ORACLE: dict[str, str] = {}
