@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import minhash, mixing, packing, quality
+from tessera.llm import extract, minhash, mixing, packing, quality, secrets
 from tessera.llm.common import staged, table
 
 
@@ -34,11 +34,23 @@ def op6_bradley_terry(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minimum_cut(spark, sf_dir):
+    """Main text of all pages."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_zstd_novelty(spark, sf_dir):
+    """Secret spans in all documents."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_splitting_tree": op1_splitting_tree,
     "op3_hyperminhash": op3_hyperminhash,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op6_bradley_terry": op6_bradley_terry,
+    "op8_minimum_cut": op8_minimum_cut,
+    "op10_zstd_novelty": op10_zstd_novelty,
 }
 
 ORACLE: dict[str, str] = {}
