@@ -11,7 +11,7 @@ from __future__ import annotations
 import atexit
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.session import staging_path, table_path
 
@@ -52,6 +52,11 @@ def remove_staged() -> None:
             return
 
 
+def word_count(text: Column) -> Column:
+    """Words of a text; a null text has none."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its counted ``rows`` are within ``limit``;
     beyond that it stays a shuffled join side."""

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.llm.common import WORD, small, staged
+from tessera.llm.common import small, staged, word_count
 from tessera.operators.ordered import positions
 
 COHORTS = 1024
@@ -30,10 +30,6 @@ GROUP = 4096
 SALTS = 32
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
-
-
 def cycled_weights(sources: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
     """Add ``ix`` and ``weight`` to ``(source, ...)``: the rank by code point order
     of the source, null last, and the weights in turn."""

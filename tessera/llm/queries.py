@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import extract, minhash, mixing, packing, quality, secrets
-from tessera.llm.common import staged, table
+from tessera.llm import extract, lines, minhash, mixing, packing, quality, secrets
+from tessera.llm.common import staged, table, word_count
 
 
 def op1_splitting_tree(spark, sf_dir):
     """Mix of all documents: sources weigh 1, 2, 3 in turn, three passes at most."""
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+        "doc_id", "source", word_count(F.col("text")).alias("words"))
     mixed = mixing.mix(staged(docs, "words"), size=F.col("words"))
     shards = F.transform("draws", lambda d: d["shard"]).alias("shards")
     return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", shards)
@@ -39,6 +39,13 @@ def op8_minimum_cut(spark, sf_dir):
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_line_chunks(spark, sf_dir):
+    """All documents without the chunks of lines that an earlier one has."""
+    out = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.col("_removed_lines").cast("bigint").alias("removed_lines"),
+                      F.col("_removed_words").alias("removed_words"))
+
+
 def op10_zstd_novelty(spark, sf_dir):
     """Secret spans in all documents."""
     return secrets.scan(table(spark, sf_dir, "documents"))
@@ -50,6 +57,7 @@ QUERIES = {
     "op5_hilbert_packing": op5_hilbert_packing,
     "op6_bradley_terry": op6_bradley_terry,
     "op8_minimum_cut": op8_minimum_cut,
+    "op9_line_chunks": op9_line_chunks,
     "op10_zstd_novelty": op10_zstd_novelty,
 }
 
