@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import extract, lines, minhash, mixing, packing, quality, secrets
+from tessera.llm import extract, lines, minhash, mixing, packing, quality, secrets, weighted
 from tessera.llm.common import staged, table, word_count
 
 
@@ -34,6 +34,11 @@ def op6_bradley_terry(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_weighted_sampling(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return weighted.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_minimum_cut(spark, sf_dir):
     """Main text of all pages."""
     return extract.extract(table(spark, sf_dir, "pages"))
@@ -56,6 +61,7 @@ QUERIES = {
     "op3_hyperminhash": op3_hyperminhash,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op6_bradley_terry": op6_bradley_terry,
+    "op7_weighted_sampling": op7_weighted_sampling,
     "op8_minimum_cut": op8_minimum_cut,
     "op9_line_chunks": op9_line_chunks,
     "op10_zstd_novelty": op10_zstd_novelty,
