@@ -10,10 +10,13 @@ Jaccard estimate discards hopeless ones; the rest is confirmed on full sets.
 
 Large groups never expand to all pairs.  Texts with equal sets are one class.
 In every band bucket the members are first compared with one hub, the member
-with the smallest hash of its id, which tends to be the same hub in all bands.
-Members that this has not joined to the bucket's largest component are then
-compared with the members of other components of their buckets: pairs inside
-one component cannot change the result, so leaving them out loses no link.
+with most companions over all bands: the text that the copies were made from
+rather than one of the copies.  Members that this has not joined to the
+bucket's largest component are then compared with the members of other
+components of their buckets: pairs inside one component cannot change the
+result, so leaving them out loses no link.  A shingle that no other of these
+documents has is in no intersection, so the counts of such shingles bound a
+pair's similarity; what the bound rules out is not paired at all.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from tessera.llm.common import components, runs, small, staged
 #: probability (1 - 0.8 ** 6) ** 48 < 5e-7.
 BANDS, ROWS = 48, 6
 MANTISSA_BITS = 10
+#: Members, and shingles, of a block in the comparison between components.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -173,6 +178,65 @@ def _confirmed(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, words: int, p
     return likely.join(xa, "a").join(xb, "b").where(100 * both >= percent * union).select("a", "b")
 
 
+def _mixed(at: DataFrame) -> DataFrame:
+    """``(key, main)`` of the buckets with members of several components; ``main``
+    is the component with most members."""
+    sizes = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("members"))
+    return sizes.groupBy("key").agg(
+        F.max(F.struct("members", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")
+    ).where("comps > 1").select("key", "main")
+
+
+def _unique_counts(sets: DataFrame) -> DataFrame:
+    """``(rep, u)``: how many shingles of a document none of the others has."""
+    shingles = sets.select("doc_id", F.explode("shingles").alias("s"))
+    alone = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("rep")).where("df = 1")
+    return alone.groupBy("rep").agg(F.count(F.lit(1)).alias("u"))
+
+
+def _links_between(at: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join different components of a bucket, from members
+    ``(key, rep, n, comp, main)`` and their full sets.
+
+    A bucket is cut into blocks of ``BLOCK`` members and every pair of blocks
+    is one task's group, so no group grows with the bucket.  Inside a group a
+    member outside the main component is compared with all members of other
+    components at once; links within a component found so far are left out.
+    """
+    sizes = at.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK),
+                                             F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    own = at.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    dealt = dealt.select("key", "rep", "n", "comp", "main", "own",
+                         F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    dealt = dealt.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        rep, comp = rows["rep"].to_numpy(), rows["comp"].to_numpy().copy()
+        block, main = rows["own"].to_numpy(), rows["main"].iloc[0]
+        lengths = np.array([len(x) for x in rows["shingles"]])
+        _, flat = np.unique(np.concatenate(rows["shingles"].to_list()), return_inverse=True)
+        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        across = rows["x"].iloc[0] != rows["y"].iloc[0]
+        marked = np.zeros(flat.max() + 1, bool)
+        out = []
+        for i in np.flatnonzero(comp != main):
+            mine = flat[starts[i] : starts[i] + lengths[i]]
+            marked[mine] = True
+            both = np.add.reduceat(marked[flat], starts)
+            marked[mine] = False
+            near = 100 * both >= percent * (lengths + lengths[i] - both)
+            if across:
+                near &= block != block[i]
+            for j in np.flatnonzero(near & (comp != comp[i])):
+                if comp[j] != comp[i]:
+                    out.append((rep[i], rep[j]))
+                    comp[comp == max(comp[i], comp[j])] = min(comp[i], comp[j])
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return dealt.groupBy("key", "x", "y").applyInPandas(work, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Group documents ``(doc_id, text, ...)`` whose shingle sets have a Jaccard
@@ -195,28 +259,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
 
     width = 2 * rows
     band = F.expr(f"transform(sequence(0, {bands - 1}), j -> xxhash64(j, substring(sig, j * {width} + 1, {width})))")
-    keys = classes.select("rep", F.explode(band).alias("key"))
-    hub = F.min(F.struct(F.xxhash64("rep").alias("h"), "rep"))["rep"]
-    hubs = keys.groupBy("key").agg(hub.alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = staged(keys.join(hubs.select("key", "hub"), "key"), "members")
-
-    stars = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    keys = classes.select("rep", "n", F.explode(band).alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = staged(keys.join(shared, "key"), "members")
+    degrees = members.groupBy("rep").agg(F.sum("size").alias("degree"))
+    hub = F.max(F.struct("degree", F.xxhash64("rep").alias("h"), "rep"))["rep"]
+    hubs = members.join(degrees, "rep").groupBy("key").agg(hub.alias("hub"))
+
+    stars = members.join(hubs, "key").where("rep <> hub").select(
+        F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     links = staged(_confirmed(stars, sigs, docs, words, percent, registers), "links")
     comps = staged(components(links), "components")
 
-    # buckets that still hold several components
-    at = members.select("key", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp"))
-    sizes = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    at = staged(at.join(mixed.select("key", "main"), "key"), "mixed")
-    x = at.where("comp <> main").select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    y = at.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), "main")
-    rest = (x.join(y, "key").where((F.col("ca") != F.col("cb"))
-                                   & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = _confirmed(rest, sigs, docs, words, percent, registers)
+    # buckets that still hold several components, without the members that
+    # cannot be linked with anything there
+    at = members.join(comps, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+    at = staged(at.join(_mixed(at), "key"), "mixed").drop("main")
+    ids = staged(at.select(F.col("rep").alias("doc_id")).distinct(), "mixed-ids")
+    sets = staged(full_sets(docs, ids, words), "mixed-sets")
+    at = at.join(_unique_counts(sets), "rep", "left").withColumn("c", F.col("n") - F.coalesce("u", F.lit(0)))
+    least = at.groupBy("key").agg(F.min("n").alias("n_min"))
+    room = F.col("n") + F.greatest("n_min", "c") - F.col("c")
+    at = staged(at.join(least, "key").where(100 * F.col("c") >= percent * room).select("key", "rep", "n", "comp"), "mixed")
+    more = _links_between(at.join(_mixed(at), "key"), sets, percent)
 
     edges = links.unionByName(more)
     again = staged(real.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"),

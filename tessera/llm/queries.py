@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import extract, lines, minhash, mixing, packing, quality, secrets, weighted
+from tessera.llm import extract, lines, minhash, mixing, neighbours, packing, quality, secrets, urls, weighted
 from tessera.llm.common import staged, table, word_count
 
 
@@ -17,11 +17,26 @@ def op1_splitting_tree(spark, sf_dir):
     return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", shards)
 
 
+#: The rules of op2, and host labels blocked where no rule fits.
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+BLOCKED_LABELS = ("casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def op2_bloom_cascade(spark, sf_dir):
+    """Verdicts on the urls of all pages."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_LABELS)
+
+
 def op3_hyperminhash(spark, sf_dir):
     """Near-duplicate groups over four-word shingles at similarity 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op4_pruned_graph(spark, sf_dir):
+    """Near-duplicate vectors of each label at cosine 0.98."""
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_hilbert_packing(spark, sf_dir):
     """All documents packed into sequences of 1024 ids along the Hilbert curve."""
     import public_tokenizers
@@ -58,7 +73,9 @@ def op10_zstd_novelty(spark, sf_dir):
 
 QUERIES = {
     "op1_splitting_tree": op1_splitting_tree,
+    "op2_bloom_cascade": op2_bloom_cascade,
     "op3_hyperminhash": op3_hyperminhash,
+    "op4_pruned_graph": op4_pruned_graph,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op6_bradley_terry": op6_bradley_terry,
     "op7_weighted_sampling": op7_weighted_sampling,
@@ -67,4 +84,23 @@ QUERIES = {
     "op10_zstd_novelty": op10_zstd_novelty,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_bloom_cascade": """
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM u),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN list_has_any(string_split(host, '.'), ['casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM r""",
+}
