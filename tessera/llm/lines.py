@@ -104,11 +104,11 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, counts: bool = False) -> DataFrame:
     """``docs (doc_id, text, ...)`` without repeated chunks of lines.
 
-    Returns the input's columns with ``text`` shortened, and in addition
-    ``_removed_lines`` and ``_removed_words``.  Every row stays, also one whose
+    Returns the input's columns with ``text`` shortened and, with ``counts``,
+    ``removed_lines`` and ``removed_words``.  Every row stays, also one whose
     text becomes empty; a null text stays null and an empty one empty; lines
     that stay are not changed.  The first occurrence by doc_id stays (null ids
     last); rows with equal doc_id and text are one document, of which every row
@@ -127,7 +127,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     stay = F.filter(lines, lambda x, i: ~F.exists("spans", lambda s: (i >= s["first"]) & (i < s["end"])))
     rows = rows.withColumn("cut", F.when(F.col("spans").isNotNull(), stay))
     text = F.coalesce(F.array_join("cut", "\n"), F.col("doc.text"))
-    fewer = F.when(F.col("cut").isNotNull(), F.size(lines) - F.size("cut")).otherwise(0)
-    words = F.when(F.col("cut").isNotNull(), word_count(F.col("doc.text")) - word_count(F.array_join("cut", "\n"))).otherwise(0)
-    return rows.select(*[(text if c == "text" else F.col("doc")[c]).alias(c) for c in own],
-                       fewer.alias("_removed_lines"), words.cast("bigint").alias("_removed_words"))
+    kept = [(text if c == "text" else F.col("doc")[c]).alias(c) for c in own]
+    if counts:
+        changed = F.col("cut").isNotNull()
+        fewer = F.when(changed, F.size(lines) - F.size("cut")).otherwise(0)
+        words = F.when(changed, word_count(F.col("doc.text")) - word_count(F.array_join("cut", "\n"))).otherwise(0)
+        kept += [fewer.cast("bigint").alias("removed_lines"), words.cast("bigint").alias("removed_words")]
+    return rows.select(*kept)

@@ -61,9 +61,7 @@ def op8_minimum_cut(spark, sf_dir):
 
 def op9_line_chunks(spark, sf_dir):
     """All documents without the chunks of lines that an earlier one has."""
-    out = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "text", F.col("_removed_lines").cast("bigint").alias("removed_lines"),
-                      F.col("_removed_words").alias("removed_words"))
+    return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
 
 
 def op10_zstd_novelty(spark, sf_dir):
