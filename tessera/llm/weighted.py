@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
 The terms of a text are its words, weighted by their counts.  For every sample
-k and term t, variates r and c of Gamma(2, 1) and a uniform b come from hashes
+k and term t, variates r and c of Gamma(2, 1) and a uniform b come from a hash
 of (t, k).  With the weight w, ``s = floor(ln w / r + b)`` and
 ``ln a = ln c - r (s - b) - r``; the sample is the pair (t, s) of the term with
 the least a.  Two texts draw the same pair with a probability equal to their
@@ -20,40 +20,79 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SAMPLES = 32
-CHUNK_ROWS = 1000
+#: Samples per row of work (a divisor of the samples), bits of a table index.
+GROUP, TABLE_BITS = 4, 12
+CHUNK_ROWS = 250
+#: Characters of text per task, so that the terms of a task fit in memory.
+TASK_CHARS = 4_000_000
 KNOTS = 200
 #: Hex digits per sample.
 DIGITS = 6
 
 
-def _samples(term: str, weight: str, samples: int) -> list[Column]:
-    """One number per sample whose minimum over the terms of a text picks the
-    sample: ln a in the high bits, a hash of (term, s) in the low 24."""
-    out = []
-    part = "((({g} >> {at}) & 67108863) + 0.5D) / 67108864D"
-    for k in range(samples):
-        g1 = f"xxhash64({term}, {2 * k})"
-        g2 = f"xxhash64({term}, {2 * k + 1})"
-        r = f"-ln({part.format(g=g1, at=0)} * {part.format(g=g1, at=26)})"
-        c = f"-ln({part.format(g=g2, at=0)} * {part.format(g=g2, at=26)})"
-        b = f"((shiftrightunsigned({g1}, 52) * 4096 + shiftrightunsigned({g2}, 52)) / 16777216D)"
-        s = f"floor(ln({weight}) / ({r}) + {b})"
-        least = f"ln({c}) - ({r}) * ({s} - {b} + 1)"
-        out.append(F.expr(f"shiftleft(floor(({least} + 64) * 4294967296D), 24) | (xxhash64({term}, {s}, {k}) & 16777215)"))
+def gamma_quantiles(n: int) -> list[float]:
+    """Gamma(2, 1) at the middles of n equal steps of probability, by Newton's method."""
+    out, x = [], 0.01
+    for i in range(n):
+        p = (i + 0.5) / n
+        for _ in range(60):
+            step = (1 - (1 + x) * math.exp(-x) - p) / (x * math.exp(-x))
+            x = max(x - step, x / 2)
+            if abs(step) < 1e-13 * x:
+                break
+        out.append(x)
     return out
 
 
-def _chunk(doc_id: Column, knots: list[int], chunks: int) -> Column:
-    """A chunk number that never falls with doc_id, by the approximate quantiles
-    ``knots`` of the ids: about equally many rows in each of ``chunks``."""
+def _draw(terms: DataFrame, samples: int) -> DataFrame:
+    """``(chunk, rn, kind, print)`` from ``(chunk, rn, kind, term, weight)``.
+
+    The variates come from tables of quantiles, looked up by the bits of one
+    hash per (term, sample).  A sample is the least of one number per term: ln a
+    in the high bits, a hash of (term, s) in the low 24.  ``GROUP`` samples are
+    one row's work, which keeps the compiled code short.
+    """
+    spark = terms.sparkSession
+    q = gamma_quantiles(1 << TABLE_BITS)
+    tables = spark.createDataFrame([(q, [math.log(x) for x in q])], "r array<double>, lnc array<double>")
+    all_r, all_c = tables.select("r").scalar(), tables.select("lnc").scalar()
+    groups = samples // GROUP
+    rows = terms.select("chunk", "rn", "kind", "term", F.ln("weight").alias("lnw"),
+                        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+    mask = F.lit((1 << TABLE_BITS) - 1)
+    least = []
+    for j in range(GROUP):
+        g = F.xxhash64("term", "part", F.lit(j))
+        r = F.get(all_r, g.bitwiseAND(mask).cast("int"))
+        c = F.get(all_c, F.shiftright(g, TABLE_BITS).bitwiseAND(mask).cast("int"))
+        b = F.shiftrightunsigned(g, 2 * TABLE_BITS).bitwiseAND(F.lit((1 << 24) - 1)) / F.lit(float(1 << 24))
+        s = F.floor(F.col("lnw") / r + b)
+        a = c - r * (s - b + 1)
+        mark = F.xxhash64("term", s, "part", F.lit(j)).bitwiseAND(F.lit((1 << 24) - 1))
+        least.append(F.min(F.shiftleft(F.floor((a + 64) * F.lit(float(1 << 32))), 24).bitwiseOR(mark)).alias(f"s{j}"))
+    drawn = rows.groupBy("chunk", "rn", "kind", "part").agg(*least)
+    digits = [F.lpad(F.lower(F.hex(F.col(f"s{j}").bitwiseAND(F.lit((1 << 24) - 1)))), DIGITS, "0") for j in range(GROUP)]
+    drawn = drawn.select("chunk", "rn", "kind", "part", F.concat(*digits).alias("print"))
+    in_order = [F.max(F.when(F.col("part") == p, F.col("print"))) for p in range(groups)]
+    return drawn.groupBy("chunk", "rn", "kind").agg(F.concat(*in_order).alias("print"))
+
+
+def _with_chunk(rows: DataFrame, knots: list[int], chunks: int) -> DataFrame:
+    """Add ``chunk``, which never falls with doc_id: by the approximate quantiles
+    ``knots`` of the ids about equally many rows in each of ``chunks``.  Rows
+    without an id are dealt to negative chunks by the hash of their text."""
+    nil = -1 - F.pmod("tie", F.lit(chunks))
     if len(knots) < 2 or knots[0] == knots[-1]:
-        return F.lit(0).cast("bigint")
+        return rows.withColumn("chunk", F.when(F.col("doc_id").isNull(), nil).otherwise(0))
+    steps = len(knots) - 1
     all_ = F.array(*[F.lit(k).cast("bigint") for k in knots])
-    below = F.greatest(F.lit(1), F.least(F.lit(len(knots) - 1), F.size(F.filter(all_, lambda k: k <= doc_id))))
-    lo, hi = F.element_at(all_, below), F.element_at(all_, below + 1)
-    share = F.when(hi > lo, (doc_id.cast("double") - lo.cast("double")) / (hi.cast("double") - lo.cast("double"))).otherwise(0.0)
+    below = F.greatest(F.lit(1), F.least(F.lit(steps), F.size(F.filter(all_, lambda k: k <= F.col("doc_id")))))
+    rows = rows.withColumn("_at", below)
+    rows = rows.withColumn("_lo", F.element_at(all_, F.col("_at"))).withColumn("_hi", F.element_at(all_, F.col("_at") + 1))
+    share = (F.col("doc_id").cast("double") - F.col("_lo")) / F.greatest(F.lit(1.0), F.col("_hi").cast("double") - F.col("_lo"))
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
-    return F.least(F.lit(chunks - 1), F.floor((below - 1 + share) / (len(knots) - 1) * chunks)).cast("bigint")
+    chunk = F.least(F.lit(chunks - 1), F.floor((F.col("_at") - 1 + share) / steps * chunks))
+    return rows.withColumn("chunk", F.when(F.col("doc_id").isNull(), nil).otherwise(chunk)).drop("_at", "_lo", "_hi")
 
 
 def _following(chunks: DataFrame) -> DataFrame:
@@ -88,12 +127,11 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [i / KNOTS for i in range(KNOTS + 1)]
-    n, knots = base.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", shares, 20_000)).first()
+    n, chars, knots = base.agg(F.count(F.lit(1)), F.sum(F.length("text")), F.percentile_approx("doc_id", shares, 20_000)).first()
     chunks = max(1, math.ceil(n / CHUNK_ROWS))
-    tie = F.xxhash64("text")
-    chunk = F.when(F.col("doc_id").isNull(), -1 - F.pmod(tie, F.lit(chunks))).otherwise(
-        _chunk(F.col("doc_id"), knots or [], chunks))
-    rows = base.select("doc_id", "text", chunk.alias("chunk"), tie.alias("tie"))
+    rows = _with_chunk(base.withColumn("tie", F.xxhash64("text")), knots or [], chunks)
+    tasks = max(math.ceil((chars or 0) / TASK_CHARS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(tasks, "chunk")
 
     order = Window.partitionBy("chunk").orderBy("doc_id", "tie")
     lined = rows.select("chunk", F.row_number().over(order).alias("rn"), "doc_id", "text",
@@ -118,11 +156,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     words = texts.select("chunk", "rn", F.col("x.kind").alias("kind"),
                          F.explode(F.split("x.t", r"[\x20\x09-\x0D]+")).alias("word"))
     terms = words.groupBy("chunk", "rn", "kind", F.xxhash64("word").alias("term")).agg(F.count(F.lit(1)).alias("weight"))
-    names = [f"s{k}" for k in range(samples)]
-    drawn = terms.groupBy("chunk", "rn", "kind").agg(
-        *[F.min(v).alias(n) for n, v in zip(names, _samples("term", "weight", samples))])
-    digits = [F.lpad(F.lower(F.hex(F.col(n).bitwiseAND(F.lit((1 << 24) - 1)))), DIGITS, "0") for n in names]
-    drawn = drawn.select("chunk", "rn", "kind", F.concat(*digits).alias("print"))
+    drawn = _draw(terms, samples)
     of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("print")))
     prints = drawn.groupBy("chunk", "rn").agg(of(0).alias("fingerprint"), of(1).alias("edited_fingerprint"), of(2).alias("next_own"))
     along = Window.partitionBy("chunk").orderBy("rn")
