@@ -1,8 +1,8 @@
 """Packing documents into training sequences along a space-filling curve.
 
-Every text becomes a hashed bag-of-words vector, a random projection takes the
-vector to a few dimensions, and the Hilbert key of the projected point is the
-sort key: neighbours on the curve are documents of similar words.  Range
+Every text becomes a vector of hashed four-byte windows, a random projection
+takes the vector to a few dimensions, and the Hilbert key of the projected
+point is the sort key: neighbours on the curve are documents of similar words.  Range
 partitions of (key, doc_id, text hash) hold consecutive stretches of the curve
 (many equal texts share a key, so the id splits them too); each is tokenised
 and cut into full sequences on its own.  What is left at the end of a stretch
@@ -14,6 +14,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
+from itertools import chain
 from statistics import NormalDist
 
 import numpy as np
@@ -59,22 +61,19 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def curve_keys(texts: list[bytes | None]) -> np.ndarray:
-    """Hilbert keys of the projected word vectors; a text without words has the
-    key of the origin."""
+    """Hilbert keys of the projected vectors of hashed four-byte windows; a text
+    of fewer bytes has the key of the origin."""
     turn = np.random.default_rng(11).standard_normal((HASHED, DIMS))
     cuts = np.array([NormalDist().inv_cdf(i / (1 << BITS)) for i in range(1, 1 << BITS)])
-    keys = [np.zeros(0, np.int64)]
-    for lo, hi in runs([len(t or b"") for t in texts]):
-        split = [(t or b"").lower().split() for t in texts[lo:hi]]
-        flat = np.empty(sum(map(len, split)), dtype=object)
-        flat[:] = [w for s in split for w in s]
-        h = (pd.util.hash_array(flat, categorize=False) % np.uint64(HASHED)).astype(np.int64) if len(flat) else np.zeros(0, np.int64)
-        rows = np.repeat(np.arange(hi - lo), [len(s) for s in split])
-        v = np.bincount(rows * HASHED + h, minlength=(hi - lo) * HASHED).reshape(hi - lo, HASHED)
-        v = np.log1p(v)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-        keys.append(hilbert_key(np.searchsorted(cuts, v @ turn)))
-    return np.concatenate(keys)
+    v = np.zeros((len(texts), HASHED))
+    for i, t in enumerate(texts):
+        if t and len(t) >= 4:
+            b = np.frombuffer(t, np.uint8).astype(np.uint32)
+            w = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
+            v[i] = np.bincount((w * np.uint32(2_654_435_761)) >> np.uint32(23), minlength=HASHED)
+    v = np.log1p(v)
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    return hilbert_key(np.searchsorted(cuts, v @ turn))
 
 
 class Encoder:
@@ -82,40 +81,63 @@ class Encoder:
 
     A single space before a non-space always starts a token of its own in a
     byte-level BPE, so a text is the concatenation of its space-led segments;
-    segments repeat a lot and are remembered (up to ``remember`` of them).
+    segments repeat a lot and are remembered (up to ``remember`` of them).  A
+    new segment is put together from atoms where it can be: a line feed between
+    words and a full stop or comma behind letters are tokens by themselves.
     Texts with runs of white space at a space are encoded whole.
     """
 
     _odd = re.compile(r" (?:\s|\Z)")
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.remember, self.known = remember, {}
+        self.remember, self.known, self.atoms = remember, {}, {}
+
+    @staticmethod
+    def _atoms(segment: str) -> list[str]:
+        lines = segment.split("\n")
+        if any(x != x.strip() or not x for x in lines):
+            return [" " + segment]
+        out = []
+        for i, x in enumerate(lines):
+            if i:
+                out.append("\n")
+            lead = "" if i else " "
+            out += [lead + x[:-1], x[-1]] if x[-1] in ".," and x[:-1].isalpha() else [lead + x]
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        out = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in out]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.remember:
+        if len(self.known) + len(self.atoms) > self.remember:
             self.known.clear()
-        known = self.known
-        parts = []
-        for t in texts:
-            if self._odd.search(t):
-                parts.append([t])
-            else:
-                first, *rest = t.split(" ")
-                parts.append([first, *[" " + w for w in rest]] if rest else [first])
-        new = list({w for p in parts for w in p if w not in known})
-        own = {}
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                (known if len(w) <= 64 else own)[w] = np.array(e.ids, "<u4").tobytes()
-        if own:
-            return [b"".join([own[w] if len(w) > 64 and w in own else known[w] for w in p]) for p in parts]
-        return [b"".join([known[w] for w in p]) for p in parts]
+            self.atoms.clear()
+        known = self.known  # a segment without its space -> ids with it
+        parts = [None if self._odd.search(t) else t.split(" ") for t in texts]
+        whole = dict(zip((i for i, p in enumerate(parts) if p is None),
+                         self._encode([t for t, p in zip(texts, parts) if p is None])))
+        heads = iter(self._encode([p[0] for p in parts if p is not None]))
+        new = list(set(chain.from_iterable(p[1:] for p in parts if p is not None)).difference(known))
+        made = [self._atoms(w) for w in new]
+        fresh = list(set(chain.from_iterable(made)).difference(self.atoms))
+        for i in range(0, len(fresh), 4096):
+            some = fresh[i : i + 4096]
+            self.atoms.update(zip(some, self._encode(some)))
+        atom = self.atoms.__getitem__
+        known.update((w, b"".join(map(atom, m))) for w, m in zip(new, made))
+        find = known.__getitem__
+        out = [whole[i] if p is None else next(heads) + b"".join(map(find, p[1:])) for i, p in enumerate(parts)]
+        for memory, added in ((known, new), (self.atoms, fresh)):
+            for w in added:
+                if len(w) > 64:  # long ones are not worth the memory
+                    del memory[w]
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -144,7 +166,9 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int =
     def keyed(batches):
         for b in batches:
             texts = list(b["text"])
-            yield pd.DataFrame({"doc_id": b["doc_id"], "text": b["text"], "key": curve_keys(texts)})
+            keys = [curve_keys(texts[lo : lo + 1024]) for lo in range(0, len(texts), 1024)]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "text": b["text"],
+                                "key": np.concatenate(keys) if keys else np.zeros(0, np.int64)})
 
     def cut(batches):
         encode = encoder(tokenizer_path)
