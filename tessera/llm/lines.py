@@ -1,8 +1,9 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last ``WINDOW`` lines decides where a
-chunk ends, so chunk boundaries move with the text: a passage that stands in
-two documents at different places is cut alike in both after its first lines.
+A chunk of lines ends where the rolling hash over the hashes of the last
+``WINDOW`` lines has a local minimum, so boundaries move with the text: a
+passage that stands in two documents at different places is cut alike in both,
+but for its first and last lines.
 A line of ``LONG_WORDS`` words or more is a passage by itself and makes a chunk
 alone.  Chunks of several lines (or one long one) that occur more than once in
 the corpus are candidates by hash; occurrences are then compared byte by byte with the first occurrence,
@@ -20,8 +21,6 @@ from pyspark.sql import DataFrame, functions as F
 from tessera.llm.common import small, staged, word_count
 
 WINDOW = 2
-#: A chunk ends after a line where the rolling hash modulo this is 0.
-MODULUS = 3
 #: Chunks of fewer lines or words are not removed.
 LEAST_LINES, LEAST_WORDS = 2, 8
 #: A line of so many words is a passage by itself and makes a chunk alone.
@@ -37,7 +36,9 @@ def chunks(lines: list[bytes], sizes: list[int]) -> Iterator[tuple[int, int]]:
     roll ^= roll >> np.uint64(33)
     roll *= np.uint64(0xFF51AFD7ED558CCD)
     roll ^= roll >> np.uint64(33)
-    cut = roll % np.uint64(MODULUS) == 0
+    # a chunk ends where the rolling hash is less than before and after
+    cut = np.zeros(len(lines), bool)
+    cut[1:-2] = (roll[1:-2] < roll[:-3]) & (roll[1:-2] <= roll[2:-1])  # no last line alone
     first = 0
     for i in range(len(lines)):
         if sizes[i] >= LONG_WORDS:
@@ -45,7 +46,7 @@ def chunks(lines: list[bytes], sizes: list[int]) -> Iterator[tuple[int, int]]:
                 yield first, i
             yield i, i + 1
             first = i + 1
-        elif cut[i] and i + 1 - first >= LEAST_LINES:
+        elif cut[i] and i >= first:
             yield first, i + 1
             first = i + 1
     if first < len(lines):
