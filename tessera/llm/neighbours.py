@@ -286,13 +286,19 @@ def audit_recall(vectors: DataFrame, result: DataFrame, every: int = 50, thresho
         raise ValueError(f"more than {most} queries: raise every")
     if not len(asked):
         return 0, 0
-    q, q_ids, q_labels = _unit(asked["embedding"]), asked["vec_id"].to_numpy(), asked["label"].to_numpy()
+    queries = [(q["label"].to_numpy(), q["vec_id"].to_numpy(), _unit(q["embedding"]))
+               for _, q in asked.groupby(asked["embedding"].map(len))]
 
     def work(batches):
         for b in batches:
-            x = _unit(b["embedding"])
-            hit = (x @ q.T >= threshold) & (b["label"].to_numpy()[:, None] == q_labels) & (b["vec_id"].to_numpy()[:, None] != q_ids)
-            yield pd.DataFrame({"n": [int(hit.sum())]})
+            n = 0
+            for size, x in b.groupby(b["embedding"].map(len)):
+                for labels, ids, q in queries:
+                    if q.shape[1] == size:
+                        hit = _unit(x["embedding"]) @ q.T >= threshold
+                        hit &= (x["label"].to_numpy()[:, None] == labels) & (x["vec_id"].to_numpy()[:, None] != ids)
+                        n += int(hit.sum())
+            yield pd.DataFrame({"n": [n]})
 
     there = good.select("vec_id", "label", "embedding").mapInPandas(work, "n bigint").agg(F.sum("n")).first()[0] or 0
     found = result.where(F.col("vec_id") % every == 0).agg(F.sum("n_links")).first()[0] or 0

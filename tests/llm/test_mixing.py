@@ -1,0 +1,78 @@
+import re
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tessera.llm import mixing
+from tests.llm.helpers import doc_rows, documents, got, prose
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def levels(sizes, weights, most):
+    """Targets by weight with limits, by repeated sharing."""
+    total, target, open_ = sum(sizes.values()), {}, set(sizes)
+    while open_:
+        left = total - sum(target.values())
+        share = {s: left * weights[s] / sum(weights[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > most * sizes[s]}
+        if not over:
+            return target | share
+        target.update({s: most * sizes[s] for s in over})
+        open_ -= over
+    return target
+
+
+def check(rows, out, block_slack):
+    per = defaultdict(list)
+    for r in out:
+        per[r["doc"]["source"]].append(r)
+    order = sorted([s for s in per if s is not None]) + [s for s in per if s is None]
+    sizes = {s: sum(r["size"] for r in per[s]) for s in order}
+    want = levels(sizes, dict(zip(order, [1, 2, 3] * len(order))), 3)
+    assert len(out) == len(rows)
+    for s in order:
+        for r in per[s]:
+            assert r["size"] == len(WORD.findall(r["doc"]["text"] or ""))
+            assert r["source_size"] == sizes[s] and abs(r["target"] - want[s]) < 1e-6
+            assert r["taken"] == r["size"] * len(r["draws"]) <= 3 * r["size"]
+        assert abs(sum(r["taken"] for r in per[s]) - want[s]) <= block_slack(per[s])
+
+
+def test_awkward_rows_and_reruns(spark):
+    rows = doc_rows()
+    run = lambda: got(mixing.mix(documents(spark), block_words=500, shard_blocks=4))
+    out = run()
+    check(rows, out, lambda rs: max(r["size"] for r in rs) / 2 + 1)
+    key = lambda rs: sorted(repr((r["doc"], r["draws"])) for r in rs)
+    assert key(out) == key(run())
+
+
+def test_limits_and_shards(spark):
+    rows = [(i, prose(i, 40), "en", "tiny" if i < 3 else "big" if i < 300 else f"m{i % 3}", 1, "", 0, 0, "") for i in range(500)]
+    mixed = mixing.mix(documents(spark, rows), block_words=200, shard_blocks=8)
+    out = got(mixed)
+    check(rows, out, lambda rs: 40)
+    tiny = [r for r in out if r["doc"]["source"] == "tiny"]
+    assert all(len(r["draws"]) == 3 and {d["pass"] for d in r["draws"]} == {0, 1, 2} for r in tiny)
+    drawn = mixing.drawn_documents(mixed)
+    assert drawn.count() == sum(len(r["draws"]) for r in out)
+    words = [r["n"] for r in drawn.groupBy("shard").agg(F.sum(F.lit(40)).alias("n")).collect()]
+    assert len(words) > 5 and max(words) < 4 * np.mean(words)
+
+
+def test_tree_keeps_quotas():
+    counts = np.array([5, 0, 17, 300, 41])
+    blocks, shards = int(counts.sum()), 13
+    whole = dict(mixing._split(counts, 0, shards, 0, shards, shards, blocks, 3))
+    assert sorted(whole) == list(range(shards)) and (sum(whole.values()) == counts).all()
+    parts = {}
+    for a, b in ((0, 4), (4, 9), (9, 13)):  # any task sees the same tree
+        parts |= dict(mixing._split(counts, 0, shards, a, b, shards, blocks, 3))
+    assert all((parts[s] == whole[s]).all() for s in whole)
+    assert {int(n.sum()) for n in whole.values()} <= {blocks // shards, blocks // shards + 1}
+
+
+def test_empty_table(spark):
+    assert mixing.mix(documents(spark, [])).collect() == []
