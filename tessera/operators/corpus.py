@@ -17,9 +17,9 @@ def _clean(df: DataFrame, raw: str, out: str) -> DataFrame:
 
 
 def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
-                key_col: str = "doc_id", group_col: str | None = None,
+                key_col: str = "doc_id", group_col: str | Sequence[str] | None = None,
                 order_col: str | None = None, keep: Sequence[str] = (),
-                chunk: int = 1 << 16, dense_order: bool = True) -> DataFrame:
+                chunk: int = 1 << 16, dense_order: bool = False, on_null: str = "error") -> DataFrame:
     """Split texts into stripped, non-blank, non-heading lines.
 
     ``scope='document'``: every row is split on its own; output
@@ -27,17 +27,27 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
     piece in the row's text.  No shuffle.
 
     ``scope='group'``: the texts of a group are joined in ``order_col``
-    order with no separator, so a line may run across rows.  Output
-    ``(group_col, key_col, line_no, text)`` where ``(key_col, line_no)`` is
-    the row and piece in which the line starts.  Lines inside one row are
+    order with no separator, so a line may run across rows.  ``group_col`` is a
+    column or a list (such as split and source: texts of different splits must
+    not run into each other).  Output ``(*group_col, key_col, line_no, text)``
+    where ``(key_col, line_no)`` is the row and piece in which the line starts;
+    ``keep`` is refused here, since a line may belong to several rows.  Lines inside one row are
     never shuffled; only the first and last piece of each row take part in
     the joining step, and the "previous row with a line feed" lookup is done
     in bounded chunks, so a hot group does not end up in one task.  (A
     single line spanning a whole group is, by definition, one output value.)
-    Chunks are ranges of ``order_col`` values of width ``chunk``; pass
-    ``dense_order=False`` when the order values are sparse (hashed ids), to
-    chunk by row position instead.
+    Chunks are runs of ``chunk`` rows by position; pass ``dense_order=True``
+    when the order values are dense integers, to take ranges of values instead
+    and save the numbering.
+
+    A null text fails the job by default; ``on_null='drop'`` leaves it out.
     """
+    if on_null not in ("error", "drop"):
+        raise ValueError("on_null must be 'error' or 'drop'")
+    if on_null == "error":
+        t = F.col(text_col)
+        df = df.withColumn(text_col, F.when(t.isNull(), F.raise_error(F.lit(f"null value in column {text_col}"))
+                                            .cast("string")).otherwise(t))
     if scope == "document":
         out = df.select(*keep, key_col, *_explode(split_lines_col(text_col), "line_no", "_raw"))
         out = out.where(F.col("line_no").isNotNull()).withColumn("line_no", F.col("line_no").cast("bigint"))
@@ -46,8 +56,12 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
         raise ValueError(f"unknown scope {scope!r}; use 'document' or 'group'")
     if group_col is None:
         raise ValueError("scope='group' needs group_col")
+    if keep:
+        raise ValueError("scope='group' takes no keep columns: add them to group_col")
     order_col = order_col or key_col
-    g, o = group_col, order_col
+    names = [group_col] if isinstance(group_col, str) else list(group_col)
+    g, o = "_g", order_col  # one struct of all group columns: nulls in it are equal
+    df = df.withColumn(g, F.struct(*names))
     base = df.select(F.col(g).alias(g), F.col(o).alias(o), split_lines_col(text_col).alias("_parts"))
     base = base.withColumn("_nl", F.size("_parts") - 1)
     ex = base.select(g, o, "_nl", *_explode(F.col("_parts"), "_pos", "_frag")).where(F.col("_pos").isNotNull())
@@ -77,7 +91,8 @@ def split_lines(df: DataFrame, text_col: str = "text", scope: str = "document",
         .select(g, F.coalesce("_sd", "_o0").alias(key_col),
                 F.coalesce("_sp", F.lit(0).cast("bigint")).alias("line_no"), "_raw")
     )
-    return _clean(interior.unionByName(joined), "_raw", text_col)
+    out = interior.unionByName(joined).select(*[F.col(g)[n].alias(n) for n in names], key_col, "line_no", "_raw")
+    return _clean(out, "_raw", text_col)
 
 
 def _explode(arr, pos: str, val: str):

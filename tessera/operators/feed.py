@@ -62,8 +62,9 @@ def assign_rank(df: DataFrame, world_size: int, devices_per_node: int | None = N
     out = df
     if pad == "wrap":
         if count_col not in df.columns:
-            counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias(count_col))
-            df = df.join(counts, part)
+            df = df.withColumn("_k", F.struct(*part))  # null keys are keys too
+            counts = df.groupBy("_k").agg(F.count(F.lit(1)).alias(count_col))
+            df = df.join(counts, "_k").drop("_k")
         n = F.col(count_col)
         total = F.ceil(n / F.lit(world_size)) * F.lit(world_size)
         base = df.withColumn("is_padding", F.lit(False))

@@ -29,7 +29,12 @@ def epoch_loss(df: DataFrame, keys: Sequence[str] = ("run_id", "rank", "epoch",
 
 def thin_steps(df: DataFrame, every_n: int, step: str = "step") -> DataFrame:
     """Keep every n-th step (the logger writes when ``(step + 1) % n == 0``)."""
-    return df.where((F.col(step) + 1) % every_n == 0)
+    return df.where(thinned(step, every_n))
+
+
+def thinned(step: str, every_n: int):
+    """P9 as a condition."""
+    return F.coalesce((F.col(step) + 1) % every_n == 0, F.lit(False))
 
 
 def loss_across_ranks(df: DataFrame, every_n: int = 10, run: str = "run_id",
@@ -43,17 +48,22 @@ def loss_across_ranks(df: DataFrame, every_n: int = 10, run: str = "run_id",
     ``(run_id, phase, epoch, level, step, mean_loss, n)``, ``step`` null on
     epoch rows.
     """
-    logged = df.where((F.col("phase") != "train") | ((F.col("step") + 1) % every_n == 0))
-    steps = logged.groupBy(run, "phase", "epoch", "step").agg(
-        round_half_even(F.avg(loss), places).alias("mean_loss"),
-        F.count(F.lit(1)).alias("n")).withColumn("level", F.lit("step"))
-    per_rank = df.groupBy(run, "phase", "epoch", "rank").agg(F.avg(loss).alias("_m"))
-    epochs = per_rank.groupBy(run, "phase", "epoch").agg(
-        round_half_even(F.avg("_m"), places).alias("mean_loss"),
-        F.count(F.lit(1)).alias("n")).withColumn("level", F.lit("epoch")).withColumn(
-        "step", F.lit(None).cast("bigint"))
-    cols = [run, "phase", "epoch", "level", "step", "mean_loss", "n"]
-    return steps.select(*cols).unionByName(epochs.select(*cols))
+    # every row counts for its epoch, and for its step if that is logged: one
+    # pass over the input serves both levels
+    step_row = F.struct(F.lit("step").alias("level"), F.col("step").cast("bigint").alias("step"))
+    epoch_row = F.struct(F.lit("epoch").alias("level"), F.lit(None).cast("bigint").alias("step"))
+    logged = thinned("step", every_n) | F.coalesce(F.col("phase") != "train", F.lit(True))
+    rows = df.select(run, "phase", "epoch", "rank", F.col(loss).alias("_x"),
+                     F.explode(F.when(logged, F.array(step_row, epoch_row)).otherwise(F.array(epoch_row))).alias("_l"))
+    rows = rows.select(run, "phase", "epoch", "rank", "_x", "_l.level", "_l.step")
+    per_rank = rows.groupBy(run, "phase", "epoch", "level", "step", "rank").agg(
+        F.sum("_x").alias("_s"), F.count("_x").alias("_c"), F.count(F.lit(1)).alias("_n"))
+    mean = F.when(F.col("level") == "step", F.sum("_s") / F.nullif(F.sum("_c"), F.lit(0))).otherwise(
+        F.avg(F.col("_s") / F.nullif(F.col("_c"), F.lit(0))))
+    out = per_rank.groupBy(run, "phase", "epoch", "level", "step").agg(
+        round_half_even(mean, places).alias("mean_loss"),
+        F.when(F.col("level") == "step", F.sum("_n")).otherwise(F.count(F.lit(1))).alias("n"))
+    return out.select(run, "phase", "epoch", "level", "step", "mean_loss", "n")
 
 
 def epoch_monitor(df: DataFrame, phase: str = "val", run: str = "run_id", loss: str = "loss") -> DataFrame:
@@ -135,7 +145,8 @@ def argmax_accuracy(df: DataFrame, logits: str = "logits", label: str = "label",
     x = df
     if ignore_index is not None:
         x = x.where(F.col(label) != ignore_index)
-    hit = (argmax(logits) == F.col(label)).cast("int")
+    # no logits or no label: counted, and not a hit
+    hit = F.coalesce(argmax(logits) == F.col(label), F.lit(False)).cast("int")
     return x.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_examples"),
         F.sum(hit).cast("bigint").alias("n_correct"),

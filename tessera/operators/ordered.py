@@ -54,18 +54,21 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
     """
     part = _cols(partition_cols)
     order = _cols(order_cols)
+    # one struct as the key: it is never null itself and equal nulls inside it
+    # are equal, so rows with null keys join like all others
+    df = df.withColumn("_k", F.struct(*part) if part else F.lit(0))
     if bucket is not None:
-        b = df.withColumn("_b", bucket)
-        w = Window.partitionBy(*part, "_b").orderBy(*order)
+        b = df.withColumn("_b", F.coalesce(bucket.cast("bigint"), F.lit(-1).cast("bigint")))
+        w = Window.partitionBy("_k", "_b").orderBy(*order)
         b = b.withColumn("_r", F.row_number().over(w) - 1)
-        counts = b.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
-        wc = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        counts = b.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
+        wc = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0)))
-        counts = counts.withColumn("_tot", F.sum("_n").over(Window.partitionBy(*part))).drop("_n")
-        out = b.join(counts, [*part, "_b"])
+        counts = counts.withColumn("_tot", F.sum("_n").over(Window.partitionBy("_k"))).drop("_n")
+        out = b.join(counts, ["_k", "_b"])
         out = out.withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
         out = out.withColumnRenamed("_tot", total) if total else out.drop("_tot")
-        return out.drop("_b", "_r", "_off")
+        return out.drop("_k", "_b", "_r", "_off")
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -78,15 +81,15 @@ def positions(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence
     )
     ensure_checkpoint_dir(spark)
     ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy("_pid", *part).agg(
+    counts = ranged.groupBy("_pid", "_k").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
-    w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("_k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    counts = counts.withColumn("_tot", F.sum("_n").over(Window.partitionBy(*part)))
-    out = ranged.join(counts.select("_pid", *part, "_off", "_mid0", "_tot"), ["_pid", *part])
+    counts = counts.withColumn("_tot", F.sum("_n").over(Window.partitionBy("_k")))
+    out = ranged.join(counts.select("_pid", "_k", "_off", "_mid0", "_tot"), ["_pid", "_k"])
     out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("bigint"))
     out = out.withColumnRenamed("_tot", total) if total else out.drop("_tot")
-    return out.drop("_pid", "_mid", "_off", "_mid0")
+    return out.drop("_k", "_pid", "_mid", "_off", "_mid0")
 
 
 def carry(df: DataFrame, value: Column | str, name: str, partition_cols: Sequence[str],

@@ -19,6 +19,8 @@ from tessera.functions.telemetry import (
 from tessera.functions.text import py_strip
 from tessera.operators.ordered import carry
 
+# fixed value: the error text of a banner without versions
+UNEXPECTED_BANNER = "nvidia-smi output is unexpected"
 N_FIELDS = len(MONITOR_FIELDS) + 1
 HOST_FIELDS = ["cpu_utilization", "ram_used", "ram_total"]
 NUMERIC_FIELDS = MONITOR_FIELDS[1:]
@@ -42,9 +44,12 @@ def monitor_fields(df: DataFrame, mode: str = "strict", source: str = "source",
                   split_fields(line).alias("_f"))
     n = F.size("_f")
     if mode == "strict":
-        cut = f.where(n != N_FIELDS).groupBy("source").agg(F.min("line_no").alias("_cut"))
-        f = f.join(cut, "source", "left").where(
-            F.col("_cut").isNull() | (F.col("line_no") < F.col("_cut"))).drop("_cut")
+        # the cut of a source goes to each of its chunks, so the log is joined
+        # by (source, chunk) and a long log is spread over many tasks
+        f = f.withColumn("_k", F.struct("source", F.floor(F.col("line_no") / F.lit(chunk)).alias("c")))
+        cut = f.groupBy("_k").agg(F.min(F.when(n != N_FIELDS, F.col("line_no"))).alias("_cut"))
+        cut = cut.select("_k", F.min("_cut").over(Window.partitionBy("_k.source")).alias("_cut"))
+        f = f.join(cut, "_k").where(F.col("_cut").isNull() | (F.col("line_no") < F.col("_cut"))).drop("_k", "_cut")
         f = f.where(n == N_FIELDS)
     elif mode == "skip":
         f = f.where(n == N_FIELDS)
@@ -101,12 +106,25 @@ def first_values(parsed: DataFrame, keys=("source", "device"), order: str = "lin
         F.min_by("ram_total", order).alias("first_ram_total"))
 
 
+def _with_firsts(parsed: DataFrame, keys: list[str], chunk: int = 1 << 16) -> DataFrame:
+    """W1 on every sample: the first values of a chunk of lines, carried to all
+    chunks of the series by a window over the small per-chunk table, and joined
+    by (keys, chunk), so a long series is spread over many tasks."""
+    x = parsed.withColumn("_k", F.struct(*keys, F.floor(F.col("line_no") / F.lit(chunk)).alias("_chunk")))
+    first = F.struct(F.min("line_no").alias("l"), F.min_by("ts", "line_no").alias("ts"),
+                     F.min_by("gpu_memory_total", "line_no").alias("gpu"), F.min_by("ram_total", "line_no").alias("ram"))
+    per = x.groupBy("_k").agg(first.alias("_f"))
+    per = per.select("_k", F.min_by("_f", "_f.l").over(Window.partitionBy(*[F.col("_k")[k] for k in keys])).alias("_f"))
+    return x.join(per, "_k").select(
+        *parsed.columns, F.col("_f.ts").alias("first_ts"), F.col("_f.gpu").alias("first_gpu_memory_total"),
+        F.col("_f.ram").alias("first_ram_total"))
+
+
 def percent_series(parsed: DataFrame, keys=("source", "device")) -> DataFrame:
     """H17 + H18 + W1 + W2: per sample the seconds since the device's first
     sample, memory and RAM as percentages, and the percentages back on the
     absolute axis (factor = the first total of the series)."""
-    firsts = first_values(parsed, keys)
-    x = parsed.join(firsts, list(keys))
+    x = _with_firsts(parsed, list(keys))
     secs = (F.unix_micros(F.col("ts").cast("timestamp"))
             - F.unix_micros(F.col("first_ts").cast("timestamp"))) / F.lit(1e6)
     mem_pct = percent("gpu_memory_used", "gpu_memory_total")
@@ -156,13 +174,19 @@ def profile_json(nested: DataFrame) -> DataFrame:
 def parse_inventory(lines: DataFrame, source: str = "source", line: str = "line") -> DataFrame:
     """S5 + A8: ``name, bus id, memory`` lines to ``(source, name, device_id,
     memory)`` plus the device count of the source.  Extra fields are
-    ignored and missing ones are null, as a three-name zip treats them."""
-    f = lines.where(F.col(line) != "").select(
-        F.col(source).alias("source"), F.split(F.col(line), ",", -1).alias("_f"))
-    inv = f.select("source", *[py_strip(F.try_element_at(F.col("_f"), F.lit(i + 1))).alias(n)
-                               for i, n in enumerate(("name", "device_id", "memory"))])
-    counts = inv.groupBy("source").agg(F.count(F.lit(1)).alias("n_devices"))
-    return inv.join(counts, "source")
+    ignored and missing ones are null, as a three-name zip treats them.  A
+    source that lists no device has one row, of nulls and the count 0."""
+    f = lines.select(F.col(source).alias("source"),
+                     F.when(F.col(line) != "", F.split(F.col(line), ",", -1)).alias("_f"))
+    inv = f.select(F.struct("source").alias("_k"), "source", F.col("_f").isNotNull().alias("_dev"),
+                   *[py_strip(F.try_element_at(F.col("_f"), F.lit(i + 1))).alias(n)
+                     for i, n in enumerate(("name", "device_id", "memory"))])
+    counts = inv.groupBy("_k").agg(F.count(F.when(F.col("_dev"), F.lit(1))).alias("n_devices"))
+    some = inv.where("_dev").join(counts, "_k").select("source", "name", "device_id", "memory", "n_devices")
+    null = F.lit(None).cast("string")
+    none = counts.where("n_devices = 0").select(
+        "_k.source", null.alias("name"), null.alias("device_id"), null.alias("memory"), "n_devices")
+    return some.unionByName(none)
 
 
 def parse_versions(banners: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
@@ -175,21 +199,38 @@ def parse_versions(banners: DataFrame, source: str = "source", text: str = "text
         F.col(source).alias("source"),
         F.when(ok, d).alias("driver_version"),
         F.when(ok, c).alias("cuda_version"),
-        F.when(~ok, F.lit("nvidia-smi output is unexpected")).alias("error"))
+        F.when(~ok, F.lit(UNEXPECTED_BANNER)).alias("error"))
 
 
 def profile_record(versions: DataFrame, inventory: DataFrame, nested: DataFrame) -> DataFrame:
-    """S7 + D13: the profile record as JSON, one per ``(source, chunk)``.
-
-    Without an error the record holds ``error`` (null), the two versions, the
-    device inventory and the chunk's nested profile; with an error it holds
-    only ``error`` and the (null) versions, as the original profiler
-    returns.  ``versions``: :func:`parse_versions`; ``inventory``:
+    """S7 + D13: the profile record as JSON, for every host that has a banner
+    or a log.
+
+    Without an error there is a record per ``(source, chunk)`` of ``error``
+    (null), the two versions, the device inventory and the chunk's nested
+    profile; a host without parsed lines has the one record of chunk 0 with an
+    empty profile.  A host with an error has exactly one record (chunk 0), of
+    ``error`` and the (null) versions, as the original profiler returns.
+    ``versions``: :func:`parse_versions`; ``inventory``:
     :func:`parse_inventory`; ``nested``: :func:`profile_nested`.
     """
-    devs = inventory.groupBy("source").agg(
-        F.array_sort(F.collect_list(F.struct("name", "device_id", "memory"))).alias("devices"))
-    x = nested.join(versions, "source", "left").join(devs, "source", "left")
+    device = F.struct("name", "device_id", "memory")
+    devs = inventory.where("n_devices > 0").groupBy(F.struct("source").alias("_k")).agg(
+        F.array_sort(F.collect_list(device)).alias("devices"))
+    hosts = versions.withColumn("_k", F.struct("source")).join(devs, "_k", "left").drop("source")
+    # hosts meet the chunk numbers, not the payload; the payload is joined by
+    # (source, chunk)
+    chunks = nested.select(F.struct("source").alias("_k"), "chunk")
+    x = chunks.join(hosts, "_k", "full")
+    failed = F.col("error").isNotNull()
+    bad = x.where(failed).select("_k", "error", "cuda_version", "driver_version", "devices").distinct().withColumn(
+        "chunk", F.lit(0).cast("bigint"))
+    good = x.where(~failed).withColumn("chunk", F.coalesce("chunk", F.lit(0).cast("bigint")))
+    x = good.unionByName(bad).withColumn("_kc", F.struct(F.col("_k.source").alias("source"), F.col("chunk").alias("chunk")))
+    payload = nested.select(F.struct("source", "chunk").alias("_kc"), "profile")
+    x = x.join(payload, "_kc", "left").select(
+        F.col("_kc.source").alias("source"), F.col("_kc.chunk").alias("chunk"), "error", "cuda_version", "driver_version",
+        "devices", F.coalesce("profile", F.create_map().cast(nested.schema["profile"].dataType)).alias("profile"))
     keep_nulls = {"ignoreNullFields": "false"}
     full = F.struct("error", "cuda_version", "driver_version", "devices", "profile")
     short = F.struct("error", "cuda_version", "driver_version")

@@ -105,16 +105,19 @@ def generate(df: DataFrame, model_factory: Callable[[], object], text_col: str =
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = model_factory()           # once per task
         for b in batches:
-            outs = model.generate(b[text_col].tolist(), num_return_sequences=num_return_sequences, **options)
-            ids, seq, text = [], [], []
-            for rid, seqs in zip(b[id_col].tolist(), outs):
+            outs = list(model.generate(b[text_col].tolist(), num_return_sequences=num_return_sequences, **options))
+            if len(outs) != len(b):
+                raise ValueError(f"the model returned outputs for {len(outs)} of {len(b)} texts")
+            at, seq, text = [], [], []
+            for i, seqs in enumerate(outs):
                 if len(seqs) != num_return_sequences:
                     raise ValueError("the model returned a different number of sequences")
                 for k, s in enumerate(seqs):
-                    ids.append(rid)
+                    at.append(i)
                     seq.append(k)
                     text.append(s)
-            yield pd.DataFrame({id_col: pd.Series(ids, dtype="int64"), "seq_no": pd.Series(seq, dtype="int32"),
+            ids = b[id_col].iloc[at].reset_index(drop=True)  # of whatever type the column has
+            yield pd.DataFrame({id_col: ids, "seq_no": pd.Series(seq, dtype="int32"),
                                 "text": pd.Series(text, dtype="object")})
     return df.select(id_col, text_col).mapInPandas(run, schema)
 
@@ -137,12 +140,13 @@ def metric(df: DataFrame, partial: Callable[[pd.DataFrame], dict[str, float]],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            groups = b.groupby(keys, sort=False) if keys else [((), b)]
+            groups = b.groupby(keys, sort=False, dropna=False) if keys else [((), b)]
             rows = []
             for key, g in groups:
                 vals = partial(g)
                 key = key if isinstance(key, tuple) else (key,)
-                rows.append(list(key) + [float(vals[n]) for n in partial_names])
+                key = [None if pd.isna(k) else k for k in key]
+                rows.append(key + [float(vals[n]) for n in partial_names])
             yield pd.DataFrame(rows, columns=keys + list(partial_names))
     parts = df.select(*keys, *cols).mapInPandas(run, schema)
     sums = parts.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in partial_names])

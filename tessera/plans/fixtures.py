@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.operators.ordered import positions
 from tessera.session import table_path
-from tessera.sources.files import spread_narrow_scan
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +20,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, grp, split, text)``; each text gets a heading line,
     blank lines, a CRLF with NBSP, or a fullwidth-colon line by ``doc_id % 5``."""
-    # line splitting and encoding are per-row CPU work: a corpus read in
-    # fewer partitions than cores is spread first (never at scale)
-    d = spread_narrow_scan(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+    d = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     doc = F.col("doc_id")
     sid = doc.cast("string")
     m5 = doc % 5
@@ -106,6 +103,17 @@ def step_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("run_id", "rank", "epoch", "step", "phase", "loss", "ts")
 
 
+def diverged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 with NaN, infinite and very large losses in some runs: by step and run."""
+    x = step_metrics(spark, sf_dir)
+    run, step = F.col("run_id"), F.col("step")
+    loss = (F.when((run % 5 == 1) & (step % 7 == 3), F.lit(float("nan")))
+            .when((run % 5 == 2) & (step % 7 == 3), F.lit(float("inf")))
+            .when((run % 5 == 3) & (step % 2 == 1), F.lit(float("-inf")))
+            .when(run % 5 == 4, F.floor(F.col("loss") * 8) / 8.0 + F.lit(2.5e8)).otherwise(F.col("loss")))
+    return x.withColumn("loss", loss)
+
+
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(example_id, logits ARRAY<FLOAT>, label INT)``."""
     return read(spark, sf_dir, "embeddings").select(

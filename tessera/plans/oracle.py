@@ -1,18 +1,25 @@
 """DuckDB SQL for every registered query (the independent oracle).
 
 The fixture recipes are restated as CTEs over the pre-registered driver
-views; the whitespace set of the strip is generated from the same rule as
-the Spark side (``str.isspace``).
+views.  The whitespace set and the clean-up table are written out here, so
+that a wrong one in the library shows.
 """
 
 from __future__ import annotations
 
-from tessera.functions.text import whitespace_sql_chars
-from tessera.functions.tokens import CLEAN_UP_REPLACEMENTS
 from tessera.plans.queries import (
     BATCH, CORPUS_LENGTH, PROFILE_CHUNK, RETURN_SEQUENCES, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE, SEED, WORLD)
 
-WS = whitespace_sql_chars()
+# fixed values: code points that Python's str.strip() removes
+WHITESPACE = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198,
+              8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288)
+# fixed values: blanks that decoding takes out
+CLEAN_UP = ((" .", "."), (" ?", "?"), (" !", "!"), (" ,", ","), (" ' ", "'"), (" n't", "n't"), (" 'm", "'m"),
+            (" 's", "'s"), (" 've", "'ve"), (" 're", "'re"))
+# fixed values: version patterns and error text of a driver banner
+DRIVER_PATTERN, CUDA_PATTERN = "Driver Version: (.+?) ", "CUDA Version:(.*) "
+BANNER_ERROR = "nvidia-smi output is unexpected"
+WS = "concat(" + ", ".join(f"chr({c})" for c in WHITESPACE) + ")"
 
 F1 = """f1 as (
   select doc_id, source as grp,
@@ -83,7 +90,7 @@ def rep(v: int, n: str) -> str:
 
 def cleanup(t: str) -> str:
     out = t
-    for a, b in CLEAN_UP_REPLACEMENTS:
+    for a, b in CLEAN_UP:
         a_sql = a.replace("'", "''")
         b_sql = b.replace("'", "''")
         out = f"replace({out}, '{a_sql}', '{b_sql}')"
@@ -102,23 +109,23 @@ select doc_id, line_no, text from doc_lines"""
 
 ORACLE["corpus_lines_group"] = f"""with {F1},
 docs as (
-  select grp, doc_id, len(string_split(text, chr(10))) - 1 as nl,
+  select split, grp, doc_id, len(string_split(text, chr(10))) - 1 as nl,
          coalesce(sum(len(string_split(text, chr(10))) - 1) over (
-           partition by grp order by doc_id rows between unbounded preceding and 1 preceding), 0) as off
+           partition by split, grp order by doc_id rows between unbounded preceding and 1 preceding), 0) as off
   from f1 where text is not null),
-g as (select grp, string_split(string_agg(text, '' order by doc_id), chr(10)) as parts
-      from f1 where text is not null group by grp),
-lines as (select grp, i - 1 as k, parts[i] as raw
-          from (select grp, parts, unnest(generate_series(1, len(parts))) as i from g)),
-firsts as (select grp, min(doc_id) as d0 from docs group by grp),
+g as (select split, grp, string_split(string_agg(text, '' order by doc_id), chr(10)) as parts
+      from f1 where text is not null group by split, grp),
+lines as (select split, grp, i - 1 as k, parts[i] as raw
+          from (select split, grp, parts, unnest(generate_series(1, len(parts))) as i from g)),
+firsts as (select split, grp, min(doc_id) as d0 from docs group by split, grp),
 placed as (
-  select l.grp, case when l.k = 0 then f.d0 else d.doc_id end as doc_id,
+  select l.split, l.grp, case when l.k = 0 then f.d0 else d.doc_id end as doc_id,
          (case when l.k = 0 then 0 else l.k - d.off end)::BIGINT as line_no,
          trim(l.raw, {WS}) as text
   from lines l
-  join firsts f on f.grp = l.grp
-  left join docs d on d.grp = l.grp and l.k > d.off and l.k <= d.off + d.nl and l.k > 0)
-select grp, doc_id, line_no, text from placed where text <> '' and not ends_with(text, ':')"""
+  join firsts f on f.grp = l.grp and f.split = l.split
+  left join docs d on d.grp = l.grp and d.split = l.split and l.k > d.off and l.k <= d.off + d.nl and l.k > 0)
+select split, grp, doc_id, line_no, text from placed where text <> '' and not ends_with(text, ':')"""
 
 ORACLE["causal_encode"] = f"""with {F1}, {DOC_LINES},
 e as (select doc_id, line_no, {byte_ids('text', CORPUS_LENGTH)} as ids from doc_lines)
@@ -186,6 +193,12 @@ ranked as (
 ORACLE["shuffle_epoch"] = f"""with {F2}, {SHUFFLED}
 select epoch, row_id, pos from s"""
 
+ORACLE["shuffle_null_keys"] = f"""with {F2},
+x as (select row_id, case when row_id % 3 <> 0 then (row_id % 3)::VARCHAR end as split, md5('{SEED}:0:' || row_id) as key from f2)
+select split, 0 as epoch, row_id, row_number() over (partition by split order by key, row_id) - 1 as pos,
+       count(*) over (partition by split) as n_rows
+from x"""
+
 ORACLE["rank_shards"] = f"""with {F2}, {SHUFFLED}, {RANKED}
 select * from ranked"""
 
@@ -224,6 +237,22 @@ ORACLE["epoch_loss_by_rank"] = f"""with {F4}
 select run_id, rank, epoch, phase, {exact_mean4('loss')} as avg_loss, count(*) as n_steps
 from f4 group by 1, 2, 3, 4"""
 
+# plain double means, but for the runs of small losses, where ties are common
+ORACLE["epoch_loss_diverged"] = f"""with {F4},
+x as (
+  select run_id, rank, epoch, phase, case
+           when run_id % 5 = 1 and step % 7 = 3 then 'nan'::DOUBLE
+           when run_id % 5 = 2 and step % 7 = 3 then 'inf'::DOUBLE
+           when run_id % 5 = 3 and step % 2 = 1 then '-inf'::DOUBLE
+           when run_id % 5 = 4 then floor(loss * 8) / 8.0::DOUBLE + 2.5e8::DOUBLE else loss end as loss from f4),
+e as (select run_id, rank, epoch, phase, count(*) as n_steps, case
+        when bool_or(not isfinite(loss)) or run_id % 5 = 4 then round_even(avg(loss), 4)
+        else {exact_mean4('case when isfinite(loss) then loss end')} end as m
+      from x group by 1, 2, 3, 4)
+select run_id, rank, epoch, phase, n_steps,
+       case when isfinite(m) then {py_float_text('m')} else m::VARCHAR end as avg_loss_text
+from e"""
+
 ORACLE["loss_across_ranks"] = f"""with {F4},
 steps as (
   select run_id, phase, epoch, 'step' as level, step, {r12('avg(loss)')} as mean_loss, count(*) as n
@@ -359,17 +388,19 @@ select source, 'GPU ' || source as name, device as device_id, gpu_memory_total |
        count(*) over (partition by source) as n_devices
 from inv"""
 
-ORACLE["driver_versions"] = f"""with {F3},
-b as (select source, case when source = 'host2'
+VERSIONS = f"""b as (select source, case when source = 'host2'
         then 'NVIDIA-SMI has failed because it couldn''t communicate with the driver.'
         else '| NVIDIA-SMI 470.57.02    Driver Version: 470.57.' || (count(*) % 100) || '    CUDA Version: 11.' || (count(*) % 10) || '     |' end as text
       from f3 group by source),
-v as (select source, regexp_matches(text, 'Driver Version: (.+?) ') and regexp_matches(text, 'CUDA Version:(.*) ') as ok,
-             trim(regexp_extract(text, 'Driver Version: (.+?) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as d,
-             trim(regexp_extract(text, 'CUDA Version:(.*) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as c
-      from b)
+v as (select source, regexp_matches(text, '{DRIVER_PATTERN}') and regexp_matches(text, '{CUDA_PATTERN}') as ok,
+             trim(regexp_extract(text, '{DRIVER_PATTERN}', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as d,
+             trim(regexp_extract(text, '{CUDA_PATTERN}', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as c
+      from b)"""
+
+ORACLE["driver_versions"] = f"""with {F3},
+{VERSIONS}
 select source, case when ok then d end as driver_version, case when ok then c end as cuda_version,
-       case when not ok then 'nvidia-smi output is unexpected' end as error
+       case when not ok then '{BANNER_ERROR}' end as error
 from v"""
 
 
@@ -417,32 +448,31 @@ select time_bucket(interval '1 hour', ts) as window_start,
        run_id, phase, epoch, {r12('sum(loss) / count(*)')} as mean_loss, count(*) as n
 from f4 group by 1, 2, 3, 4, 5"""
 
-ORACLE["device_profile_record"] = f"""with {F3}, {_fields('skip')},
+def _records(logged: str) -> str:
+    """One record per chunk of a sound host's log (an empty one without a log)
+    and one per failing host; ``logged`` says which lines there are."""
+    return f"""with {F3}, {_fields('skip')},
 per_dev as (select source, line_no // {PROFILE_CHUNK} as chunk, device, {{{_series}}} as s
-            from fields group by 1, 2, 3),
+            from fields where {logged} group by 1, 2, 3),
 nested as (select source, chunk, map_from_entries(list({{'k': device, 'v': s}} order by device)) as profile
            from per_dev group by 1, 2),
 inv as (select distinct source, device, gpu_memory_total from fields),
 devs as (select source, list({{'name': 'GPU ' || source, 'device_id': device, 'memory': gpu_memory_total || ' MiB'}}
                              order by 'GPU ' || source, device, gpu_memory_total || ' MiB') as devices
          from inv group by source),
-b as (select source, case when source = 'host2'
-        then 'NVIDIA-SMI has failed because it couldn''t communicate with the driver.'
-        else '| NVIDIA-SMI 470.57.02    Driver Version: 470.57.' || (count(*) % 100) || '    CUDA Version: 11.' || (count(*) % 10) || '     |' end as text
-      from f3 group by source),
-v as (select source, regexp_matches(text, 'Driver Version: (.+?) ') and regexp_matches(text, 'CUDA Version:(.*) ') as ok,
-             trim(regexp_extract(text, 'Driver Version: (.+?) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as d,
-             trim(regexp_extract(text, 'CUDA Version:(.*) ', 1), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) as c
-      from b),
-ver as (select source, case when ok then d end as driver_version, case when ok then c end as cuda_version,
-               case when not ok then 'nvidia-smi output is unexpected' end as error from v)
-select n.source, n.chunk,
-       case when ver.error is null
-         then to_json({{'error': ver.error, 'cuda_version': ver.cuda_version, 'driver_version': ver.driver_version,
-                        'devices': d.devices, 'profile': n.profile}})
-         else to_json({{'error': ver.error, 'cuda_version': ver.cuda_version, 'driver_version': ver.driver_version}})
-       end as record_json
-from nested n left join ver using (source) left join devs d using (source)"""
+{VERSIONS}
+select source, 0::BIGINT as chunk,
+       to_json({{'error': '{BANNER_ERROR}', 'cuda_version': NULL::VARCHAR, 'driver_version': NULL::VARCHAR}}) as record_json
+from v where not ok
+union all
+select v.source, coalesce(n.chunk, 0) as chunk,
+       to_json({{'error': NULL::VARCHAR, 'cuda_version': v.c, 'driver_version': v.d, 'devices': d.devices,
+                'profile': coalesce(n.profile, MAP {{}})}}) as record_json
+from v left join devs d using (source) left join nested n using (source) where ok"""
+
+
+ORACLE["device_profile_record"] = _records("true")
+ORACLE["profile_records_all_hosts"] = _records("source <> 'host1'")
 
 # The JSON sink reads back to the same records
 ORACLE["profile_json_sink"] = ORACLE["device_profile_record"]

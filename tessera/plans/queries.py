@@ -57,7 +57,10 @@ def corpus_lines_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def corpus_lines_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_lines(fx.corpus(spark, sf_dir), scope="group", group_col="grp", order_col="doc_id")
+    """A1: texts concatenated per split and source, so that no line runs from
+    one split into another."""
+    return split_lines(fx.corpus(spark, sf_dir), scope="group", group_col=["split", "grp"], order_col="doc_id",
+                       dense_order=True)
 
 
 # ---- step 2: encoding -----------------------------------------------------
@@ -133,6 +136,31 @@ def epoch_loss_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.epoch_loss(fx.step_metrics(spark, sf_dir))
 
 
+@query
+def epoch_loss_diverged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2/A3 on a run with NaN, infinite and very large losses, as text."""
+    e = m.epoch_loss(fx.diverged_metrics(spark, sf_dir))
+    return e.select("run_id", "rank", "epoch", "phase", m.py_float_text("avg_loss").alias("avg_loss_text"), "n_steps")
+
+
+@query
+def shuffle_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 within a key that is null for a part of the rows."""
+    pairs = fx.pairs(spark, sf_dir).withColumn(
+        "split", F.when(F.col("row_id") % 3 != 0, (F.col("row_id") % 3).cast("string")))
+    return shuffle_position(pairs, epochs=1, seed=SEED, partition_cols=["split"])
+
+
+@query
+def profile_records_all_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts with a log, with a failing banner, and with no log at all."""
+    log = fx.monitor_log(spark, sf_dir)
+    fields = tm.monitor_fields(log, mode="skip").where(F.col("source") != "host1")
+    return tm.profile_record(tm.parse_versions(fx.driver_banners(spark, sf_dir, log)),
+                             tm.parse_inventory(fx.inventory_lines(spark, sf_dir, log)),
+                             tm.profile_nested(fields, chunk=PROFILE_CHUNK))
+
+
 @query
 def loss_across_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.loss_across_ranks(fx.step_metrics(spark, sf_dir), every_n=EVERY_N)

@@ -66,9 +66,10 @@ def python_split_lines(batch: pd.DataFrame) -> pd.DataFrame:
         if text is None:
             continue
         for i, x in enumerate(text.split("\n")):
-            s = x.strip()
-            if s and not s[-1] == ":":
-                rows.append((doc_id, i, s))
+            line = x.strip()
+            if line == "" or line.endswith(":"):
+                continue
+            rows.append((doc_id, i, line))
     return pd.DataFrame(rows, columns=["doc_id", "line_no", "text"]).astype({"doc_id": "int64", "line_no": "int64"})
 
 

@@ -11,23 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-def spread_narrow_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread the rows of a scan that plans fewer partitions than the
-    cluster has cores (a small input held in one file or row group), so that
-    the row-by-row work after it (line splitting, encoding) uses every core.
-
-    The partition count comes from planning; no job runs.  An input that
-    plans at least one partition per core is returned unchanged, so no
-    shuffle is added at scale, and the shuffle added here moves at most a
-    few partitions' worth of data (fewer than cores x
-    ``spark.sql.files.maxPartitionBytes``).  Hashing on a unique key keeps
-    the placement deterministic when a task is retried.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
 
 def read_pairs_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    columns: Sequence[str] = ("source_text", "target_text"),

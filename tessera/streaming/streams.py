@@ -48,8 +48,9 @@ def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     r = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    file = F.col("_metadata.file_path")
-    src = F.regexp_extract(file, f"{source_key}=([^/]+)/", 1) if source_key else file
+    if source_key:  # the partition column, whose name is read unescaped
+        r = r.schema(T.StructType([T.StructField("value", T.StringType()), T.StructField(source_key, T.StringType())]))
+    src = F.col(source_key) if source_key else F.col("_metadata.file_path")
     return r.text(path).select(src.alias("source"),
                                F.lit(None).cast("bigint").alias("line_no"), F.col("value").alias("line"))
 

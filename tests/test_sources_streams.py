@@ -156,16 +156,3 @@ def test_banner_file_is_one_record(spark):
     b = files.read_banners(spark, root, source="source")
     v = tm.parse_versions(b).collect()
     assert len(v) == 1 and (v[0].driver_version, v[0].cuda_version, v[0].error) == ("470.57.02", "11.4", None)
-
-
-def test_spread_only_narrow_scans(spark):
-    """A scan with fewer partitions than cores is hash-spread; one with at
-    least a partition per core is returned as it is (no added shuffle)."""
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    spread = files.spread_narrow_scan(narrow, "id")
-    assert spread.rdd.getNumPartitions() == cores
-    assert "hashpartitioning(id" in spread._jdf.queryExecution().executedPlan().toString()
-    wide = spark.range(0, 100, 1, cores)
-    assert files.spread_narrow_scan(wide, "id") is wide
-    assert rows(spread) == rows(narrow)
