@@ -247,7 +247,7 @@ x as (
            when run_id % 5 = 4 then floor(loss * 8) / 8.0::DOUBLE + 2.5e8::DOUBLE else loss end as loss from f4),
 e as (select run_id, rank, epoch, phase, count(*) as n_steps, case
         when bool_or(not isfinite(loss)) or run_id % 5 = 4 then round_even(avg(loss), 4)
-        else {exact_mean4('case when isfinite(loss) then loss end')} end as m
+        else {exact_mean4('case when isfinite(loss) and run_id % 5 <> 4 then loss end')} end as m
       from x group by 1, 2, 3, 4)
 select run_id, rank, epoch, phase, n_steps,
        case when isfinite(m) then {py_float_text('m')} else m::VARCHAR end as avg_loss_text

@@ -1,5 +1,6 @@
 """H1, H2, P4, P5 and A1 against plain-Python restatements."""
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -75,14 +76,16 @@ def test_group_scope_is_partition_invariant(spark):
     assert results[0] == results[1] == results[2]
 
 
-def test_null_text_rows_are_skipped(spark):
+def test_null_text_fails_or_is_dropped(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], "doc_id long, text string")
-    assert rows(split_lines(df)) == [(2, 0, "a")]
+    assert rows(split_lines(df, on_null="drop")) == [(2, 0, "a")]
+    with pytest.raises(Exception, match="null value in column text"):
+        split_lines(df).collect()
 
 
 def test_group_scope_sparse_order(spark):
     data = [(i * 7919 + 13, f"g{i % 2}", f"p{i}" + ("\n" if i % 3 == 0 else "")) for i in range(40)]
     df = spark.createDataFrame(data, "doc_id long, grp string, text string")
     a = split_lines(df, scope="group", group_col="grp", order_col="doc_id", chunk=4, dense_order=False)
-    b = split_lines(df, scope="group", group_col="grp", order_col="doc_id")
+    b = split_lines(df, scope="group", group_col="grp", order_col="doc_id", dense_order=True)
     assert rows(a) == rows(b)
