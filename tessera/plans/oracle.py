@@ -8,7 +8,8 @@ that a wrong one in the library shows.
 from __future__ import annotations
 
 from tessera.plans.queries import (
-    BATCH, CORPUS_LENGTH, PROFILE_CHUNK, RETURN_SEQUENCES, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE, SEED, WORLD)
+    BATCH, CORPUS_LENGTH, PROFILE_CHUNK, RETURN_SEQUENCES, DEVICES_PER_NODE, EPOCHS, EVERY_N, MAX_EPOCHS, PAIR_LENGTH, PATIENCE,
+    PREPARED_EPOCH, PREPARED_RANK, PREPARED_SPLIT, SEED, WORLD)
 
 # fixed values: code points that Python's str.strip() removes
 WHITESPACE = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198,
@@ -421,6 +422,13 @@ select r.epoch, r.rank, r.pos_in_rank, r.pos_in_rank // {BATCH} as batch_id, r.r
        (least(strlen(f2.source_text), {PAIR_LENGTH - 1}) + 1)::INTEGER as source_len
 from ranked r join f2 using (row_id)"""
 
+ORACLE["prepared_rank_shard"] = f"""with {F2}, {SHUFFLED}, {RANKED},
+enc as ({ORACLE["pair_encode"].replace(f"with {F2},", "with")})
+select r.pos_in_rank, r.pos_in_rank // {BATCH} as batch_id, enc.*
+from ranked r join enc using (row_id)
+where r.epoch = {PREPARED_EPOCH} and r.rank = {PREPARED_RANK}
+  and case when r.row_id % 10 = 8 then 'validation' else 'train' end = '{PREPARED_SPLIT}'"""
+
 # S5 and S6 read back from files give the same rows as the in-table forms
 ORACLE["inventory_file_source"] = ORACLE["device_inventory"]
 ORACLE["banner_file_source"] = ORACLE["driver_versions"]

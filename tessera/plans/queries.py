@@ -301,19 +301,36 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_pairs_csv(spark, path, schema=PAIR_ROW_SCHEMA)
 
 
-@query
-def prepared_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+ORDER_COLUMNS = ("epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding")
+PREPARED_SPLIT, PREPARED_EPOCH, PREPARED_RANK = "train", 1, 3
+
+
+def _prepared(spark: SparkSession, sf_dir: str, split_col: str | None = None) -> str:
     pairs = fx.pairs(spark, sf_dir)
-    encoded = encode_pairs(pairs, source_max_length=PAIR_LENGTH, target_max_length=PAIR_LENGTH)
     order = assign_batch(assign_rank(shuffle_position(pairs, epochs=EPOCHS, seed=SEED), world_size=WORLD,
-                                     devices_per_node=DEVICES_PER_NODE), BATCH)
+                                     devices_per_node=DEVICES_PER_NODE), BATCH).select(*ORDER_COLUMNS)
+    if split_col:
+        order = order.withColumn(split_col, F.when(F.col("row_id") % 10 == 8, "validation").otherwise("train"))
     path = staging_path(spark, "prepared")
-    files.write_prepared(encoded, order.select("epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding"),
-                         path)
-    rows, ordered = files.read_prepared(spark, path)
+    files.write_prepared(pairs, order, path, lambda d: encode_pairs(
+        d, source_max_length=PAIR_LENGTH, target_max_length=PAIR_LENGTH, keep=order.columns), split_col=split_col)
+    return path
+
+
+@query
+def prepared_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole prepared dataset, read back with the real source lengths."""
+    rows = files.read_prepared(spark, _prepared(spark, sf_dir))
     real = F.size(F.array_remove("source_text_attention_mask", 0))
-    return ordered.join(rows.select("row_id", real.alias("source_len")), "row_id").select(
-        "epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding", "source_len")
+    return rows.select(*ORDER_COLUMNS, real.alias("source_len"))
+
+
+@query
+def prepared_rank_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token arrays of one split, epoch and rank, from that folder alone."""
+    rows = files.read_prepared(spark, _prepared(spark, sf_dir, "split"), PREPARED_EPOCH, PREPARED_RANK, PREPARED_SPLIT)
+    return rows.select("pos_in_rank", "batch_id", "row_id", "source_text_input_ids", "source_text_attention_mask",
+                       "labels", "labels_attention_mask")
 
 
 @query

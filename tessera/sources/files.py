@@ -7,7 +7,7 @@ one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -136,33 +136,30 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_prepared(encoded: DataFrame, order: DataFrame, path: str, row_id: str = "row_id",
-                   split_col: str | None = None, mode: str = "overwrite") -> None:
-    """The prepared dataset.
+def write_prepared(texts: DataFrame, order: DataFrame, path: str, encode: Callable[[DataFrame], DataFrame],
+                   row_id: str = "row_id", split_col: str | None = None, mode: str = "overwrite") -> None:
+    """The prepared dataset, one folder of token arrays per rank.
 
-    ``encoded`` (one row per example, token arrays) is written once, under
-    ``path/rows``; ``order`` (``epoch, rank, pos_in_rank, batch_id,
-    row_id``) is written under ``path/order`` partitioned by epoch and rank,
-    sorted by position, so each trainer process reads only its own shard
-    and looks rows up by ``row_id``; epochs do not copy the payload.
-
-    Neither write puts a folder in one task.  The payload is not shuffled
-    at all: every task writes its rows into the split folders it holds,
-    sorted by ``row_id`` (the partitioned writer sorts by split anyway), so
-    Parquet min/max statistics prune lookups.  The small key index is
-    range-partitioned on the folder keys *plus* ``pos_in_rank``, never
-    hash-partitioned on the folder keys alone: a big rank is cut over many
-    tasks, each writing one sorted file, and the file names follow the order.
+    ``texts`` (one row per example) meets ``order`` (``epoch, rank,
+    pos_in_rank, row_id, ...``) by ``row_id``; the rows, still as text, go
+    through one range exchange on (split, epoch, rank, pos_in_rank), which cuts
+    a large rank over many tasks, and are encoded behind it.  ``encode`` maps a
+    frame to its token columns and must keep the columns of ``order``.  Files
+    lie under ``path/[split=s/]epoch=e/rank=r`` in feeding order, so a trainer
+    process reads its own folder and nothing else.
     """
-    parts = [split_col] if split_col else []
-    (encoded.sortWithinPartitions(*parts, row_id)
-     .write.mode(mode).partitionBy(*parts).parquet(f"{path}/rows"))
-    keys = parts + ["epoch", "rank"]
-    (order.repartitionByRange(*keys, "pos_in_rank")
-     .sortWithinPartitions(*keys, "pos_in_rank")
-     .write.mode(mode).partitionBy(*keys).parquet(f"{path}/order"))
-
-
-def read_prepared(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Read back what :func:`write_prepared` wrote: ``(rows, order)``."""
-    return spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/order")
+    keys = ([split_col] if split_col else []) + ["epoch", "rank"]
+    rows = order.join(texts, row_id)
+    rows = rows.repartitionByRange(*keys, "pos_in_rank").sortWithinPartitions(*keys, "pos_in_rank")
+    encode(rows).write.mode(mode).partitionBy(*keys).parquet(path)
+
+
+def read_prepared(spark: SparkSession, path: str, epoch: int | None = None, rank: int | None = None,
+                  split: str | None = None, split_col: str = "split") -> DataFrame:
+    """Read what :func:`write_prepared` wrote: all of it, or the folder of one
+    split, epoch and rank.  Rows carry ``pos_in_rank``; sort by it to feed."""
+    rows = spark.read.parquet(path)
+    for col, value in ((split_col, split), ("epoch", epoch), ("rank", rank)):
+        if value is not None:
+            rows = rows.where(F.col(col) == value)
+    return rows

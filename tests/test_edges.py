@@ -109,3 +109,20 @@ def test_percent_inverse(spark):
     df = spark.createDataFrame([(25.0, 16160.0)], "p double, t double")
     out = df.select(tm.absolute_to_percent((F.col("p") / 100) * F.col("t"), F.col("t")).alias("p")).first()
     assert out["p"] == pytest.approx(25.0)
+
+
+def test_a_rank_reads_its_own_folder(spark, tmp_path):
+    from tessera.operators.encode import encode_pairs
+    from tessera.sources import files
+
+    texts = spark.range(40).selectExpr("id AS row_id", "concat('s', id) AS source_text", "concat('t', id) AS target_text")
+    order = assign_rank(shuffle_position(texts, epochs=2), 4).select("epoch", "rank", "pos_in_rank", "row_id")
+    order = order.withColumn("split", F.when(F.col("row_id") < 8, "test").otherwise("train"))
+    path = str(tmp_path / "prepared")
+    files.write_prepared(texts, order, path, lambda d: encode_pairs(d, keep=order.columns), split_col="split")
+    part = files.read_prepared(spark, path, epoch=1, rank=2, split="train")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+    want = order.where("epoch = 1 AND rank = 2 AND split = 'train'").select("pos_in_rank", "row_id")
+    assert rows(part.select("pos_in_rank", "row_id")) == rows(want)
+    assert files.read_prepared(spark, path).count() == order.count()
