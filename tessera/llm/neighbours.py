@@ -22,17 +22,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.common import components, staged
 
-SHARD = 1200
+SHARD = 800
 FANOUT = 64
 #: Sampled vectors per centre, and rounds of k-means.
 SAMPLED, ROUNDS = 48, 8
 #: Levels of splitting; a shard that is still too large (vectors that no centre
 #: tells apart) is worked off in pairs of blocks.
 LEVELS = 6
-ALPHA = 1.2
+ALPHA = 1.05
 #: A vector goes to centres whose cosine is at most this below the best one's,
-#: three at most; the search goes on through vectors so far below the threshold.
-MARGIN, OVERLAP, SLACK = 0.12, 3, 0.03
+#: two at most; the search goes on through vectors so far below the threshold.
+MARGIN, OVERLAP, SLACK = 0.08, 2, 0.03
 
 
 def _usable(v: Column) -> Column:
@@ -86,7 +86,9 @@ def cluster_shards(classes: DataFrame) -> DataFrame:
         large = staged(sizes.where(F.col("n") > SHARD), "large")
         if large.isEmpty():
             break
-        k = F.least(F.lit(FANOUT), F.greatest(F.lit(2), F.ceil(F.col("n") / (SHARD / 2)))).cast("int")
+        # so many centres that the shards with their overlap are small enough at
+        # once: each further level would multiply the overlap
+        k = F.least(F.lit(FANOUT), F.greatest(F.lit(2), F.ceil(F.col("n") * OVERLAP / (0.6 * SHARD)))).cast("int")
         large = large.withColumn("k", k)
         small_ = place.join(large.select("shard"), "shard", "left_anti")
         done = small_ if done is None else done.unionByName(small_)
