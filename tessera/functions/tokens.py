@@ -155,6 +155,12 @@ def clean_up_spaces(c) -> Column:
     return out
 
 
+# fixed values: the well-formed UTF-8 byte sequences of two to four bytes
+UTF8_SEQUENCE = (
+    r"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    r"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}")
+
+
 def decode_ids(ids, skip_special: bool = True, clean_spaces: bool = True) -> Column:
     """Byte ids back to text.  Special ids are skipped, or written as
     their token text with ``skip_special=False``; out-of-range ids are
@@ -171,9 +177,10 @@ def decode_ids(ids, skip_special: bool = True, clean_spaces: bool = True) -> Col
             for i, t in BYTE_SPECIAL_TEXT.items():
                 out = out.when(x == F.lit(i), F.lit(t))
             return out.otherwise(F.lit(""))
-    # one ISO-8859-1 character per byte, back to bytes, then read as UTF-8;
-    # invalid sequences become U+FFFD and are dropped (errors="ignore")
+    # one ISO-8859-1 character per byte; the characters that spell no valid
+    # UTF-8 sequence are taken out (errors="ignore"), the rest goes back to
+    # bytes and is read as UTF-8, so a genuine U+FFFD stays
     latin1 = F.array_join(F.transform(a, piece), "")
-    raw = F.encode(latin1, "ISO-8859-1").cast("string")
-    text = F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
+    valid = F.regexp_replace(latin1, f"({UTF8_SEQUENCE})|[\\x80-\\xff]", "$1")
+    text = F.encode(valid, "ISO-8859-1").cast("string")
     return clean_up_spaces(text) if clean_spaces else text

@@ -386,6 +386,23 @@ def stream_device_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
 
 
+@query
+def stream_device_max_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 over two runs of one stream: the second brings rows older than the
+    watermark (the first lines of each log once more, at full utilisation),
+    which change no window."""
+    src = staging_path(spark, "monitor-late-in")
+    log = fx.monitor_log(spark, sf_dir)
+    out, ck = staging_path(spark, "monitor-late-out"), staging_path(spark, "monitor-late-ck")
+    late = log.where("line_no < 20").withColumn(
+        "line", F.regexp_replace("line", r"^([^,]*, [^,]*), [^,]*,", "$1, 101,"))
+    for rows in (log, late):
+        rows.write.mode("append").parquet(src)
+        lines = spark.readStream.schema(streams.MONITOR_SCHEMA).parquet(src)
+        streams.run_to_table(streams.device_max_stream(lines, STREAM_WINDOW, STREAM_DELAY), out, ck)
+    return streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
+
+
 @query
 def stream_text_device_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 stream form + T1: the F3 log arriving as text files per host

@@ -86,16 +86,22 @@ def step_loss_stream(steps: DataFrame, window: str = "1 hour", delay: str = "1 h
 
 
 def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
-                 processing_time: str | None = None):
-    """Run an update-mode aggregation, appending every micro-batch's changed
-    rows with its ``batch_id`` under ``out_path``.  With ``available_now`` the
-    call returns once all input present at start has been processed."""
+                 processing_time: str | None = None, output_mode: str = "update"):
+    """Run an aggregation, appending every micro-batch's changed rows with its
+    ``batch_id`` under ``out_path``.  With ``available_now`` the call returns
+    once all input present at start has been processed.
+
+    A stream that runs for long should use ``output_mode='append'``: a window
+    is then written once, when the watermark has closed it, so the table holds
+    no older versions and is read as it is.  ``update`` also shows the open
+    windows, at the price of :func:`latest` over all batches kept.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch, overwritten on a replay: idempotent
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
             f"{out_path}/batch_id={batch_id}")
 
-    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(sink)
+    w = agg.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     if available_now:
         q = w.trigger(availableNow=True).start()
         q.awaitTermination()

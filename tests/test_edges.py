@@ -126,3 +126,24 @@ def test_a_rank_reads_its_own_folder(spark, tmp_path):
     want = order.where("epoch = 1 AND rank = 2 AND split = 'train'").select("pos_in_rank", "row_id")
     assert rows(part.select("pos_in_rank", "row_id")) == rows(want)
     assert files.read_prepared(spark, path).count() == order.count()
+
+
+def test_decode_keeps_a_genuine_replacement_character(spark):
+    from tessera.functions.tokens import BYTE_OFFSET, decode_ids
+
+    cases = ["a�b".encode(), b"a\xffb", b"\xe4\xb8", b"x\xf0\x9f\x98\x80\xf0\x9f", b"\xc0\x80\xed\xa0\x80z", "é中\n".encode(), b""]
+    df = spark.createDataFrame([(i, [b + BYTE_OFFSET for b in c]) for i, c in enumerate(cases)], "i int, ids array<int>")
+    got = {r["i"]: r["t"] for r in df.select("i", decode_ids("ids", clean_spaces=False).alias("t")).collect()}
+    assert got == {i: c.decode("utf-8", errors="ignore") for i, c in enumerate(cases)}
+
+
+def test_one_pass_over_the_steps(spark):
+    from tessera.plans.queries import QUERIES
+    from tests.conftest import SF_SMALL
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["loss_across_ranks"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") + plan.count("BatchScan") <= 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
