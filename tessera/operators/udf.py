@@ -87,6 +87,25 @@ def encode_with_tokenizer(df: DataFrame, tokenizer_factory: Callable[[], Callabl
     return df.mapInPandas(run, schema)
 
 
+def decode_with_tokenizer(df: DataFrame, tokenizer_factory: Callable[[], object], ids_col: str, out_col: str = "text",
+                          keep: Sequence[str] = ("row_id",), skip_special_tokens: bool = True,
+                          clean_up_tokenization_spaces: bool = True) -> DataFrame:
+    """H23 through U2: ids back to text with a user tokenizer, whose
+    ``decode(ids, skip_special_tokens=..., clean_up_tokenization_spaces=...)``
+    is called per row; null ids give a null text."""
+    keep = list(keep)
+    schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(out_col, T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tok = tokenizer_factory()          # once per task
+        for b in batches:
+            text = [None if ids is None else tok.decode(ids, skip_special_tokens=skip_special_tokens,
+                                                        clean_up_tokenization_spaces=clean_up_tokenization_spaces)
+                    for ids in b[ids_col]]
+            yield b[keep].assign(**{out_col: pd.Series(text, index=b.index, dtype="object")})
+    return df.select(*keep, ids_col).mapInPandas(run, schema)
+
+
 def generate(df: DataFrame, model_factory: Callable[[], object], text_col: str = "source_text",
              id_col: str = "row_id", num_return_sequences: int = 1, **options) -> DataFrame:
     """U4: batch generation with a user model; one output row per returned

@@ -408,6 +408,7 @@ from v"""
 # ---- step 6: user functions (same results as the native operators) ----------
 ORACLE["batch_mapper"] = ORACLE["corpus_lines_document"]
 ORACLE["user_tokenizer"] = ORACLE["pair_encode"]
+ORACLE["user_tokenizer_decode"] = f"select row_id, source_decoded from ({ORACLE['decode_roundtrip']})"
 ORACLE["metric_callback"] = ORACLE["argmax_accuracy"]
 ORACLE["batch_generate"] = f"""with {F2}
 select row_id, s.seq_no::INTEGER as seq_no, {cleanup(byte_prefix('source_text', PAIR_LENGTH - 1))} as text

@@ -273,6 +273,12 @@ def user_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("target_text_attention_mask").alias("labels_attention_mask"))
 
 
+@query
+def user_tokenizer_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enc = encode_pairs(fx.pairs(spark, sf_dir), source_max_length=PAIR_LENGTH, target_max_length=PAIR_LENGTH)
+    return udf.decode_with_tokenizer(enc, standins.ByteTokenizer, "source_text_input_ids", "source_decoded")
+
+
 GENERATE_OPTIONS = dict(max_length=PAIR_LENGTH, num_beams=2, top_k=10, top_p=0.95,
                         repetition_penalty=2.5, length_penalty=1.0, early_stopping=True)
 RETURN_SEQUENCES = 2

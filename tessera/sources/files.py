@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from tessera.session import ensure_checkpoint_dir
+
 
 def read_pairs_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    columns: Sequence[str] = ("source_text", "target_text"),
@@ -63,7 +65,8 @@ def read_split_corpus(spark: SparkSession, path: str, split_col: str = "split",
 
 
 def read_text_lines(spark: SparkSession, path: str, source_col: str = "source",
-                    source: str | None = None) -> DataFrame:
+                    source: str | None = None, only: Sequence[str] | None = None,
+                    materialize: bool = True) -> DataFrame:
     """Text files as ``(source, line_no, line)`` with ``line_no`` counted
     from 0 per source, split on line feed only.
 
@@ -77,16 +80,25 @@ def read_text_lines(spark: SparkSession, path: str, source_col: str = "source",
     a block's lines arrive in file order, so a line's number is the block's
     offset (lines in earlier files and blocks of the source, a running sum
     over the small per-block count table) plus its index in the block.
+
+    ``only`` names the sources to read; the others' folders are not scanned (a
+    filter on the result cannot be pushed below the numbering).  The lines are
+    used twice, for the counts and for the result; ``materialize`` checkpoints
+    them once, so that both uses see the same file blocks whatever the cluster
+    looks like at either time.
     """
     file = F.col("_metadata.file_path")
-    raw = (spark.read.option("lineSep", "\n").text(path)
-           .select((F.col(source) if source else file).alias(source_col),
+    text = spark.read.option("lineSep", "\n").text(path)
+    if only is not None:
+        text = text.where((F.col(source) if source else file).isin(list(only)))
+    raw = (text.select((F.col(source) if source else file).alias(source_col),
                    file.alias("_file"),
                    F.col("_metadata.file_block_start").alias("_blk"),
                    F.monotonically_increasing_id().alias("_mid"),
                    F.col("value").alias("line")))
-    # both uses of ``raw`` scan the same file splits in the same order, so
-    # they assign the same ids; no materialisation is needed
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        raw = raw.checkpoint(eager=True)
     keys = [source_col, "_file", "_blk"]
     blocks = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
     w = Window.partitionBy(source_col).orderBy("_file", "_blk").rowsBetween(Window.unboundedPreceding, -1)

@@ -147,3 +147,32 @@ def test_one_pass_over_the_steps(spark):
         assert plan.count("FileScan") + plan.count("BatchScan") <= 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_reading_one_host_scans_its_folder_only(spark, tmp_path):
+    from tessera.sources import files
+
+    log = spark.createDataFrame([(h, i, f"{h} {i}") for h in ("rack:1", "rack 2", "c") for i in range(30)],
+                                "source string, line_no long, line string")
+    path = str(tmp_path / "log")
+    files.write_text_log(log, path)
+    whole = files.read_text_lines(spark, path, source="source")
+    assert rows(whole.select("source", "line_no", "line")) == rows(log)
+    one = files.read_text_lines(spark, path, source="source", only=["rack:1"], materialize=False)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [source" in plan or "PartitionFilters: [isnotnull(source" in plan
+    assert rows(one.select("source", "line_no", "line")) == rows(log.where("source = 'rack:1'"))
+
+
+def test_stream_hosts_are_named_as_in_the_batch(spark, tmp_path):
+    from tessera.sources import files
+    from tessera.streaming import streams
+
+    log = spark.createDataFrame([(h, i, "d, 2024/01/01 00:00:00.1, 1, 2, 3, 4, 5, 6") for h in ("rack:1", "rack 2") for i in range(3)],
+                                "source string, line_no long, line string")
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    files.write_text_log(log, path)
+    lines = streams.read_text_stream(spark, path, source_key="source")
+    streams.run_to_table(streams.device_max_stream(lines), out, ck)
+    got = streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
+    assert sorted(r["source"] for r in got.collect()) == ["rack 2", "rack:1"]
