@@ -29,6 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+#: Rows of an Arrow batch: whole texts are large, and a Python worker holds a
+#: batch in several forms at once.
+ARROW_ROWS = 1000
+ARROW_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself; its session sends Python at most ``ARROW_ROWS`` rows at a
+    time from now on."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_KEY)) <= ARROW_ROWS:
+        conf.set(ARROW_KEY, str(ARROW_ROWS))
+    return df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession

@@ -18,7 +18,7 @@ from collections import deque
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import runs
+from tessera.llm.common import in_small_batches, runs
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -216,5 +216,5 @@ def extract(pages: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"page_id": b["page_id"].iloc[lo:hi].to_numpy(), "url": b["url"].iloc[lo:hi].to_numpy(),
                                     "text": text, "n_chars": [len(t) for t in text]})
 
-    narrow = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
+    narrow = in_small_batches(pages).select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
     return narrow.mapInPandas(work, "page_id bigint, url string, text string, n_chars bigint")

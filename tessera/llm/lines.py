@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import small, staged, word_count
+from tessera.llm.common import in_small_batches, small, staged, word_count
 
 WINDOW = 2
 #: Chunks of fewer lines or words are not removed.
@@ -115,8 +115,7 @@ def dedup(docs: DataFrame, counts: bool = False) -> DataFrame:
     last); rows with equal doc_id and text are one document, of which every row
     is cut alike.  An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    gone = staged(repeated_chunks(docs), "chunk-removal")
+    gone = staged(repeated_chunks(in_small_batches(docs)), "chunk-removal")
     n = gone.count()
 
     own = docs.columns

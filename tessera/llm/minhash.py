@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import components, runs, small, staged
+from tessera.llm.common import components, in_small_batches, runs, small, staged
 
 #: Bands and registers per band: a pair of similarity 0.8 shares no band with
 #: probability (1 - 0.8 ** 6) ** 48 < 5e-7.
@@ -251,6 +251,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     other than doc_id and text are not read.
     """
     registers = bands * rows
+    docs = in_small_batches(docs)
     prof = staged(profile(docs, words, registers), "profiles")
     real = prof.where("doc_id is not null and digest is not null")
     classes = staged(real.groupBy("digest").agg(

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import runs
+from tessera.llm.common import in_small_batches, runs
 
 DIMS, BITS, HASHED = 4, 8, 512
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -89,7 +89,7 @@ class Encoder:
 
     _odd = re.compile(r" (?:\s|\Z)")
 
-    def __init__(self, path: str, remember: int = 900_000):
+    def __init__(self, path: str, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -218,7 +218,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int =
             yield frame(done)
 
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("text"))
+    rows = in_small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("text"))
     rows = rows.mapInPandas(keyed, "doc_id bigint, text binary, key bigint")
     order = ["key", "doc_id", F.xxhash64("text")]
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))

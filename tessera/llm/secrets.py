@@ -15,7 +15,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import runs
+from tessera.llm.common import in_small_batches, runs
 
 # fixed patterns of the contract
 ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -93,6 +93,6 @@ def scan(docs: DataFrame, least_novelty: float = 0.8) -> DataFrame:
                     "base_sha256": [hashlib.sha256(digest(s).encode()).hexdigest() for s in base],
                     "spans": [digest(s) for s in all_]})
 
-    narrow = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    narrow = in_small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return narrow.mapInPandas(work, "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, "
                                     "base_sha256 string, spans string")
