@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -54,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             f"{CHECKPOINT_KEY} is not set; configure a shared folder for the cluster")
     scratch = tempfile.mkdtemp(prefix="tessera-ckpt-")
@@ -63,10 +64,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_handed_out: list[tuple[SparkSession, str]] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
+    """A fresh, unique folder under the shared checkpoint folder.  What is
+    written there is for this process: :func:`remove_staged` deletes it when
+    Python ends, or earlier if called."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _handed_out:
+        atexit.register(remove_staged)
+    _handed_out.append((spark, path))
+    return path
+
+
+def remove_staged() -> None:
+    """Delete the folders that :func:`staging_path` handed out.  Results that
+    still read them must have been written elsewhere before."""
+    while _handed_out:
+        spark, path = _handed_out.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # the session has ended: its folder is the cluster's to clear
+            return
 
 
 def table_path(sf_dir: str, name: str) -> str:
