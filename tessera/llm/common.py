@@ -2,13 +2,12 @@
 
 Intermediate tables are written as Parquet to the folder that the cluster
 names in ``spark.checkpoint.dir``, so a lost executor costs the recomputation
-of one stage at most.  The folders of a session are removed when the driver's
-Python ends.
+of one stage at most.  ``tessera.session`` removes the folders of a process
+when its Python ends.
 """
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,9 +21,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast up to this many (narrow) rows, counted first.
 BROADCAST_ROWS = 200_000
 
-_written: list[tuple[SparkSession, str]] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
@@ -49,24 +45,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    if not _written:
-        atexit.register(remove_staged)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_staged() -> None:
-    """Delete the folders that :func:`staged` wrote in this process."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session may be gone already
-            return
-
-
 def word_count(text: Column) -> Column:
     """Words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
