@@ -190,9 +190,17 @@ def _build(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 def _finder(threshold: float):
     def find(rows: pd.DataFrame) -> pd.DataFrame:
-        """Rows ``(a, b, n)``: link counts of ``a`` (b null), links that span the
-        components (n = 0), and links with vectors at home elsewhere (n = 1)."""
+        """Rows ``(a, b, n)``: link counts of ``a`` (b null), and links that span
+        the components (n null).
+
+        A link of two vectors at home here counts for both.  A link with a
+        vector at home elsewhere counts for the one at home here, and for the
+        other one as well if its home does not have the first, so that no list
+        of pairs is needed to count every link once on either side."""
         cls, size = rows["cls"].to_numpy(), rows["size"].to_numpy()
+        place = rows["place"].to_numpy()
+        most = max(map(len, rows["places"]))
+        places = np.array([[*p, *[p[0]] * (most - len(p))] for p in rows["places"]], np.int64)
         home, block = rows["home"].to_numpy(), rows["own"].to_numpy()
         across = rows["x"].iloc[0] != rows["y"].iloc[0]
         x = _unit(rows["vec"])
@@ -207,22 +215,22 @@ def _finder(threshold: float):
             pairs = pairs[block[pairs[:, 0]] != block[pairs[:, 1]]]
         inner = pairs[home[pairs[:, 1]]]
         inner = np.unique(np.concatenate([inner, inner[:, ::-1]]), axis=0)
-        counts = np.bincount(inner[:, 0], weights=size[inner[:, 1]], minlength=len(cls)).astype(np.int64)
+        outer = pairs[~home[pairs[:, 1]]]
+        unseen = outer[~(places[outer[:, 0]] == place[outer[:, 1]][:, None]).any(axis=1)]
+        links = np.concatenate([inner, outer, unseen[:, ::-1]])
+        counts = np.bincount(links[:, 0], weights=size[links[:, 1]], minlength=len(cls)).astype(np.int64)
         at = np.flatnonzero(counts)
-        none = pd.array([pd.NA] * len(at), dtype="Int64")
-        out = [pd.DataFrame({"a": cls[at], "b": none, "n": counts[at]})]
         root = np.arange(len(cls))
         span = []
-        for i, j in inner[inner[:, 0] < inner[:, 1]]:
+        for i, j in np.concatenate([inner[inner[:, 0] < inner[:, 1]], outer]):
             if root[i] != root[j]:
                 span.append((cls[i], cls[j]))
                 root[root == root[j]] = root[i]
-        outer = pairs[~home[pairs[:, 1]]]
-        a, b = cls[outer[:, 0]], cls[outer[:, 1]]
-        for p, n in ((np.array(span, np.int64).reshape(-1, 2), 0),
-                     (np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), 1)):
-            out.append(pd.DataFrame({"a": p[:, 0], "b": pd.array(p[:, 1], dtype="Int64"), "n": n}))
-        return pd.concat(out)
+        span = np.array(span, np.int64).reshape(-1, 2)
+        return pd.DataFrame({
+            "a": np.concatenate([cls[at], span[:, 0]]),
+            "b": pd.array([*[pd.NA] * len(at), *span[:, 1].tolist()], dtype="Int64"),
+            "n": pd.array([*counts[at].tolist(), *[pd.NA] * len(span)], dtype="Int64")})
 
     return find
 
@@ -253,17 +261,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     own = shards.join(sizes, "shard").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
         "shard", "cls", "home", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-    dealt = dealt.join(classes.select("cls", "size", "vec"), "cls")
+    places = shards.groupBy("cls").agg(F.collect_set("shard").alias("places"), F.max(F.when(F.col("home"), F.col("shard"))).alias("place"))
+    dealt = dealt.join(classes.select("cls", "size", "vec").join(places, "cls"), "cls")
     lists = dealt.groupBy("shard", "x", "y").applyInPandas(_build, "cls bigint, near array<bigint>")
     united = staged(lists.groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
     found = staged(dealt.join(united, "cls").groupBy("shard", "x", "y").applyInPandas(
         _finder(threshold), "a bigint, b bigint, n bigint"), "found")
 
-    outer = found.where("b is not null and n = 1").select("a", "b").distinct()
-    both = outer.unionByName(outer.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    weights = classes.select(F.col("cls").alias("b"), F.col("size").alias("n"))
-    counts = found.where("b is null").select("a", "n").unionByName(both.join(weights, "b").select("a", "n"))
-    counts = counts.groupBy("a").agg(F.sum("n").alias("others"))
+    counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
     comps = components(found.where("b is not null").select("a", "b"))
     known = classes.select("cls", "rep", "size").join(counts, F.col("cls") == F.col("a"), "left").join(
         comps, F.col("cls") == F.col("node"), "left").select(
