@@ -81,7 +81,8 @@ class Encoder:
 
     A single space before a non-space always starts a token of its own in a
     byte-level BPE, so a text is the concatenation of its space-led segments;
-    segments repeat a lot and are remembered (up to ``remember`` of them).  A
+    segments repeat a lot and are remembered (up to ``remember`` of them in two
+    generations, so that those in use outlive the rest).  A
     new segment is put together from atoms where it can be: a line feed between
     words and a full stop or comma behind letters are tokens by themselves.
     Texts with runs of white space at a space are encoded whole.
@@ -95,7 +96,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.remember, self.known, self.atoms = remember, {}, {}
+        self.remember = remember
+        self.known, self.atoms, self.old_known, self.old_atoms = {}, {}, {}, {}
 
     @staticmethod
     def _atoms(segment: str) -> list[str]:
@@ -110,22 +112,30 @@ class Encoder:
             out += [lead + x[:-1], x[-1]] if x[-1] in ".," and x[:-1].isalpha() else [lead + x]
         return out
 
+    @staticmethod
+    def _missing(keys, young: dict, old: dict) -> list[str]:
+        """The keys that neither generation holds; those of the old one are taken over."""
+        lack = set(keys).difference(young)
+        again = lack.intersection(old)
+        young.update((k, old[k]) for k in again)
+        return list(lack - again)
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in out]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) + len(self.atoms) > self.remember:
-            self.known.clear()
-            self.atoms.clear()
+        if len(self.known) + len(self.atoms) > self.remember // 2:
+            self.old_known, self.old_atoms = self.known, self.atoms
+            self.known, self.atoms = {}, {}
         known = self.known  # a segment without its space -> ids with it
         parts = [None if self._odd.search(t) else t.split(" ") for t in texts]
         whole = dict(zip((i for i, p in enumerate(parts) if p is None),
                          self._encode([t for t, p in zip(texts, parts) if p is None])))
         heads = iter(self._encode([p[0] for p in parts if p is not None]))
-        new = list(set(chain.from_iterable(p[1:] for p in parts if p is not None)).difference(known))
+        new = self._missing(chain.from_iterable(p[1:] for p in parts if p is not None), known, self.old_known)
         made = [self._atoms(w) for w in new]
-        fresh = list(set(chain.from_iterable(made)).difference(self.atoms))
+        fresh = self._missing(chain.from_iterable(made), self.atoms, self.old_atoms)
         for i in range(0, len(fresh), 4096):
             some = fresh[i : i + 4096]
             self.atoms.update(zip(some, self._encode(some)))

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -36,6 +37,14 @@ def test_segments_encode_like_whole_texts(plain, texts):
     assert have == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_forgetting_changes_nothing(plain):
+    few = packing.Encoder(PATH, remember=8)
+    r = random.Random(0)
+    for _ in range(60):
+        texts = [" ".join(r.choice(["the", "of,", "a.\nb", "x" * 70, "café", "12"]) for _ in range(r.randrange(8))) for _ in range(4)]
+        assert few(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_pieces_tile_documents_and_sequences(spark, plain):
     rows = doc_rows()
     out = got(packing.pack(documents(spark), PATH))
