@@ -90,7 +90,7 @@ class Encoder:
 
     _odd = re.compile(r" (?:\s|\Z)")
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
