@@ -136,7 +136,9 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     order = Window.partitionBy("chunk").orderBy("doc_id", "tie")
     lined = rows.select("chunk", F.row_number().over(order).alias("rn"), "doc_id", "text",
                         F.lead("text").over(order).alias("next"), F.lead(F.lit(1)).over(order).isNull().alias("last"))
-    heads = rows.where("chunk >= 0").withColumn("rn", F.row_number().over(order)).where("rn = 1").select(
+    # no filter on the chunk here: it would be pushed below the shuffle of the
+    # texts, which then could not be shared with the one above
+    heads = rows.withColumn("rn", F.row_number().over(order)).where("rn = 1").select(
         F.col("chunk").alias("following"), F.col("text").alias("head"))
     ids = rows.where("chunk >= 0").select("chunk").distinct()
     border = _following(ids).join(heads, "following").select(F.col("chunk").alias("c"), "head")
