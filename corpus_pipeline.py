@@ -20,8 +20,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without chunks of lines that an earlier one has; a
-    document that is nothing but such chunks stays with an empty text."""
+    """Every document, without runs of lines that an earlier one has; a
+    document that is nothing but such runs stays with an empty text."""
     return lines.dedup(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 

@@ -60,7 +60,7 @@ def op8_minimum_cut(spark, sf_dir):
 
 
 def op9_line_chunks(spark, sf_dir):
-    """All documents without the chunks of lines that an earlier one has."""
+    """All documents without the runs of lines that an earlier one has."""
     return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
 
 

@@ -68,3 +68,27 @@ def test_awkward_rows(spark):
     have = sorted(((r["doc_id"], r["text"]) for r in got(out)), key=repr)
     assert have == sorted(((i, want[i, t] if t is not None else None) for i, t in rows), key=repr)
     assert lines.dedup(documents(spark, [])).collect() == []
+
+
+def test_passages_at_random_places_go_as_a_whole(spark):
+    r = random.Random(11)
+    rows, passages, n = [], {}, 0
+    for size in range(2, 9):
+        for k in range(6):
+            # 50 words and more in lines that are all below LONG_WORDS
+            passage = [f"p{size}.{k}.{j} " + prose(7000 + size * 100 + k * 10 + j, 25 if size < 4 else 15) for j in range(size)]
+            for _ in range(2):
+                own = [f"own{n}.{j} " + prose(20_000 + n * 20 + j, 9) for j in range(12)]
+                at = r.randrange(len(own) + 1)
+                rows.append((n, "\n".join(own[:at] + passage + own[at:])))
+                passages[n] = (passage, own)
+                n += 1
+    out = {x["doc_id"]: x["text"].split("\n") for x in got(lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")))}
+    for doc, text in rows:
+        assert out[doc] == (passages[doc][1] if doc % 2 else text.split("\n"))
+
+
+def test_many_blank_lines_stay_cheap():
+    sizes = [3, *[0] * 50_000, 6, 9]
+    runs = lines.shortest_runs(sizes)
+    assert (0, 50_002) in runs and sum(end - first for first, end in runs) < 20 * len(sizes)
