@@ -29,10 +29,10 @@ SAMPLED, ROUNDS = 48, 8
 #: Levels of splitting; a shard that is still too large (vectors that no centre
 #: tells apart) is worked off in pairs of blocks.
 LEVELS = 6
-ALPHA = 1.05
+ALPHA = 1.2
 #: A vector goes to centres whose cosine is at most this below the best one's,
-#: two at most; the search goes on through vectors so far below the threshold.
-MARGIN, OVERLAP, SLACK = 0.08, 2, 0.03
+#: three at most; the search goes on through vectors so far below the threshold.
+MARGIN, OVERLAP, SLACK = 0.12, 3, 0.03
 
 
 def _usable(v: Column) -> Column:
@@ -246,8 +246,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     kept).  Repeated rows count as vectors of their own.  An empty table gives
     an empty result; other columns are not read.
     """
+    # components of type float stay so: as doubles the shards would take twice the disk
+    kind = vectors.schema["embedding"].dataType.elementType.typeName()
+    kind = "float" if kind == "float" else "double"
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("string").alias("label"),
-                          F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0)).alias("vec"))
+                          F.transform("embedding", lambda x: x.cast(kind) + F.lit(0.0).cast(kind)).alias("vec"))
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & _usable(F.col("vec"))
     cls = F.when(good, F.xxhash64("label", "vec"))
     rows = staged(rows.select("vec_id", "label", F.when(good, F.col("vec")).alias("vec"), cls.alias("cls")), "vectors")

@@ -80,3 +80,17 @@ def test_blocks_of_a_shard_that_cannot_be_split(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert neighbours.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_few_links_are_lost_between_shards(spark):
+    """One label far above SHARD; vectors in pairs just above the threshold."""
+    n, r = 3000, np.random.default_rng(0)
+    a, b = r.normal(size=(2, n, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = r.uniform(0.9801, 0.985, (n, 1))
+    x = np.float32(np.concatenate([a, c * a + np.sqrt(1 - c * c) * b]))
+    rs = [(i, [float(v) for v in row], 0, "x", 1) for i, row in enumerate(x)]
+    result = neighbours.near_vectors(spark.createDataFrame(rs, SCHEMA))
+    assert 0.992 * 2 * n <= sum(h["n_links"] for h in got(result)) <= 2 * n
