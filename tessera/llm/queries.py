@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import extract, lines, minhash, mixing, neighbours, packing, quality, secrets, urls, weighted
+from tessera.llm import extract, lines, minhash, mixing, neighbours, packing, quality, search, secrets, urls, weighted
 from tessera.llm.common import staged, table, word_count
 
 
@@ -69,6 +69,11 @@ def op10_zstd_novelty(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_bit_sliced_search(spark, sf_dir):
+    """The ten best documents for each benchmark item."""
+    return search.rank_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_splitting_tree": op1_splitting_tree,
     "op2_bloom_cascade": op2_bloom_cascade,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_minimum_cut": op8_minimum_cut,
     "op9_line_chunks": op9_line_chunks,
     "op10_zstd_novelty": op10_zstd_novelty,
+    "op13_bit_sliced_search": op13_bit_sliced_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -101,4 +107,24 @@ SELECT page_id, host, path, rule, CASE
     WHEN list_has_any(string_split(host, '.'), ['casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) THEN 'block'
     ELSE 'allow' END AS verdict
 FROM r""",
+    "op13_bit_sliced_search": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS nth, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM documents),
+tf AS (SELECT nth, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT nth, sum(tf)::BIGINT AS n FROM tf GROUP BY ALL),
+c AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark),
+qt AS (SELECT item_id, term, count(*)::BIGINT AS times FROM q GROUP BY ALL),
+s AS (
+  SELECT item_id, nth, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * big_n) // big_l))))::BIGINT AS score
+  FROM qt JOIN w USING (term) JOIN tf USING (term) JOIN d USING (nth), c GROUP BY ALL),
+r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10""",
 }
