@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import extract, lines, minhash, mixing, neighbours, packing, quality, search, secrets, urls, weighted
+from tessera.llm import extract, lines, minhash, mixing, neighbours, outliers, packing, quality, search, secrets, urls, weighted, whitening
 from tessera.llm.common import staged, table, word_count
 
 
@@ -69,6 +69,16 @@ def op10_zstd_novelty(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_feast_whitening(spark, sf_dir):
+    """All vectors on the 32 leading components of their covariance, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_robust_outliers(spark, sf_dir):
+    """Counts and verdicts of the quality rules on all documents."""
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 def op13_bit_sliced_search(spark, sf_dir):
     """The ten best documents for each benchmark item."""
     return search.rank_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -85,6 +95,8 @@ QUERIES = {
     "op8_minimum_cut": op8_minimum_cut,
     "op9_line_chunks": op9_line_chunks,
     "op10_zstd_novelty": op10_zstd_novelty,
+    "op11_feast_whitening": op11_feast_whitening,
+    "op12_robust_outliers": op12_robust_outliers,
     "op13_bit_sliced_search": op13_bit_sliced_search,
 }
 
