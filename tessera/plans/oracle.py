@@ -418,6 +418,9 @@ from f2, (select unnest(range({RETURN_SEQUENCES})) as seq_no) s"""
 ORACLE["csv_roundtrip"] = f"""with {F2}
 select row_id, source_text, target_text from f2"""
 
+ORACLE["csv_quoted_lines"] = f"""with {F2}
+select row_id, replace(source_text, ' ', ' "q",' || chr(10)) as source_text, target_text from f2"""
+
 ORACLE["prepared_dataset"] = f"""with {F2}, {SHUFFLED}, {RANKED}
 select r.epoch, r.rank, r.pos_in_rank, r.pos_in_rank // {BATCH} as batch_id, r.row_id, r.is_padding,
        (least(strlen(f2.source_text), {PAIR_LENGTH - 1}) + 1)::INTEGER as source_len

@@ -36,6 +36,7 @@ EVERY_N = 10
 PATIENCE = 2
 MAX_EPOCHS = 6
 PROFILE_CHUNK = 4096
+BROKEN_BLANK = ' "q",\n'
 PAIR_ROW_SCHEMA = T.StructType([
     T.StructField("row_id", T.LongType()),
     T.StructField("source_text", T.StringType()),
@@ -307,6 +308,16 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_pairs_csv(spark, path, schema=PAIR_ROW_SCHEMA)
 
 
+@query
+def csv_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 on records that run over many lines: every blank of a text becomes a
+    quoted word and a line feed, so blocks of a file start inside quotes."""
+    path = staging_path(spark, "lines-csv")
+    broken = F.replace("source_text", F.lit(" "), F.lit(BROKEN_BLANK))
+    files.write_pairs_csv(fx.pairs(spark, sf_dir).withColumn("source_text", broken), path)
+    return files.read_pairs_csv(spark, path, schema=PAIR_ROW_SCHEMA)
+
+
 ORDER_COLUMNS = ("epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding")
 PREPARED_SPLIT, PREPARED_EPOCH, PREPARED_RANK = "train", 1, 3
 

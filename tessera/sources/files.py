@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tessera.session import ensure_checkpoint_dir
+from tessera.sources.quoted_csv import read_quoted_csv
 
 
 def read_pairs_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -24,13 +25,12 @@ def read_pairs_csv(spark: SparkSession, path: str, schema: T.StructType | None =
     in that order; any other column of the file is ignored and the order of
     columns in the file does not matter.  With ``schema`` the file must have
     exactly those columns.  A malformed record fails the job (FAILFAST)
-    instead of turning into nulls.
+    instead of turning into nulls.  A large file is read by many tasks (see
+    :mod:`tessera.sources.quoted_csv`).
     """
-    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-              .option("mode", "FAILFAST"))
+    df = read_quoted_csv(spark, path, schema)
     if schema is not None:
-        return reader.schema(schema).option("enforceSchema", False).csv(path)
-    df = reader.csv(path)
+        return df
     wanted = list(columns) + [c for c in keep if c not in columns]
     missing = [c for c in wanted if c not in df.columns]
     if missing:
