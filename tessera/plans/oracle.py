@@ -433,6 +433,10 @@ from ranked r join enc using (row_id)
 where r.epoch = {PREPARED_EPOCH} and r.rank = {PREPARED_RANK}
   and case when r.row_id % 10 = 8 then 'validation' else 'train' end = '{PREPARED_SPLIT}'"""
 
+# the same rows whether the payload is stored once or per epoch
+ORACLE["prepared_store"] = ORACLE["prepared_dataset"]
+ORACLE["prepared_store_rank"] = ORACLE["prepared_rank_shard"]
+
 # S5 and S6 read back from files give the same rows as the in-table forms
 ORACLE["inventory_file_source"] = ORACLE["device_inventory"]
 ORACLE["banner_file_source"] = ORACLE["driver_versions"]

@@ -19,7 +19,7 @@ from tessera.operators import udf
 from tessera.plans import fixtures as fx
 from tessera.plans import standins
 from tessera.session import staging_path
-from tessera.sources import files
+from tessera.sources import files, prepared
 from tessera.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -320,14 +320,20 @@ def csv_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORDER_COLUMNS = ("epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding")
 PREPARED_SPLIT, PREPARED_EPOCH, PREPARED_RANK = "train", 1, 3
+STORE_GROUP_ROWS = 256
 
 
-def _prepared(spark: SparkSession, sf_dir: str, split_col: str | None = None) -> str:
-    pairs = fx.pairs(spark, sf_dir)
+def _order(pairs: DataFrame, split_col: str | None = None) -> DataFrame:
     order = assign_batch(assign_rank(shuffle_position(pairs, epochs=EPOCHS, seed=SEED), world_size=WORLD,
                                      devices_per_node=DEVICES_PER_NODE), BATCH).select(*ORDER_COLUMNS)
     if split_col:
         order = order.withColumn(split_col, F.when(F.col("row_id") % 10 == 8, "validation").otherwise("train"))
+    return order
+
+
+def _prepared(spark: SparkSession, sf_dir: str, split_col: str | None = None) -> str:
+    pairs = fx.pairs(spark, sf_dir)
+    order = _order(pairs, split_col)
     path = staging_path(spark, "prepared")
     files.write_prepared(pairs, order, path, lambda d: encode_pairs(
         d, source_max_length=PAIR_LENGTH, target_max_length=PAIR_LENGTH, keep=order.columns), split_col=split_col)
@@ -350,6 +356,33 @@ def prepared_rank_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "labels", "labels_attention_mask")
 
 
+def _store(spark: SparkSession, sf_dir: str, split_col: str | None = None) -> str:
+    pairs = fx.pairs(spark, sf_dir)
+    path = staging_path(spark, "store")
+    prepared.write_store(pairs, _order(pairs, split_col), path, lambda d: encode_pairs(
+        d, source_max_length=PAIR_LENGTH, target_max_length=PAIR_LENGTH, keep=("row_id",)), split_col=split_col,
+        group_rows=STORE_GROUP_ROWS)
+    return path
+
+
+@query
+def prepared_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 with the payload written once: all epochs and ranks by their locators,
+    with the real source lengths."""
+    rows = prepared.read_store(spark, _store(spark, sf_dir), columns=["source_text_attention_mask"])
+    real = F.size(F.array_remove("source_text_attention_mask", 0))
+    return rows.select(*ORDER_COLUMNS, real.alias("source_len"))
+
+
+@query
+def prepared_store_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token arrays of one split, epoch and rank, from the row groups
+    that its locators name."""
+    rows = prepared.read_store(spark, _store(spark, sf_dir, "split"), PREPARED_EPOCH, PREPARED_RANK, PREPARED_SPLIT)
+    return rows.select("pos_in_rank", "batch_id", "row_id", "source_text_input_ids", "source_text_attention_mask",
+                       "labels", "labels_attention_mask")
+
+
 @query
 def split_corpus_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: the corpus staged as Parquet folders per split (``split=<name>``)
