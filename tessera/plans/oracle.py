@@ -447,6 +447,8 @@ select doc_id, grp, split, text from f1"""
 ORACLE["monitor_text_source"] = f"""with {F3}
 select source, line_no, line from f3"""
 
+ORACLE["monitor_growing_source"] = ORACLE["monitor_text_source"]
+
 # ---- step 8: streams equal the batch aggregate when nothing is late ----------
 ORACLE["stream_device_max"] = f"""with {F3}, {_parsed('skip')}
 select time_bucket(interval '10 minutes', ts) as window_start,

@@ -19,7 +19,7 @@ from tessera.operators import udf
 from tessera.plans import fixtures as fx
 from tessera.plans import standins
 from tessera.session import staging_path
-from tessera.sources import files, prepared
+from tessera.sources import files, growing, prepared
 from tessera.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -321,6 +321,7 @@ def csv_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_COLUMNS = ("epoch", "rank", "pos_in_rank", "batch_id", "row_id", "is_padding")
 PREPARED_SPLIT, PREPARED_EPOCH, PREPARED_RANK = "train", 1, 3
 STORE_GROUP_ROWS = 256
+GROWTH = (100, 1000)
 
 
 def _order(pairs: DataFrame, split_col: str | None = None) -> DataFrame:
@@ -401,6 +402,19 @@ def monitor_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_text_lines(spark, path, source="source")
 
 
+@query
+def monitor_growing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 over three runs: the F3 log arrives in three parts per host, each run
+    reads the files that are new and goes on counting."""
+    path, root = staging_path(spark, "growing-text"), staging_path(spark, "growing-root")
+    log = fx.monitor_log(spark, sf_dir)
+    for low, high in zip((0, *GROWTH), (*GROWTH, None)):
+        part = log.where(F.col("line_no") >= low)
+        files.write_text_log(part if high is None else part.where(F.col("line_no") < high), path, mode="append")
+        growing.ingest(spark, path, root)
+    return growing.read_ingested(spark, root)
+
+
 @query
 def inventory_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + A8 from files: the inventory text of every host captured under
