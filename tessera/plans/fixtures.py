@@ -103,6 +103,20 @@ def step_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("run_id", "rank", "epoch", "step", "phase", "loss", "ts")
 
 
+REPORT_SCHEMA = "run_id bigint, epoch int, rank int, value double"
+
+
+def rank_reports(spark: SparkSession, sf_dir: str, ranks: int, epochs: int) -> DataFrame:
+    """F4 as a live feed of epoch ends: every rank's mean validation loss, null
+    where it had no validation step."""
+    val = step_metrics(spark, sf_dir)
+    runs = val.select("run_id").distinct()
+    grid = runs.select("run_id", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")).select(
+        "run_id", "epoch", F.explode(F.sequence(F.lit(0), F.lit(ranks - 1))).alias("rank"))
+    mean = val.where("phase = 'val'").groupBy("run_id", "epoch", "rank").agg(F.avg("loss").alias("value"))
+    return grid.join(mean, ["run_id", "epoch", "rank"], "left").select("run_id", "epoch", "rank", "value")
+
+
 def diverged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 with NaN, infinite and very large losses in some runs: by step and run."""
     x = step_metrics(spark, sf_dir)

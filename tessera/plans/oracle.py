@@ -468,6 +468,12 @@ select time_bucket(interval '1 hour', ts) as window_start,
        run_id, phase, epoch, {r12('sum(loss) / count(*)')} as mean_loss, count(*) as n
 from f4 group by 1, 2, 3, 4, 5"""
 
+# repeated rows, restarts and the order of reports change nothing
+ORACLE["stream_step_loss_replayed"] = ORACLE["stream_step_loss"]
+ORACLE["stream_percent_series"] = ORACLE["device_percent_series"]
+ORACLE["stream_early_stop"] = ORACLE["early_stop"]
+
+
 def _records(logged: str) -> str:
     """One record per chunk of a sound host's log (an empty one without a log)
     and one per failing host; ``logged`` says which lines there are."""

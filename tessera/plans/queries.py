@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tessera.functions.numeric import round_half_even
 from tessera.operators.corpus import select_splits, split_lines
 from tessera.operators.encode import decode, encode_causal, encode_pairs
 from tessera.operators.feed import assign_batch, assign_rank, collect_batches, shuffle_position
@@ -20,7 +21,7 @@ from tessera.plans import fixtures as fx
 from tessera.plans import standins
 from tessera.session import staging_path
 from tessera.sources import files, growing, prepared
-from tessera.streaming import streams
+from tessera.streaming import stateful, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -438,6 +439,8 @@ def banner_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_WINDOW = "10 minutes"
 STEP_WINDOW = "1 hour"
 STREAM_DELAY = "1 hour"
+SERIES_DELAY = "3650 days"
+RANKS = 4
 
 
 @query
@@ -487,3 +490,51 @@ def stream_step_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = spark.readStream.schema(streams.STEP_SCHEMA).parquet(src)
     streams.run_to_table(streams.step_loss_stream(steps, STEP_WINDOW, STREAM_DELAY), out, ck)
     return streams.latest(spark, out, ["window_start", "window_end", "run_id", "phase", "epoch"])
+
+
+@query
+def stream_step_loss_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 on a feed that repeats rows: a restarted query gets a part of the
+    steps once more, with other losses, and no mean changes."""
+    src = staging_path(spark, "replayed-in")
+    out, ck = staging_path(spark, "replayed-out"), staging_path(spark, "replayed-ck")
+    first = fx.step_metrics(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    again = first.where("step % 3 = 1").withColumn("loss", F.col("loss") + 1000.0)
+    for rows in (first, again):
+        rows.write.mode("append").parquet(src)
+        steps = spark.readStream.schema(streams.STEP_SCHEMA).parquet(src)
+        streams.run_to_table(streams.step_loss_stream(steps, STEP_WINDOW, STREAM_DELAY, distinct=True), out, ck)
+    return streams.latest(spark, out, ["window_start", "window_end", "run_id", "phase", "epoch"])
+
+
+@query
+def stream_percent_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2 on a stream in two runs: the second one, after a restart, goes on
+    from the first samples that the first one has kept."""
+    src = staging_path(spark, "series-in")
+    log = fx.monitor_log(spark, sf_dir)
+    out, ck = staging_path(spark, "series-out"), staging_path(spark, "series-ck")
+    for part in (log.where(F.col("line_no") < GROWTH[1]), log.where(F.col("line_no") >= GROWTH[1])):
+        part.write.mode("append").parquet(src)
+        lines = spark.readStream.schema(streams.MONITOR_SCHEMA).parquet(src)
+        streams.run_to_table(stateful.percent_series_stream(lines, SERIES_DELAY), out, ck, output_mode="append")
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query
+def stream_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 on the live feed: ranks report out of order over three batches, each
+    of a query of its own; an epoch counts when all ranks have reported it."""
+    src = staging_path(spark, "reports-in")
+    out, ck = staging_path(spark, "reports-out"), staging_path(spark, "reports-ck")
+    reports = fx.rank_reports(spark, sf_dir, RANKS, MAX_EPOCHS)
+    for batch in range(3):
+        reports.where((F.col("epoch") * 2 + F.col("rank") * 5) % 3 == batch).write.mode("append").parquet(src)
+        feed = spark.readStream.schema(fx.REPORT_SCHEMA).parquet(src)
+        streams.run_to_table(stateful.early_stop_stream(feed, PATIENCE, RANKS), out, ck, output_mode="append")
+    seen = spark.read.parquet(out)
+    return seen.groupBy("run_id").agg(
+        F.max(F.when(F.col("stops"), F.col("epoch"))).alias("stop_epoch"),
+        F.max_by("best_epoch", "epoch").alias("best_epoch"),
+        round_half_even(F.max_by("best_value", "epoch"), 12).alias("best_value"),
+        F.count(F.lit(1)).alias("n_epochs"))

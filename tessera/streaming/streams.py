@@ -74,10 +74,14 @@ def device_max_stream(lines: DataFrame, window: str = "10 minutes", delay: str =
 
 
 def step_loss_stream(steps: DataFrame, window: str = "1 hour", delay: str = "1 hour",
-                     places: int = 12) -> DataFrame:
-    """Mean loss over all ranks per run, phase, epoch and time window."""
+                     places: int = 12, distinct: bool = False) -> DataFrame:
+    """Mean loss over all ranks per run, phase, epoch and time window.
+    With ``distinct`` a row that the feed repeats counts once (see
+    :func:`tessera.streaming.stateful.once`)."""
     from tessera.functions.numeric import round_half_even
-    return (steps.withWatermark("ts", delay)
+    from tessera.streaming.stateful import once
+    rows = once(steps, delay=delay) if distinct else steps.withWatermark("ts", delay)
+    return (rows
             .groupBy(F.window("ts", window).alias("w"), "run_id", "phase", "epoch")
             .agg(F.sum("loss").alias("_s"), F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
