@@ -76,77 +76,61 @@ def curve_keys(texts: list[bytes | None]) -> np.ndarray:
     return hilbert_key(np.searchsorted(cuts, v @ turn))
 
 
+# fixed values: how a byte-level BPE with the common pattern cuts a text before it
+# merges, written out for the characters on which all Unicode versions agree
+_LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u4e00-\u9fa5"
+_NUMBER = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_SPACE = " \t\n\r\x0b\x0c\x85\xa0"
+_CUT = re.compile(f"'(?:[sdmt]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
+                  f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_OTHER = "[^\\x00-\u024f\u2010-\u2027\u2030-\u205e\u4e00-\u9fa5]"
+
+
 class Encoder:
     """Token ids of whole texts as little-endian uint32 bytes.
 
-    A single space before a non-space always starts a token of its own in a
-    byte-level BPE, so a text is the concatenation of its space-led segments;
-    segments repeat a lot and are remembered (up to ``remember`` of them in two
-    generations, so that those in use outlive the rest).  A
-    new segment is put together from atoms where it can be: a line feed between
-    words and a full stop or comma behind letters are tokens by themselves.
-    Texts with runs of white space at a space are encoded whole.
+    A byte-level BPE cuts a text into words, numbers, punctuation and white
+    space and encodes each of these for itself.  Words repeat a lot, so their ids
+    are remembered (up to ``remember`` of them in two generations, so that those
+    in use outlive the rest) and only new ones go to the tokenizer.  Texts with
+    characters outside the classes above, or with one of the vocabulary's special
+    strings, are encoded whole.
     """
 
-    _odd = re.compile(r" (?:\s|\Z)")
-
     def __init__(self, path: str, remember: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._whole = re.compile("|".join([_OTHER, *special]))
         self.remember = remember
-        self.known, self.atoms, self.old_known, self.old_atoms = {}, {}, {}, {}
-
-    @staticmethod
-    def _atoms(segment: str) -> list[str]:
-        lines = segment.split("\n")
-        if any(x != x.strip() or not x for x in lines):
-            return [" " + segment]
-        out = []
-        for i, x in enumerate(lines):
-            if i:
-                out.append("\n")
-            lead = "" if i else " "
-            out += [lead + x[:-1], x[-1]] if x[-1] in ".," and x[:-1].isalpha() else [lead + x]
-        return out
-
-    @staticmethod
-    def _missing(keys, young: dict, old: dict) -> list[str]:
-        """The keys that neither generation holds; those of the old one are taken over."""
-        lack = set(keys).difference(young)
-        again = lack.intersection(old)
-        young.update((k, old[k]) for k in again)
-        return list(lack - again)
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in out]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) + len(self.atoms) > self.remember // 2:
-            self.old_known, self.old_atoms = self.known, self.atoms
-            self.known, self.atoms = {}, {}
-        known = self.known  # a segment without its space -> ids with it
-        parts = [None if self._odd.search(t) else t.split(" ") for t in texts]
+        if len(self.known) > self.remember // 2:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
+        parts = [None if self._whole.search(t) else _CUT.findall(t) for t in texts]
         whole = dict(zip((i for i, p in enumerate(parts) if p is None),
                          self._encode([t for t, p in zip(texts, parts) if p is None])))
-        heads = iter(self._encode([p[0] for p in parts if p is not None]))
-        new = self._missing(chain.from_iterable(p[1:] for p in parts if p is not None), known, self.old_known)
-        made = [self._atoms(w) for w in new]
-        fresh = self._missing(chain.from_iterable(made), self.atoms, self.old_atoms)
-        for i in range(0, len(fresh), 4096):
-            some = fresh[i : i + 4096]
-            self.atoms.update(zip(some, self._encode(some)))
-        atom = self.atoms.__getitem__
-        known.update((w, b"".join(map(atom, m))) for w, m in zip(new, made))
+        lack = set(chain.from_iterable(p for p in parts if p is not None)).difference(known)
+        again = lack.intersection(old)
+        known.update((w, old[w]) for w in again)
+        new = list(lack - again)
+        for i in range(0, len(new), 4096):
+            some = new[i : i + 4096]
+            known.update(zip(some, self._encode(some)))
         find = known.__getitem__
-        out = [whole[i] if p is None else next(heads) + b"".join(map(find, p[1:])) for i, p in enumerate(parts)]
-        for memory, added in ((known, new), (self.atoms, fresh)):
-            for w in added:
-                if len(w) > 64:  # long ones are not worth the memory
-                    del memory[w]
+        out = [whole[i] if p is None else b"".join(map(find, p)) for i, p in enumerate(parts)]
+        for w in new:
+            if len(w) > 64:  # long ones are not worth the memory
+                del known[w]
         return out
 
 

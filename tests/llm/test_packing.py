@@ -26,7 +26,6 @@ def plain():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return t
 
 
@@ -37,6 +36,12 @@ def test_segments_encode_like_whole_texts(plain, texts):
     assert have == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_special_strings(plain):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "of <|end oftext|>", " <|endoftext|>  <|endoftext|>\n", "a |endoftext| b"]
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    assert packing.encoder(PATH)(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_forgetting_changes_nothing(plain):
     few = packing.Encoder(PATH, remember=8)
     r = random.Random(0)
