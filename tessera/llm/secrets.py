@@ -4,6 +4,10 @@ A string that follows a sensitive word is compressed with a dictionary made of
 the text around it and of common identifiers.  A value that the surroundings
 explain (a name, a placeholder, a word of the text) shrinks to a few bytes; a
 random secret does not.  What keeps most of its size is reported.
+
+Every candidate is measured; what it is made of only moves the limit.  Letters of
+one case alone may be a word that the near surroundings lack, so these are
+measured against much more of the text, whose syllables a word shares.
 """
 
 from __future__ import annotations
@@ -33,16 +37,34 @@ IDENTIFIERS = (b"password passwd secret token api_key apikey access_key secret_k
                b"1234567890 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ authorization bearer session_id "
                b"return function import class public static void string null true false none undefined")
 DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
+#: Letters of both cases, other than a capital in front.
+BOTH_CASES = re.compile("(?s)(?=.*[a-z]).+[A-Z]")
+#: What values of one kind of character must keep beyond ``least_novelty``.
+PLAIN_EXTRA = 0.1
+#: Characters before and after a word-like value that it is measured against.
+WIDE = 16_384
 _HEXISH = bytes(0x78 if i in b"0123456789abcdef" else 0x20 for i in range(256))
 
 
-def novelty(value: bytes, around: bytes) -> float:
+def novelty(value: bytes, around: bytes, level: int = 3) -> float:
     """Marginal compressed bytes per byte of ``value`` after ``around``."""
     known = zstandard.ZstdCompressionDict(IDENTIFIERS + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    c = zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)
+    c = zstandard.ZstdCompressor(level=level, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)
     return (len(c.compress(value)) - len(c.compress(b""))) / len(value)
 
 
+def is_novel(text: str, lo: int, hi: int, least: float, window: int) -> bool:
+    """Whether ``text[lo:hi]`` keeps enough of its size after its surroundings."""
+    value = text[lo:hi]
+    near = lambda n: (text[max(0, lo - n) : lo] + text[hi : hi + n]).encode()
+    if DIGIT.search(value) and LETTER.search(value):
+        return novelty(value.encode(), near(window)) >= least
+    if novelty(value.encode(), near(window)) < least + PLAIN_EXTRA:
+        return False
+    return bool(not LETTER.search(value) or BOTH_CASES.search(value)) or novelty(
+        value.encode(), near(WIDE), level=19) >= least + PLAIN_EXTRA
+
+
 def spans(text: str, least_novelty: float = 0.8, window: int = 256) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of all spans of a text, in code points, in order."""
     found = []
@@ -53,17 +75,11 @@ def spans(text: str, least_novelty: float = 0.8, window: int = 256) -> list[tupl
     if b"x" * 24 in text.encode().translate(_HEXISH):
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
     base = sorted(found)
-    if not DIGIT.search(text):  # a novel value has one
-        return base
     for m in SENSITIVE.finditer(text):
         lo, hi = m.span(1)
         if any(s < hi and lo < e for s, _, e in base):
             continue
-        value = m[1]
-        if not (DIGIT.search(value) and LETTER.search(value)):
-            continue
-        around = (text[max(0, lo - window) : lo] + text[hi : hi + window]).encode()
-        if novelty(value.encode(), around) >= least_novelty:
+        if is_novel(text, lo, hi, least_novelty, window):
             found.append((lo, 3, hi))
     return sorted(found)
 

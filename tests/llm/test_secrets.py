@@ -34,6 +34,11 @@ def test_novel_values_and_ordinary_ones():
     for text in ("the private placeholder is your_password_here_1", "session example_session_id_1 and example_session_id_1",
                  "key words in a plain text without any value", "authorization bearer"):
         assert secrets.spans(text) == []
+    for text in ("the bearer qWzKpLmXvRtYbNhGfDsAeCuIoP", "password is 849302918475620193",
+                 "credentials are kept; token qxzvkwjpfhgbtrmdlcqxwz " + "and some more words of an ordinary text " * 20):
+        assert len(secrets.spans(text)) == 1, text  # letters alone, digits alone
+    words = "the administration of a private internationalisation, and the station of the nation is international. " * 3
+    assert secrets.spans(words + "private administrations, private nationalisation; password 111111111111111111") == []
     repeated = "zyx123wvu456 " * 6
     assert secrets.spans(repeated + "session: zyx123wvu456zyx123wvu456") == []
 
