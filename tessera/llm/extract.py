@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -26,10 +25,15 @@ _TAG = re.compile(
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr img".split())
-DROPPED = frozenset("script style noscript template svg math head iframe object button select textarea option "
+                   "small span strike strong sub sup time tt u var wbr img math maction menclose merror mfenced mfrac mi "
+                   "mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+                   "msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+DROPPED = frozenset("script style noscript template svg head iframe button select textarea option annotation "
                     "audio video canvas datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Tags that end a drawing left open.
+BREAK_OUT = frozenset("article aside blockquote body div dl footer form h1 h2 h3 h4 h5 h6 header html main nav ol p pre "
+                      "section table ul".split())
 #: Tags whose text is read only up to their own end tag.
 RAW = frozenset("script style textarea title template noscript iframe".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
@@ -44,21 +48,70 @@ BOILER_WORDS = frozenset(
 BODY_WORDS = frozenset("article body content entry main post story text".split())
 
 
+#: Names of these containers say nothing: they hold the page or the article.
+WHOLE = frozenset("html body main article".split())
+
+
 class Block:
     __slots__ = ("text", "path", "linked", "boiler", "body", "tag")
 
-    def __init__(self, text, path, linked, boiler, body, tag):
-        self.text, self.path, self.linked = text, path, linked
-        self.boiler, self.body, self.tag = boiler, body, tag
+    def __init__(self, text, path, linked, tag):
+        self.text, self.path, self.linked, self.tag = text, path, linked, tag
+        self.boiler = self.body = 0
+
+
+def closed(page: str, name: str, at: int, never: set[str]) -> bool:
+    """Whether a dropped element that opens before ``at`` has an end tag of its
+    own: one before the next such element opens (drawings may be nested)."""
+    if name in never:
+        return False
+    m = re.compile(rf"<(/?){name}(?![\w-])", re.I).search(page, at)
+    if name == "svg" and m and not m[1]:
+        m = re.compile(r"<(/)svg(?![\w-])", re.I).search(page, at)
+    if not m:
+        never.add(name)
+    return bool(m and m[1])
+
+
+def _mark(out: list[Block], tagged: set[int], named: dict[int, tuple], body: dict[int, tuple]) -> None:
+    """Count the boilerplate and body containers around each block.
+
+    A container that only its names call boilerplate, but that holds the page's
+    article, is none: if all body containers lie in it and most of the text, or,
+    where there are none, nearly all text.
+    """
+    sizes: dict[int, int] = {}
+    for b in out:
+        for c in b.path:
+            sizes[c] = sizes.get(c, 0) + len(b.text)
+    total = sizes.get(0, 0)
+    boiler = set(tagged)
+    for c in named:
+        whole = all(c in path for path in body.values())
+        if not whole or sizes.get(c, 0) <= (0.5 if body else 0.95) * total:
+            boiler.add(c)
+    for b in out:
+        b.boiler = sum(c in boiler for c in b.path)
+        b.body = sum(c in body for c in b.path)
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order, with what surrounds them."""
+    """Text blocks of a page in order, with what surrounds them.
+
+    Text inside scripts, styles, drawings and controls is no block.  A drawing
+    closed in its own tag holds nothing; one left open ends at the next block
+    tag, a control without an end tag at once.
+    """
     out: list[Block] = []
-    # open containers: (tag, number, marked as boilerplate, marked as body)
-    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
+    # open containers: (tag, number, how many body containers, itself included)
+    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    # containers marked by their tags, by their names, and as body
+    tagged: set[int] = set()
+    named: dict[int, tuple] = {}
+    bodies: dict[int, tuple] = {}
     parts: list[str] = []
     links = depth = linked = number = 0
+    dropping, never = "", set()
     at = 0
 
     def flush():
@@ -66,7 +119,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text:
             top = stack[-1]
-            out.append(Block(text, tuple(x[1] for x in stack), linked / max(1, sum(map(len, parts))), top[2], top[3], top[0]))
+            out.append(Block(text, tuple(x[1] for x in stack), linked / max(1, sum(map(len, parts))), top[0]))
         parts.clear()
         linked = 0
 
@@ -92,8 +145,13 @@ def blocks(page: str) -> list[Block]:
                 at = stop.end() if stop else end
             continue
         if name in DROPPED:
-            depth = max(0, depth - 1) if closing else depth + (name not in VOID)
+            if closing:
+                depth = max(0, depth - 1)
+            elif not (m["attrs"] or "").endswith("/") and (depth or closed(page, name, at, never)):
+                depth, dropping = depth + 1, dropping if depth else name
             continue
+        if depth and dropping == "svg" and name in BREAK_OUT and not closing:
+            depth = 0
         if name in ("body", "html") or name == "article" and not closing:
             depth = 0  # whatever was left open before
         if depth:
@@ -119,18 +177,22 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] == name or stack[i][0] == "p":
                     del stack[i:]
                     break
-        _, _, boiler, body = stack[-1]
+        body = stack[-1][2]
         words: set[str] = set()
         if m["attrs"]:
             for x in _NAMES.findall(m["attrs"]):
                 words.update(re.split(r"[^a-z0-9]+", "".join(x).lower()))
-        if name in BOILER_TAGS or words & BOILER_WORDS or name == "header" and not body:
-            boiler += 1
-        elif name in BODY_TAGS or words & BODY_WORDS:
-            body += 1
         number += 1
-        stack.append((name, number, boiler, body))
+        path = (*(x[1] for x in stack), number)
+        if name in BOILER_TAGS or name == "header" and not body:
+            tagged.add(number)
+        elif words & BOILER_WORDS and name not in WHOLE:
+            named[number] = path
+        elif name in BODY_TAGS or words & BODY_WORDS and name not in WHOLE:
+            body, bodies[number] = body + 1, path
+        stack.append((name, number, body))
     flush()
+    _mark(out, tagged, named, bodies)
     return out
 
 
@@ -149,38 +211,66 @@ def content_cost(b: Block) -> float:
 def minimum_cut(pull: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes stay with the source.  ``pull`` is a node's capacity from the
     source (if positive) or to the sink; edges have one capacity both ways.
-    Shortest augmenting paths are filled until the sink is out of reach."""
-    n = len(pull)
+
+    Maximum flow by blocking flows: a breadth-first search from all nodes that
+    still have supply gives levels, and paths that climb one level a step are
+    filled until none is left; each edge that leads nowhere is left behind for
+    the rest of the phase.  At the end the sink is out of reach.
+    """
+    n, tiny = len(pull), 1e-9
     supply = list(pull)
-    room: list[dict[int, float]] = [{} for _ in range(n)]
+    out: list[list[int]] = [[] for _ in range(n)]  # arcs of a node; arc k and k ^ 1 are opposite
+    to, room = [], []
     for a, b, c in edges:
-        room[a][b] = room[a].get(b, 0.0) + c
-        room[b][a] = room[b].get(a, 0.0) + c
-    tiny = 1e-9
+        out[a].append(len(to))
+        out[b].append(len(to) + 1)
+        to += [b, a]
+        room += [c, c]
     while True:
-        came: dict[int, int] = {i: -1 for i in range(n) if supply[i] > tiny}
-        queue, found = deque(came), -1
-        while queue and found < 0:
-            u = queue.popleft()
-            for v, c in room[u].items():
-                if c > tiny and v not in came:
-                    came[v] = u
-                    if supply[v] < -tiny:
-                        found = v
-                        break
+        level = [0 if x > tiny else -1 for x in supply]
+        queue = [i for i in range(n) if not level[i]]
+        reached = False
+        for u in queue:
+            for k in out[u]:
+                v = to[k]
+                if level[v] < 0 and room[k] > tiny:
+                    level[v] = level[u] + 1
                     queue.append(v)
-        if found < 0:
-            return [i in came for i in range(n)]
-        path, v = [], found
-        while came[v] >= 0:
-            path.append((came[v], v))
-            v = came[v]
-        flow = min(supply[v], -supply[found], *(room[a][b] for a, b in path))
-        supply[v] -= flow
-        supply[found] += flow
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] += flow
+                    reached = reached or supply[v] < -tiny
+        if not reached:
+            return [x >= 0 for x in level]
+        arc = [0] * n
+        for source in [i for i in queue if supply[i] > tiny]:
+            path: list[int] = []
+            u = source
+            while supply[source] > tiny:
+                if supply[u] < -tiny:  # fill the path that was found, and go on from its tightest arc
+                    flow = min([supply[source], -supply[u], *(room[k] for k in path)])
+                    supply[source] -= flow
+                    supply[u] += flow
+                    cut = len(path)
+                    for i in range(len(path) - 1, -1, -1):
+                        room[path[i]] -= flow
+                        room[path[i] ^ 1] += flow
+                        if room[path[i]] <= tiny:
+                            cut = i
+                    if cut < len(path):
+                        u = to[path[cut] ^ 1]
+                        del path[cut:]
+                    continue
+                arcs = out[u]
+                while arc[u] < len(arcs):
+                    k = arcs[arc[u]]
+                    if room[k] > tiny and level[to[k]] == level[u] + 1:
+                        path.append(k)
+                        u = to[k]
+                        break
+                    arc[u] += 1
+                else:
+                    if not path:
+                        break
+                    u = to[path.pop() ^ 1]
+                    arc[u] += 1
 
 
 def main_text(page: str | None, smooth: float = 0.8) -> str:
