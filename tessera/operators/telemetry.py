@@ -120,10 +120,11 @@ def _with_firsts(parsed: DataFrame, keys: list[str], chunk: int = 1 << 16) -> Da
         F.col("_f.ram").alias("first_ram_total"))
 
 
-def percent_series(parsed: DataFrame, keys=("source", "device")) -> DataFrame:
+def percent_series(parsed: DataFrame, keys=("source", "device"), totals: bool = False) -> DataFrame:
     """H17 + H18 + W1 + W2: per sample the seconds since the device's first
     sample, memory and RAM as percentages, and the percentages back on the
-    absolute axis (factor = the first total of the series)."""
+    absolute axis (factor = the first total of the series).  With ``totals``
+    these factors are returned too, as :func:`absolute_to_percent` needs them."""
     x = _with_firsts(parsed, list(keys))
     secs = (F.unix_micros(F.col("ts").cast("timestamp"))
             - F.unix_micros(F.col("first_ts").cast("timestamp"))) / F.lit(1e6)
@@ -136,12 +137,13 @@ def percent_series(parsed: DataFrame, keys=("source", "device")) -> DataFrame:
         *keys, "line_no", "ts", "seconds_since_start", "gpu_utilization", "gpu_memory_pct",
         "cpu_utilization", "ram_pct",
         ((F.col("gpu_memory_pct") / F.lit(100.0)) * F.col("first_gpu_memory_total")).alias("gpu_memory_mb"),
-        ((F.col("ram_pct") / F.lit(100.0)) * F.col("first_ram_total")).alias("ram_mb"))
+        ((F.col("ram_pct") / F.lit(100.0)) * F.col("first_ram_total")).alias("ram_mb"),
+        *(["first_gpu_memory_total", "first_ram_total"] if totals else []))
 
 
 def absolute_to_percent(v, factor):
-    """H18, the true inverse of ``(x / 100) * factor``."""
-    return F.lit(100.0) * v / factor
+    """H18, the true inverse of ``(x / 100) * factor``; a factor of 0 gives null."""
+    return F.lit(100.0) * v / F.nullif(factor, F.lit(0.0))
 
 
 def _field_of(name: str):

@@ -194,6 +194,36 @@ ranked as (
 ORACLE["shuffle_epoch"] = f"""with {F2}, {SHUFFLED}
 select epoch, row_id, pos from s"""
 
+def _feistel_keys() -> str:
+    """The two numbers of each epoch's six rounds, as a list of SQL rows."""
+    rows = []
+    for epoch in range(EPOCHS):
+        x = SEED * 1000003 + epoch * 8191 + 12345
+        for i in range(6):
+            x = (x % 2147483647 * 48271 + 11) % 2147483647
+            k0 = x
+            x = (x * 48271 + 11) % 2147483647
+            rows.append(f"({epoch}, {i}, {k0}::BIGINT, {x}::BIGINT)")
+    return ", ".join(rows)
+
+
+# six rounds of (l, r) -> (r, l + f(r)) over halves below a and b; from n on once more
+ORACLE["shuffle_permuted"] = f"""with recursive {F2},
+x as (select row_id, row_number() over (order by row_id) - 1 as ordinal, count(*) over () as n from f2),
+ab as (select *, floor(sqrt(n - 1))::BIGINT + 1 as a from x),
+h as (select *, (n + a - 1) // a as b from ab),
+k(epoch, i, k0, k1) as (values {_feistel_keys()}),
+w as (
+  select epoch, row_id, ordinal, n, a, b, 0 as step, ordinal // b as l, ordinal % b as r from h, range({EPOCHS}) e(epoch)
+  union all
+  select w.epoch, row_id, ordinal, n, a, b, step + 1, r,
+         (l + list_reduce([r % 2147483647 * k0 + k1, k0, k1], lambda y, c: (y % 2147483647) * (y % 2147483647) + c) % 2147483647)
+           % case when step % 2 = 0 then a else b end
+  from w join k on k.epoch = w.epoch and k.i = step % 6
+  where not (step > 0 and step % 6 = 0 and l * b + r < n))
+select epoch::INT as epoch, row_id, ordinal, l * b + r as pos, ordinal as row_at_pos
+from w where step > 0 and step % 6 = 0 and l * b + r < n"""
+
 ORACLE["shuffle_null_keys"] = f"""with {F2},
 x as (select row_id, case when row_id % 3 <> 0 then (row_id % 3)::VARCHAR end as split, md5('{SEED}:0:' || row_id) as key from f2)
 select split, 0 as epoch, row_id, row_number() over (partition by split order by key, row_id) - 1 as pos,
@@ -217,6 +247,10 @@ def r12(x: str) -> str:
     return f"round_even(({x})*1000000000000.0::DOUBLE, 0)/1000000000000.0::DOUBLE"
 
 
+def r11(x: str) -> str:
+    return f"round_even(({x})*100000000000.0::DOUBLE, 0)/100000000000.0::DOUBLE"
+
+
 def exact_mean4(x: str) -> str:
     """Half-even rounding to 4 places of the exact mean of ``x`` taken at 10
     decimal places, in integer arithmetic (DuckDB divides decimals as
@@ -376,6 +410,10 @@ select source, device, line_no, ts, seconds_since_start, gpu_utilization, gpu_me
        (gpu_memory_pct / 100.0::DOUBLE) * fm as gpu_memory_mb, (ram_pct / 100.0::DOUBLE) * fr as ram_mb
 from x"""
 
+ORACLE["device_percent_inverse"] = f"""with s as ({ORACLE["device_percent_series"]})
+select source, device, line_no, {r11('gpu_memory_pct')} as gpu_memory_pct_back, {r11('ram_pct')} as ram_pct_back
+from s"""
+
 _series = ", ".join(f"'{c}': list({c} order by line_no)" for c in TEXT_FIELDS)
 ORACLE["device_profile_nested"] = f"""with {F3}, {_fields('skip')},
 per_dev as (select source, line_no // {PROFILE_CHUNK} as chunk, device, {{{_series}}} as s

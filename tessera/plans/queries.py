@@ -15,6 +15,7 @@ from tessera.operators.corpus import select_splits, split_lines
 from tessera.operators.encode import decode, encode_causal, encode_pairs
 from tessera.operators.feed import assign_batch, assign_rank, collect_batches, shuffle_position
 from tessera.operators import metrics as m
+from tessera.operators import permute
 from tessera.operators import telemetry as tm
 from tessera.operators import udf
 from tessera.plans import fixtures as fx
@@ -131,6 +132,19 @@ def rank_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collect_batches(assign_batch(_ranked(spark, sf_dir), BATCH))
 
 
+@query
+def shuffle_permuted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + W4 by a keyed permutation of the rows' ordinals, and back from the
+    place to the row."""
+    pairs = fx.pairs(spark, sf_dir)
+    n = pairs.count()
+    rows = permute.epoch_orders(permute.ordinals(pairs), n, EPOCHS, SEED)
+    back = F.lit(None).cast("bigint")
+    for e in range(EPOCHS):
+        back = F.when(F.col("epoch") == e, permute.permuted(F.col("pos"), n, SEED, e, inverse=True)).otherwise(back)
+    return rows.select("epoch", "row_id", "ordinal", "pos", back.alias("row_at_pos"))
+
+
 # ---- step 4: run metrics --------------------------------------------------
 
 @query
@@ -223,6 +237,16 @@ def device_percent_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.percent_series(tm.parse_monitor(fx.monitor_log(spark, sf_dir), mode="skip"))
 
 
+@query
+def device_percent_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second axis and its inverse, which leads back to the percentage."""
+    parsed = tm.parse_monitor(fx.monitor_log(spark, sf_dir), mode="skip")
+    series = tm.percent_series(parsed, totals=True)
+    back = {c: round_half_even(tm.absolute_to_percent(F.col(f"{c}_mb"), F.col(total)), 11) for c, total in (
+        ("gpu_memory", "first_gpu_memory_total"), ("ram", "first_ram_total"))}
+    return series.select("source", "device", "line_no", *[v.alias(f"{c}_pct_back") for c, v in back.items()])
+
+
 @query
 def device_profile_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = tm.monitor_fields(fx.monitor_log(spark, sf_dir), mode="skip")
