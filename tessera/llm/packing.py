@@ -97,13 +97,15 @@ class Encoder:
     strings, are encoded whole.
     """
 
-    def __init__(self, path: str, remember: int = 700_000):
+    def __init__(self, path: str, remember: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._whole = re.compile("|".join([_OTHER, *special]))
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self._feed = feed[0] if len(feed) == 1 else -1
         self.remember = remember
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -112,6 +114,21 @@ class Encoder:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in out]
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode new pieces.  White space is encoded by itself; all others in one
+        text with a line feed between them, which is cut off as a piece of its own
+        there and is a token that no other piece has."""
+        blank = [w for w in words if w.isspace()]
+        self.known.update(zip(blank, self._encode(blank)))
+        words = [w for w in words if not w.isspace()]
+        ids = np.array(self.tokenizer.encode("\n".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(ids == self._feed)
+        if len(ends) != len(words) - 1:
+            self.known.update(zip(words, self._encode(words)))
+            return
+        raw, starts = ids.tobytes(), [0, *(4 * (ends + 1)).tolist()]
+        self.known.update((w, raw[a:b]) for w, a, b in zip(words, starts, [*(4 * ends).tolist(), len(raw)]))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.remember // 2:
             self.old, self.known = self.known, {}
@@ -124,8 +141,7 @@ class Encoder:
         known.update((w, old[w]) for w in again)
         new = list(lack - again)
         for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            known.update(zip(some, self._encode(some)))
+            self._learn(new[i : i + 4096])
         find = known.__getitem__
         out = [whole[i] if p is None else b"".join(map(find, p)) for i, p in enumerate(parts)]
         for w in new:
