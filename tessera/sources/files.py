@@ -148,6 +148,21 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_variant(records: DataFrame, path: str, record: str, mode: str = "overwrite") -> None:
+    """JSON texts as one VARIANT column ``record`` in Parquet, whatever
+    their shapes; the other columns as they are.  A text that is no JSON fails."""
+    others = [c for c in records.columns if c != record]
+    records.select(*others, F.parse_json(record).alias("record")).write.mode(mode).parquet(path)
+
+
+def read_variant(spark: SparkSession, path: str, fields: dict[str, tuple[str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """Fields of :func:`write_variant`'s records by path: ``fields`` maps a name to
+    ``(path, type)``, such as ``("$.devices[0].name", "string")``.  A record
+    without the path has null there, and so has one whose value does not fit."""
+    rows = spark.read.parquet(path)
+    return rows.select(*keep, *[F.try_variant_get("record", at, kind).alias(name) for name, (at, kind) in fields.items()])
+
+
 def write_prepared(texts: DataFrame, order: DataFrame, path: str, encode: Callable[[DataFrame], DataFrame],
                    row_id: str = "row_id", split_col: str | None = None, mode: str = "overwrite") -> None:
     """The prepared dataset, one folder of token arrays per rank.
