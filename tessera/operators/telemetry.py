@@ -220,19 +220,18 @@ def profile_record(versions: DataFrame, inventory: DataFrame, nested: DataFrame)
     devs = inventory.where("n_devices > 0").groupBy(F.struct("source").alias("_k")).agg(
         F.array_sort(F.collect_list(device)).alias("devices"))
     hosts = versions.withColumn("_k", F.struct("source")).join(devs, "_k", "left").drop("source")
-    # hosts meet the chunk numbers, not the payload; the payload is joined by
-    # (source, chunk)
-    chunks = nested.select(F.struct("source").alias("_k"), "chunk")
-    x = chunks.join(hosts, "_k", "full")
-    failed = F.col("error").isNotNull()
-    bad = x.where(failed).select("_k", "error", "cuda_version", "driver_version", "devices").distinct().withColumn(
-        "chunk", F.lit(0).cast("bigint"))
-    good = x.where(~failed).withColumn("chunk", F.coalesce("chunk", F.lit(0).cast("bigint")))
-    x = good.unionByName(bad).withColumn("_kc", F.struct(F.col("_k.source").alias("source"), F.col("chunk").alias("chunk")))
-    payload = nested.select(F.struct("source", "chunk").alias("_kc"), "profile")
-    x = x.join(payload, "_kc", "left").select(
-        F.col("_kc.source").alias("source"), F.col("_kc.chunk").alias("chunk"), "error", "cuda_version", "driver_version",
-        "devices", F.coalesce("profile", F.create_map().cast(nested.schema["profile"].dataType)).alias("profile"))
+    # every chunk meets its host in one join, whose payload side may be split if
+    # a host is large; hosts without a log and failing hosts need no payload
+    chunks = nested.withColumn("_k", F.struct("source")).drop("source")
+    columns = ["_k", "chunk", "error", "cuda_version", "driver_version", "devices", "profile"]
+    logged = chunks.join(hosts, "_k", "left").where("error is null").select(*columns)
+    zero, nothing = F.lit(0).cast("bigint").alias("chunk"), F.create_map().cast(nested.schema["profile"].dataType).alias("profile")
+    silent = hosts.where("error is null").join(chunks.select("_k"), "_k", "left_anti")
+    failing = hosts.where("error is not null").distinct()
+    x = logged
+    for rest in (silent, failing):
+        x = x.unionByName(rest.select("_k", zero, "error", "cuda_version", "driver_version", "devices", nothing))
+    x = x.withColumn("source", F.col("_k.source"))
     keep_nulls = {"ignoreNullFields": "false"}
     full = F.struct("error", "cuda_version", "driver_version", "devices", "profile")
     short = F.struct("error", "cuda_version", "driver_version")

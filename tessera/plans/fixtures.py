@@ -128,6 +128,14 @@ def diverged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.withColumn("loss", loss)
 
 
+def steps_of_all_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 with four more losses per first step of an epoch: 2^900, -2^900, 2^-900
+    and -2^-901."""
+    x = step_metrics(spark, sf_dir).select("run_id", "rank", "epoch", "phase", "step", "loss")
+    more = F.array(*[F.lit(v) for v in (2.0 ** 900, -(2.0 ** 900), 2.0 ** -900, -(2.0 ** -901))])
+    return x.unionByName(x.where("step = 0").withColumn("loss", F.explode(more)))
+
+
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(example_id, logits ARRAY<FLOAT>, label INT)``."""
     return read(spark, sf_dir, "embeddings").select(

@@ -540,3 +540,34 @@ ORACLE["profile_records_all_hosts"] = _records("source <> 'host1'")
 
 # The JSON sink reads back to the same records
 ORACLE["profile_json_sink"] = ORACLE["device_profile_record"]
+
+# S7 as VARIANT: a failing host's record has no devices
+ORACLE["profile_variant_sink"] = f"""with r as ({ORACLE["device_profile_record"]})
+select source, chunk, record_json->>'$.error' as error, record_json->>'$.driver_version' as driver_version,
+       record_json->>'$.cuda_version' as cuda_version, record_json->>'$.devices[0].device_id' as first_device,
+       record_json->>'$.devices[0].memory' as first_memory, record_json->>'$.devices[1].device_id' as second_device
+from r"""
+
+ORACLE["metric_rank_auc"] = """with x as (
+  select vec_id % 5 as grp, floor(list_max(embedding)::DOUBLE * 1024)::BIGINT as s,
+         list_position(embedding, list_max(embedding)) - 1 = label as good
+  from embeddings where embedding is not null and label is not null),
+c as (select grp, s, count(*) filter (where good) as p, count(*) filter (where not good) as n from x group by 1, 2),
+b as (select *, coalesce(sum(n) over (partition by grp order by s rows between unbounded preceding and 1 preceding), 0) as below from c)
+select grp, (sum(p * (2 * below + n))::DOUBLE / nullif(2 * sum(n)::DOUBLE * sum(p)::DOUBLE, 0)) as auc,
+       sum(p)::DOUBLE as n_positive, sum(n)::DOUBLE as n_negative
+from b group by grp"""
+
+# the four further losses of an epoch add nothing to its sum at 12 places, and 4 to its count
+ORACLE["epoch_loss_exact"] = f"""with {F4},
+s as (select run_id, rank, epoch, phase, sum(loss::DECIMAL(18,10)) * 10000000000 as total, count(*) + 4 as n from f4 group by all),
+t as (select *, total::HUGEINT as num, (n * 1000000)::HUGEINT as den from s)
+select run_id, rank, epoch, phase, n as n_steps,
+       (case when num < 0 then -1 else 1 end * (abs(num) // den + case when 2 * (abs(num) % den) > den
+         or (2 * (abs(num) % den) = den and (abs(num) // den) % 2 = 1) then 1 else 0 end))::DOUBLE / 10000.0::DOUBLE as avg_loss
+from t"""
+
+# a byte-level vocabulary loses nothing, and pieces have the ids they have in whole texts
+ORACLE["vocabulary_dictionary"] = f"with {F2} select row_id, source_text as source_decoded from f2"
+ORACLE["vocabulary_tokenizer"] = f"""with {F2}
+select row_id % 2 as grp, count(*) as n_rows, count(*) as n_same from f2 group by 1"""

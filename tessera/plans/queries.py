@@ -7,15 +7,16 @@ them whole.  Column names match the oracle SQL in ``tessera.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tessera.functions.numeric import round_half_even
+from tessera.functions.numeric import argmax, round_half_even
 from tessera.operators.corpus import select_splits, split_lines
 from tessera.operators.encode import decode, encode_causal, encode_pairs
 from tessera.operators.feed import assign_batch, assign_rank, collect_batches, shuffle_position
 from tessera.operators import metrics as m
-from tessera.operators import permute
+from tessera.operators import dictionary, exact, permute, states
 from tessera.operators import telemetry as tm
 from tessera.operators import udf
 from tessera.plans import fixtures as fx
@@ -38,6 +39,7 @@ EVERY_N = 10
 PATIENCE = 2
 MAX_EPOCHS = 6
 PROFILE_CHUNK = 4096
+LONGEST = 1 << 20
 BROKEN_BLANK = ' "q",\n'
 PAIR_ROW_SCHEMA = T.StructType([
     T.StructField("row_id", T.LongType()),
@@ -159,6 +161,14 @@ def epoch_loss_diverged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("run_id", "rank", "epoch", "phase", m.py_float_text("avg_loss").alias("avg_loss_text"), "n_steps")
 
 
+@query
+def epoch_loss_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2/A3 where losses of every size meet: each epoch also has 2^900, its
+    negative and a few around 2^-900, and the small losses still count fully."""
+    return exact.exact_mean(fx.steps_of_all_sizes(spark, sf_dir), ["run_id", "rank", "epoch", "phase"], "loss",
+                            name="avg_loss", count="n_steps")
+
+
 @query
 def shuffle_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W4 within a key that is null for a part of the rows."""
@@ -271,6 +281,19 @@ def profile_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("source string, chunk long, record_json string").json(path)
 
 
+@query
+def profile_variant_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + D13 as VARIANT: records of both shapes in one column, fields of sound
+    and failing hosts read back by their paths."""
+    path = staging_path(spark, "profile-variant")
+    files.write_variant(device_profile_record(spark, sf_dir), path, "record_json")
+    return files.read_variant(spark, path, {
+        "error": ("$.error", "string"), "driver_version": ("$.driver_version", "string"),
+        "cuda_version": ("$.cuda_version", "string"), "first_device": ("$.devices[0].device_id", "string"),
+        "first_memory": ("$.devices[0].memory", "string"), "second_device": ("$.devices[1].device_id", "string")},
+        keep=("source", "chunk"))
+
+
 @query
 def device_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.parse_inventory(fx.inventory_lines(spark, sf_dir))
@@ -305,6 +328,35 @@ def user_tokenizer_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return udf.decode_with_tokenizer(enc, standins.ByteTokenizer, "source_text_input_ids", "source_decoded")
 
 
+def _vocabulary():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return partial(dictionary.FileTokenizer, path), dictionary.special_strings(path)
+
+
+@query
+def vocabulary_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4 / U2 / H23 on a real vocabulary: texts encoded by a dictionary of their
+    distinct pieces, and decoded to what they were."""
+    tokenizer, special = _vocabulary()
+    enc = dictionary.encode_by_dictionary(fx.pairs(spark, sf_dir), "source_text", tokenizer, LONGEST, special=special)
+    return udf.decode_with_tokenizer(enc, tokenizer, "input_ids", "source_decoded", clean_up_tokenization_spaces=False)
+
+
+@query
+def vocabulary_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 with a real vocabulary on whole texts: how many rows have the ids that
+    the dictionary gives, cut and padded alike."""
+    tokenizer, special = _vocabulary()
+    pairs = fx.pairs(spark, sf_dir)
+    whole = udf.encode_with_tokenizer(pairs, tokenizer, {"source_text": PAIR_LENGTH})
+    by_piece = dictionary.encode_by_dictionary(pairs, "source_text", tokenizer, PAIR_LENGTH, special=special, pad_id=0)
+    same = (F.col("source_text_input_ids") == F.col("input_ids")) & (F.col("source_text_attention_mask") == F.col("attention_mask"))
+    return whole.join(by_piece, "row_id").groupBy((F.col("row_id") % 2).alias("grp")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(same, F.lit(1))).alias("n_same"))
+
+
 GENERATE_OPTIONS = dict(max_length=PAIR_LENGTH, num_beams=2, top_k=10, top_p=0.95,
                         repetition_penalty=2.5, length_penalty=1.0, early_stopping=True)
 RETURN_SEQUENCES = 2
@@ -324,6 +376,16 @@ def metric_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("n_correct").cast("bigint").alias("n_correct"), "accuracy")
 
 
+@query
+def metric_rank_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U5 with a rank metric: per group of examples, how well the largest logit
+    tells right predictions from wrong ones."""
+    rows = fx.logits(spark, sf_dir).select(
+        (F.col("example_id") % 5).alias("grp"), F.array_max("logits").cast("double").alias("score"),
+        (argmax("logits") == F.col("label")).alias("right"))
+    return states.metric_by_states(rows, states.Auc("score", "right"), ["auc", "n_positive", "n_negative"], ["score", "right"], ["grp"])
+
+
 # ---- step 7: staging and the prepared dataset -------------------------------
 
 @query
