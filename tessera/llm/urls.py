@@ -5,7 +5,8 @@ is a Bloom filter of the listed keys; the unlisted keys of the universe that it
 lets through are the keys of level 2, the listed ones that level 2 lets through
 those of level 3, and so on until no false positive is left.  A key is looked
 up level by level until a filter says no.  The universe is every key that the
-corpus holds, so no page needs a join: the bit arrays are scalar subqueries.
+corpus holds, so no page needs a join: the bit arrays are scalar subqueries.  A
+list too long for that is judged in parts, key by key.
 
 Rules are listed by the key ``host + path``.  A page's candidate keys are its
 host's suffixes and path's prefixes of the shapes that the rules have (labels
@@ -20,9 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.common import staged
+from tessera.session import staging_path
 
-#: A filter of more bits than this is not sent to all tasks; membership in so
-#: long a list is decided by a join on the distinct keys instead.
+#: A filter of more bits than this is not sent to all tasks: so long a list is
+#: split by a hash of the keys into parts, each with a cascade of its own that
+#: judges the distinct keys of its part.
 MOST_BITS = 1 << 26
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,7 +44,7 @@ class Cascade:
         flagged = universe.join(listed.withColumn("listed", F.lit(True)), "key", "left")
         flagged = staged(flagged.select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "url-keys")
         self.levels: list[tuple[DataFrame, int, int]] = []
-        self.by_join: DataFrame | None = None
+        self.parts = 1  # how many parts the list must be split into
         encoded, others = flagged.where("listed").select("key"), flagged.where("not listed").select("key")
         n, m = encoded.count(), others.count()
         while n:
@@ -49,7 +52,7 @@ class Cascade:
             bits = max(64, math.ceil(n * math.log(1 / rate) / math.log(2) ** 2))
             bits = -(-bits // 64) * 64
             if bits > MOST_BITS:
-                self.by_join = flagged.where("listed").select("key")
+                self.parts = 2 * math.ceil(bits / MOST_BITS)
                 return
             hashes = max(1, min(20, round(bits / n * math.log(2))))
             level = len(self.levels)
@@ -82,6 +85,26 @@ class Cascade:
         return key.isNotNull() & answer
 
 
+def members(universe: DataFrame, listed: DataFrame, parts: int) -> DataFrame:
+    """The keys of the universe that are listed, part by part: a part's keys and
+    its list are those of one hash value, and its cascade is sent to the tasks
+    that read this part only.  A part that is still too long is split again."""
+    spark, found = universe.sparkSession, None
+    root = staging_path(spark, "url-parts")
+    for name, keys in (("universe", universe), ("listed", listed)):
+        keys.select("key", F.pmod(F.xxhash64("key", F.lit(7_919 * parts)), F.lit(parts)).alias("part")).write.partitionBy(
+            "part").parquet(f"{root}/{name}")
+    schema = "key string, part int"
+    for part in range(parts):
+        own = spark.read.schema(schema).parquet(f"{root}/universe").where(F.col("part") == part).select("key")
+        own_list = spark.read.schema(schema).parquet(f"{root}/listed").where(F.col("part") == part).select("key")
+        cascade = Cascade(own, own_list)
+        keys = own.where(cascade.contains(F.col("key"))) if cascade.parts == 1 else members(own, own_list, 2 * parts + 1)
+        keys = staged(keys, "url-members")
+        found = keys if found is None else found.unionByName(keys)
+    return found
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path of a url; both empty without ``://``."""
     at = F.instr(url, "://")
@@ -134,10 +157,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], blocked_labels: Se
     hosts = staged(seen.select(F.col("host").alias("key")).distinct(), "url-hosts")
     labels = spark.createDataFrame([(x,) for x in dict.fromkeys(blocked_labels)], "label string")
     of_host = hosts.select("key", F.explode(F.split("key", r"\.")).alias("label"))
-    spam = Cascade(hosts, of_host.join(labels, "label", "left_semi").select("key").distinct())
+    spam_hosts = of_host.join(labels, "label", "left_semi").select("key").distinct()
+    spam = Cascade(hosts, spam_hosts)
 
-    if any(c.by_join is not None for c in (*listed.values(), spam)):
-        return _judge_by_join(rows, names, known, labels)
+    if any(c.parts > 1 for c in (*listed.values(), spam)):
+        by_rule = [members(universe, known.where(F.col("verdict") == v).select("key"), c.parts).withColumn("verdict", F.lit(v))
+                   for v, c in listed.items()]
+        return _judge_by_keys(rows, names, by_rule[0].unionByName(by_rule[1]), members(hosts, spam_hosts, spam.parts))
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     if names:
         found = [(F.col(n), listed["block"].contains(F.col(n)), listed["allow"].contains(F.col(n))) for n in names]
@@ -152,15 +178,14 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], blocked_labels: Se
                        F.coalesce(verdict, F.when(by_label, "block").otherwise("allow")).alias("verdict"))
 
 
-def _judge_by_join(rows: DataFrame, names: list[str], rules: DataFrame, labels: DataFrame) -> DataFrame:
-    """The same for lists too long for filters in memory: keys meet the lists in
-    shuffled joins, distinct keys first, so that a hot host is one row."""
+def _judge_by_keys(rows: DataFrame, names: list[str], rules: DataFrame, spam: DataFrame) -> DataFrame:
+    """The same from keys that cascades have judged in parts.  Verdicts come back
+    to the pages by shuffled joins of distinct places, so a hot host is one row."""
     places = staged(rows.select("host", "path", *names).distinct().withColumn("_id", F.xxhash64("host", "path")), "url-places")
     keys = places.select("_id", F.explode(F.array(*[F.col(n) for n in names])).alias("key")).where("key is not null").distinct()
     best = keys.join(rules, "key").groupBy("_id").agg(F.max(F.struct(F.length("key").alias("n"), "key", "verdict")).alias("b"))
-    hit = (places.select("_id", F.explode(F.split("host", r"\.")).alias("label")).join(labels, "label", "left_semi")
-           .select("_id").distinct().withColumn("spam", F.lit(True)))
-    judged = places.select("host", "path", "_id").join(best, "_id", "left").join(hit, "_id", "left").select(
+    hit = spam.select(F.col("key").alias("host"), F.lit(True).alias("spam"))
+    judged = places.select("host", "path", "_id").join(best, "_id", "left").join(hit, "host", "left").select(
         "host", "path", F.col("b.key").alias("rule"),
         F.coalesce("b.verdict", F.when(F.col("spam"), "block").otherwise("allow")).alias("verdict"))
     return rows.select("page_id", "host", "path").join(judged, ["host", "path"])

@@ -28,18 +28,38 @@ def expected(url):
     return host, path, None, "block" if set(host.split(".")) & set(BLOCKED_LABELS) else "allow"
 
 
-@pytest.mark.parametrize("most_bits", [urls.MOST_BITS, 0])
+@pytest.mark.parametrize("most_bits", [urls.MOST_BITS, 2048])
 def test_verdicts(spark, monkeypatch, most_bits):
+    """With short filters the list of hosts is split, and cascades judge its parts."""
     monkeypatch.setattr(urls, "MOST_BITS", most_bits)
-    pages = spark.createDataFrame([(i, u, "k", "v") for i, u in enumerate(URLS)] + [(None, URLS[0], None, None)],
+    split = []
+    keep = urls.members
+    monkeypatch.setattr(urls, "members", lambda u, x, n: split.append(n) or keep(u, x, n))
+    many = [f"http://h{i}.{'spam-farm' if i % 3 else 'fine'}.org/fr{i % 2 * '/'}x" for i in range(3000)]
+    many += ["http://h1.spam-farm.org/a"] * 50
+    all_ = URLS + many
+    pages = spark.createDataFrame([(i, u, "k", "v") for i, u in enumerate(all_)] + [(None, URLS[0], None, None)],
                                   "page_id bigint, url string, key string, rule string")
     out = got(urls.judge(pages, URL_RULES, BLOCKED_LABELS))
-    assert len(out) == len(URLS) + 1
+    assert len(out) == len(all_) + 1 and (max(split, default=0) > 1) is (most_bits == 2048)
     for r in out:
-        url = URLS[r["page_id"] or 0]
+        url = all_[r["page_id"] or 0]
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == expected(url), url
 
 
+def test_long_lists_are_judged_by_cascades(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MOST_BITS", 2048)
+    built = []
+    keep = urls.Cascade.contains
+    monkeypatch.setattr(urls.Cascade, "contains", lambda self, key: built.append(len(self.levels)) or keep(self, key))
+    universe = spark.range(9_000).selectExpr("concat('k', id) AS key")
+    listed = universe.where("hash(key) % 6 = 0")
+    c = urls.Cascade(universe, listed)
+    found = urls.members(universe, listed, c.parts)
+    assert c.parts > 1 and found.count() == listed.count() and found.subtract(listed).isEmpty()
+    assert len(built) >= c.parts and max(built) > 1  # a cascade of several levels for each part
+
+
 def test_cascade_is_exact(spark):
     universe = spark.range(20_000).selectExpr("concat('k', id) AS key")
     listed = spark.range(20_000).where("id % 37 = 0").selectExpr("concat('k', id) AS key")
