@@ -497,6 +497,7 @@ from parsed where ts is not null group by 1, 2, 3, 4"""
 
 # late rows change nothing
 ORACLE["stream_device_max_late"] = ORACLE["stream_device_max"]
+ORACLE["stream_device_max_append"] = ORACLE["stream_device_max"]
 # the same windows whether the log arrives as Parquet rows or as text files
 ORACLE["stream_text_device_max"] = ORACLE["stream_device_max"]
 

@@ -556,6 +556,23 @@ def stream_device_max_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.latest(spark, out, ["window_start", "window_end", "source", "device"])
 
 
+@query
+def stream_device_max_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 in append mode: every window is written once, when the watermark has
+    closed it, and the table is read as it is.  A second run brings samples of a
+    much later day, which close the windows of the first."""
+    src = staging_path(spark, "monitor-append-in")
+    log = fx.monitor_log(spark, sf_dir)
+    out, ck = staging_path(spark, "monitor-append-out"), staging_path(spark, "monitor-append-ck")
+    later = log.where("line_no < 20").withColumn(
+        "line", F.regexp_replace("line", r"^([^,]*), [^,]*,", "$1, 2099/01/01 00:00:00.0,"))
+    for rows in (log, later):
+        rows.write.mode("append").parquet(src)
+        lines = spark.readStream.schema(streams.MONITOR_SCHEMA).parquet(src)
+        streams.run_to_table(streams.device_max_stream(lines, STREAM_WINDOW, STREAM_DELAY), out, ck, output_mode="append")
+    return spark.read.parquet(out).drop("batch_id")
+
+
 @query
 def stream_text_device_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 stream form + T1: the F3 log arriving as text files per host
