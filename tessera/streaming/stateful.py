@@ -54,7 +54,7 @@ def percent_series_stream(lines: DataFrame, delay: str = "1 hour", idle: str = "
         if state.hasTimedOut:
             state.remove()
             return
-        x = pd.concat(batches)
+        x = pd.concat(batches, ignore_index=True)
         if not state.exists:
             first = x.loc[x["line_no"].idxmin()]
             state.update((int(first["line_no"]), *(_plain(first[c]) for c in ("us", "gpu_memory_total", "ram_total"))))

@@ -55,6 +55,26 @@ def test_a_silent_series_ends(spark, folders):
     assert seconds == {0: 0.0, 1: 0.0, 2: 120.0}  # a new series begins
 
 
+def batch_series(spark, lines):
+    return rows(telemetry.percent_series(telemetry.parse_monitor(spark.createDataFrame(lines, streams.MONITOR_SCHEMA), mode="skip")), SERIES)
+
+
+def test_a_series_of_several_arrow_batches(spark, folders):
+    stream = lambda s: stateful.percent_series_stream(s, "1 hour", "2 days")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        a = [sample(f"h{i % 2}", i, 1, i, used=i, total=100 + i) for i in range(50)]
+        random.Random(3).shuffle(a)
+        b = [sample(f"h{i % 3}", 50 + i, 1, 10 + i, used=i, total=200) for i in range(45)]
+        run(spark, folders, a, streams.MONITOR_SCHEMA, stream)
+        got = run(spark, folders, b, streams.MONITOR_SCHEMA, stream)
+        assert rows(got, SERIES) == batch_series(spark, a + b)
+    finally:
+        spark.conf.set(key, before)
+
+
 REPORTS = "run_id bigint, epoch int, rank int, value double"
 
 
