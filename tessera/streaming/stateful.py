@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import json
 import math
+import pickle
+import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,6 +29,32 @@ def _plain(value):
     return None if pd.isna(value) else value.item() if hasattr(value, "item") else value
 
 
+def _first_sample(batches: Iterator[pd.DataFrame], held) -> tuple | None:
+    """The state of a new series, of the sample with the lowest line number
+    (None if no sample has a number); the chunks are written to ``held``."""
+    first = None
+    for x in batches:
+        pickle.dump(x, held, pickle.HIGHEST_PROTOCOL)
+        numbers = x["line_no"].dropna()
+        if len(numbers) and (first is None or numbers.min() < first[0]):
+            at = x.index.get_loc(numbers.idxmin())
+            first = (int(numbers.min()), *(_plain(x[c].iat[at]) for c in ("us", "gpu_memory_total", "ram_total")))
+    return first
+
+
+def _chunks(held) -> Iterator[pd.DataFrame]:
+    held.seek(0)
+    while True:
+        try:
+            yield pickle.load(held)
+        except EOFError:
+            return
+
+
+#: Bytes of a new series that a task holds in memory before they go to its temp folder.
+HELD_BYTES = 8 << 20
+
+
 def percent_series_stream(lines: DataFrame, delay: str = "1 hour", idle: str = "1 day") -> DataFrame:
     """W1 + W2 + H17 + H18 on a stream of monitor lines ``(source, line_no,
     line)``: what :func:`tessera.operators.telemetry.percent_series` gives.
@@ -39,8 +67,10 @@ def percent_series_stream(lines: DataFrame, delay: str = "1 hour", idle: str = "
     skipped; samples behind the watermark are late and dropped; a sample without
     a readable time keeps its series as it is.
 
-    A device's samples of one micro-batch are handled by one task: bound the
-    batch at the source (``maxFilesPerTrigger``) when a backlog is worked off.
+    A device's samples of one micro-batch are handled by one task, Arrow batch by
+    Arrow batch; those of a new series wait in a temporary file of the task until
+    its first sample is known.  Samples without a line number are never the
+    first; while a series has no numbered sample, what refers to it is null.
     """
     f = monitor_fields(lines, mode="skip")
     parsed = f.select("source", "line_no", "device", parse_timestamp("timestamp").alias("ts"),
@@ -54,19 +84,26 @@ def percent_series_stream(lines: DataFrame, delay: str = "1 hour", idle: str = "
         if state.hasTimedOut:
             state.remove()
             return
-        x = pd.concat(batches, ignore_index=True)
-        if not state.exists:
-            first = x.loc[x["line_no"].idxmin()]
-            state.update((int(first["line_no"]), *(_plain(first[c]) for c in ("us", "gpu_memory_total", "ram_total"))))
-        _, us, gpu, ram = state.get
-        last = x["us"].max()
-        if not pd.isna(last):
-            state.setTimeoutTimestamp(max(int(last) // 1000 + silent, state.getCurrentWatermarkMs() + 1))
-        out = x[kept].assign(source=key[0], device=key[1])
-        out["first_us"] = pd.array([us] * len(x), dtype="Int64")
-        out["first_gpu_memory_total"], out["first_ram_total"] = gpu, ram
-        out["us"] = out["us"].astype("Int64")
-        yield out[columns]
+        batches = (x[kept].reset_index(drop=True) for x in batches)
+        with tempfile.SpooledTemporaryFile(HELD_BYTES) as held:
+            if not state.exists:
+                found = _first_sample(batches, held)
+                batches = _chunks(held)
+                if found:
+                    state.update(found)
+            _, us, gpu, ram = state.get if state.exists else (None,) * 4
+            last = None
+            for x in batches:
+                times = x["us"].dropna()
+                if len(times):
+                    last = int(times.max()) if last is None else max(last, int(times.max()))
+                out = x.assign(source=key[0], device=key[1])
+                out["first_us"] = pd.array([us] * len(x), dtype="Int64")
+                out["first_gpu_memory_total"], out["first_ram_total"] = gpu, ram
+                out["line_no"], out["us"] = out["line_no"].astype("Int64"), out["us"].astype("Int64")
+                yield out[columns]
+        if last is not None and state.exists:
+            state.setTimeoutTimestamp(max(last // 1000 + silent, state.getCurrentWatermarkMs() + 1))
 
     schema = ("source string, device string, line_no bigint, us bigint, " + ", ".join(f"{c} double" for c in NUMERIC_FIELDS)
               + ", first_us bigint, first_gpu_memory_total double, first_ram_total double")

@@ -59,7 +59,9 @@ def batch_series(spark, lines):
     return rows(telemetry.percent_series(telemetry.parse_monitor(spark.createDataFrame(lines, streams.MONITOR_SCHEMA), mode="skip")), SERIES)
 
 
-def test_a_series_of_several_arrow_batches(spark, folders):
+@pytest.mark.parametrize("held", [0, 1 << 20])
+def test_a_series_of_several_arrow_batches(spark, folders, monkeypatch, held):
+    monkeypatch.setattr(stateful, "HELD_BYTES", held)  # 0: the file of a new series goes to disk at once
     stream = lambda s: stateful.percent_series_stream(s, "1 hour", "2 days")
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
@@ -75,6 +77,23 @@ def test_a_series_of_several_arrow_batches(spark, folders):
         spark.conf.set(key, before)
 
 
+def test_samples_without_a_number_are_never_the_first(spark, folders):
+    stream = lambda s: stateful.percent_series_stream(s, "1 hour", "2 days")
+    lines = [sample("h0", None, 1, 0, total=50), sample("h0", 4, 1, 1), sample("h0", 3, 1, 2, total=80), sample("h1", None, 1, 0)]
+    got = run(spark, folders, lines, streams.MONITOR_SCHEMA, stream)
+    assert rows(got, SERIES) == batch_series(spark, lines)
+
+
+def test_a_new_series_is_not_held_in_memory(tmp_path):
+    import pandas as pd
+
+    chunks = [pd.DataFrame({"line_no": [9 - i, 5], "us": [i, None], "gpu_memory_total": [1.0 * i, 0.0], "ram_total": [None, 0.0]}) for i in range(8)]
+    with open(tmp_path / "held", "w+b") as held:
+        assert stateful._first_sample(iter(chunks), held) == (2, 7, 7.0, None)
+        for x, y in zip(chunks, stateful._chunks(held), strict=True):
+            pd.testing.assert_frame_equal(x, y)
+
+
 REPORTS = "run_id bigint, epoch int, rank int, value double"
 
 
