@@ -8,8 +8,10 @@ when its Python ends.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.session import staging_path, table_path
@@ -72,6 +74,16 @@ def runs(sizes: list[int], limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def give_back() -> None:
+    """Return to the system what this Python worker has freed.  Arrow's pool and
+    malloc keep it otherwise, and a worker outlives the stage that needed it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges (a, b)``: one row ``(node, component)``
     per node that has an edge, where ``component`` is its smallest reachable id.

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import in_small_batches, runs
+from tessera.llm.common import give_back, in_small_batches, runs
 
 DIMS, BITS, HASHED = 4, 8, 512
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -97,7 +97,7 @@ class Encoder:
     strings, are encoded whole.
     """
 
-    def __init__(self, path: str, remember: int = 700_000):
+    def __init__(self, path: str, remember: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -121,7 +121,7 @@ class Encoder:
         blank = [w for w in words if w.isspace()]
         self.known.update(zip(blank, self._encode(blank)))
         words = [w for w in words if not w.isspace()]
-        ids = np.array(self.tokenizer.encode("\n".join(words), add_special_tokens=False).ids, "<u4")
+        ids = np.frombuffer(self._encode(["\n".join(words)])[0], "<u4")
         ends = np.flatnonzero(ids == self._feed)
         if len(ends) != len(words) - 1:
             self.known.update(zip(words, self._encode(words)))
@@ -174,13 +174,16 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int =
         raise ValueError("length must be a power of two")
 
     def keyed(batches):
+        give_back()
         for b in batches:
             texts = list(b["text"])
             keys = [curve_keys(texts[lo : lo + 1024]) for lo in range(0, len(texts), 1024)]
             yield pd.DataFrame({"doc_id": b["doc_id"], "text": b["text"],
                                 "key": np.concatenate(keys) if keys else np.zeros(0, np.int64)})
+        give_back()
 
     def cut(batches):
+        give_back()
         encode = encoder(tokenizer_path)
         part = TaskContext.get().partitionId()
         seq, fill, open_ = part << 33, 0, []  # open_: pieces of the sequence not yet full
@@ -226,6 +229,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int =
                     seq += 1
         if done:
             yield frame(done)
+        give_back()
 
     spark = docs.sparkSession
     rows = in_small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("text"))

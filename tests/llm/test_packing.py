@@ -50,6 +50,13 @@ def test_forgetting_changes_nothing(plain):
         assert few(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_few_words_are_remembered():
+    e = packing.Encoder(PATH)
+    for i in range(16):
+        e([" ".join(f"{k:x}q".translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(25_000 * i, 25_000 * (i + 1)))])
+        assert len(e.known) + len(e.old) <= 350_000  # two workers of an executor share what the JVM leaves
+
+
 def test_pieces_tile_documents_and_sequences(spark, plain):
     rows = doc_rows()
     out = got(packing.pack(documents(spark), PATH))
