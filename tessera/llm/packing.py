@@ -15,7 +15,6 @@ import os
 import re
 import zlib
 from array import array
-from itertools import chain
 from statistics import NormalDist
 
 import numpy as np
@@ -68,9 +67,8 @@ def curve_keys(texts: list[bytes | None]) -> np.ndarray:
     v = np.zeros((len(texts), HASHED))
     for i, t in enumerate(texts):
         if t and len(t) >= 4:
-            b = np.frombuffer(t, np.uint8).astype(np.uint32)
-            w = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
-            v[i] = np.bincount((w * np.uint32(2_654_435_761)) >> np.uint32(23), minlength=HASHED)
+            w = np.ndarray(len(t) - 3, "<u4", t, strides=(1,)) * np.uint32(2_654_435_761)
+            v[i] = np.bincount(w >> np.uint32(23), minlength=HASHED)
     v = np.log1p(v)
     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
     return hilbert_key(np.searchsorted(cuts, v @ turn))
@@ -83,7 +81,18 @@ _NUMBER = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _SPACE = " \t\n\r\x0b\x0c\x85\xa0"
 _CUT = re.compile(f"'(?:[sdmt]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
                   f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_OTHER = "[^\\x00-\u024f\u2010-\u2027\u2030-\u205e\u4e00-\u9fa5]"
+_OTHER = re.compile("[^\\x00-\u024f\u2010-\u2027\u2030-\u205e\u4e00-\u9fa5]")
+
+
+class _Words(dict):
+    """Ids by word; those of a word that is not there are asked for."""
+
+    def __init__(self, ask):
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, word: str) -> bytes:
+        return self.ask(word)
 
 
 class Encoder:
@@ -92,61 +101,52 @@ class Encoder:
     A byte-level BPE cuts a text into words, numbers, punctuation and white
     space and encodes each of these for itself.  Words repeat a lot, so their ids
     are remembered (up to ``remember`` of them in two generations, so that those
-    in use outlive the rest) and only new ones go to the tokenizer.  Texts with
-    characters outside the classes above, or with one of the vocabulary's special
-    strings, are encoded whole.
+    in use outlive the rest) and only new ones go to the tokenizer's model, which
+    takes them as they are cut.  Texts with characters outside the classes above,
+    or with one of the vocabulary's special strings, are encoded whole.
     """
 
     def __init__(self, path: str, remember: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._whole = re.compile("|".join([_OTHER, *special]))
-        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self._feed = feed[0] if len(feed) == 1 else -1
+        self._model = self.tokenizer.model
+        self._special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # the character of each byte: its own where that is printable, else the next from 256 on
+        own, rest = set(ByteLevel.alphabet()), iter(range(256, 512))
+        self._units = {b: chr(b if chr(b) in own else next(rest)) for b in range(256)}
         self.remember = remember
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = _Words(self._learn)
         self.old: dict[str, bytes] = {}
+        self._long: list[str] = []
+
+    def _learn(self, word: str) -> bytes:
+        """The ids of a word of the older generation or of a new one."""
+        ids = self.old.get(word)
+        if ids is None:
+            units = word.encode().decode("latin-1").translate(self._units)
+            ids = array("I", [t.id for t in self._model.tokenize(units)]).tobytes()
+        self.known[word] = ids
+        if len(word) > 64:
+            self._long.append(word)
+        return ids
+
+    def _whole(self, text: str) -> bool:
+        return not text.isascii() and _OTHER.search(text) is not None or any(s in text for s in self._special)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in out]
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode new pieces.  White space is encoded by itself; all others in one
-        text with a line feed between them, which is cut off as a piece of its own
-        there and is a token that no other piece has."""
-        blank = [w for w in words if w.isspace()]
-        self.known.update(zip(blank, self._encode(blank)))
-        words = [w for w in words if not w.isspace()]
-        ids = np.frombuffer(self._encode(["\n".join(words)])[0], "<u4")
-        ends = np.flatnonzero(ids == self._feed)
-        if len(ends) != len(words) - 1:
-            self.known.update(zip(words, self._encode(words)))
-            return
-        raw, starts = ids.tobytes(), [0, *(4 * (ends + 1)).tolist()]
-        self.known.update((w, raw[a:b]) for w, a, b in zip(words, starts, [*(4 * ends).tolist(), len(raw)]))
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.remember // 2:
-            self.old, self.known = self.known, {}
-        known, old = self.known, self.old
-        parts = [None if self._whole.search(t) else _CUT.findall(t) for t in texts]
-        whole = dict(zip((i for i, p in enumerate(parts) if p is None),
-                         self._encode([t for t, p in zip(texts, parts) if p is None])))
-        lack = set(chain.from_iterable(p for p in parts if p is not None)).difference(known)
-        again = lack.intersection(old)
-        known.update((w, old[w]) for w in again)
-        new = list(lack - again)
-        for i in range(0, len(new), 4096):
-            self._learn(new[i : i + 4096])
-        find = known.__getitem__
-        out = [whole[i] if p is None else b"".join(map(find, p)) for i, p in enumerate(parts)]
-        for w in new:
-            if len(w) > 64:  # long ones are not worth the memory
-                del known[w]
+            self.old, self.known = self.known, _Words(self._learn)
+        find = self.known.__getitem__
+        out = [self._encode(t) if self._whole(t) else b"".join(map(find, _CUT.findall(t))) for t in texts]
+        for word in self._long:  # not worth the memory
+            del self.known[word]
+        self._long.clear()
         return out
 
 

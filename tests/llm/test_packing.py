@@ -57,6 +57,33 @@ def test_few_words_are_remembered():
         assert len(e.known) + len(e.old) <= 350_000  # two workers of an executor share what the JVM leaves
 
 
+def test_cut_words_go_to_the_model_only(plain):
+    texts = ["The cat's 12 caf\u00e9s,\n\n  it\u2019s (so) \t\x85 \u4e2d\u6587!! ", "x" * 70 + " " + "=" * 100, "", " \n", "\x00\x1c\x7f\xad a"]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    e = packing.Encoder(PATH)
+    e.tokenizer = None  # its normaliser, pattern and offsets cost more than the merges
+    assert e(texts) == want and e(texts) == want
+    assert max(map(len, e.known)) <= 64
+
+
+def test_every_byte_has_its_character(plain):
+    texts = [a + b for a in map(chr, range(0x250)) for b in ("", " ", "a", "\n")]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert packing.Encoder(PATH)(texts) == want
+
+
+def test_curve_keys_of_written_out_windows():
+    for t in (b"abcd", b"abcde", bytes(range(256)) * 3, "caf\u00e9 \u4e2d\u6587".encode()):
+        counts = np.zeros(packing.HASHED)
+        for i in range(len(t) - 3):
+            counts[(int.from_bytes(t[i : i + 4], "little") * 2_654_435_761 % (1 << 32)) >> 23] += 1
+        v = np.log1p(counts)[None, :]
+        turn = np.random.default_rng(11).standard_normal((packing.HASHED, packing.DIMS))
+        cuts = [packing.NormalDist().inv_cdf(i / (1 << packing.BITS)) for i in range(1, 1 << packing.BITS)]
+        point = np.searchsorted(cuts, v / np.linalg.norm(v) @ turn)
+        assert packing.curve_keys([t])[0] == packing.hilbert_key(point)[0]
+
+
 def test_pieces_tile_documents_and_sequences(spark, plain):
     rows = doc_rows()
     out = got(packing.pack(documents(spark), PATH))
