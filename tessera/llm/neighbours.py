@@ -2,22 +2,31 @@
 
 Equal vectors of a label are one class.  Classes are dealt to overlapping
 cluster shards: a shard above ``SHARD`` members is split around spherical
-k-means centres fitted on a bounded sample of it, again and again, and a vector
-goes to every centre about as near as its nearest.  In each shard every vector
-is joined with the neighbours that robust pruning leaves (a neighbour is
+k-means centres fitted on a bounded sample of it, again and again.  The centres
+are a tree that every task holds; a vector goes down it with the ``BEAM`` best
+centres and, at the end, to those shards whose centre is about as near as the
+nearest: three at most, however often a shard was split.  In each shard every
+vector is joined with the neighbours that robust pruning leaves (a neighbour is
 dropped if an already chosen one is nearer to it by the factor ``ALPHA``); the
-adjacency lists of all shards are united by vector.  Every vector then searches
-the shard of its nearest centre: greedily from the medoid to itself, and on
-from there through all vectors in range.  Pairs found are verified in double
+adjacency of all shards is united by vector.  Every vector then searches the
+shard of its nearest centre: greedily from the medoid to itself, and on from
+there through all vectors in range.  Pairs found are verified in double
 precision.  :func:`audit_recall` compares link counts with brute force.
+
+Vectors are moved once to make classes and once, as ``OVERLAP`` copies at most,
+to their shards; both steps of the graph read that one exchange.  Adjacency
+moves as bits of pairs of members, and labels are worked off in waves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.common import components, staged
@@ -33,163 +42,383 @@ ALPHA = 1.2
 #: A vector goes to centres whose cosine is at most this below the best one's,
 #: three at most; the search goes on through vectors so far below the threshold.
 MARGIN, OVERLAP, SLACK = 0.12, 3, 0.03
+#: Centres that a vector follows down the tree.
+BEAM = 2 * OVERLAP
+#: Classes per wave, about: whole labels, whose exchange is dropped with the wave.
+WAVE = 2_000_000
+
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """:func:`staged`, after which the shuffle files behind it are dropped."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP_KEY, None)
+    conf.set(CLEANUP_KEY, "true")
+    try:
+        return staged(df, name)
+    finally:
+        if before is None:
+            conf.unset(CLEANUP_KEY)
+        else:
+            conf.set(CLEANUP_KEY, before)
 
 
 def _usable(v: Column) -> Column:
     """No null, infinite or NaN component, and not the zero vector."""
-    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(v.isNotNull() & sound & F.exists(v, lambda x: x != 0), F.lit(False))
+    inf, low, high = F.lit(float("inf")), F.array_min(v), F.array_max(v)
+    # unknown where a component is null; a NaN is above all numbers
+    sound = ~F.array_contains(v, inf) & (low > -inf) & (high < inf)
+    return F.coalesce(sound & ((low != 0) | (high != 0)), F.lit(False))
 
 
 def _unit(vectors) -> np.ndarray:
-    x = np.array(list(vectors), dtype=np.float64)
+    x = np.array(vectors if isinstance(vectors, np.ndarray) else list(vectors), dtype=np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _centres(rows: pd.DataFrame) -> pd.DataFrame:
-    x, k = _unit(rows["vec"]), int(rows["k"].iloc[0])
+class Cells(NamedTuple):
+    """The tree of centres for vectors of one length; a node's children follow
+    each other."""
+
+    roots: dict[int, int]  #: node of a group that was split
+    shard: np.ndarray  #: by node
+    first: np.ndarray
+    kids: np.ndarray
+    centres: np.ndarray
+
+
+class Places(NamedTuple):
+    """Where vectors go, and what is known of shards above ``SHARD`` members."""
+
+    cells: dict[int, Cells]  #: by length of the vectors
+    large: np.ndarray  #: shards, sorted
+    split: np.ndarray  #: centres to be fitted for each of them
+    rate: np.ndarray  #: share of their members to be sampled for that
+    blocks: np.ndarray  #: blocks they are worked off in, if they stay whole
+
+
+def _grown(cells: Cells | None, dims: int, found: list[tuple[int, int, bytes]]) -> Cells:
+    """``cells`` with the centres found for some of its shards."""
+    if cells is None:
+        cells = Cells({}, *(np.zeros(0, t) for t in (np.int64, np.int32, np.int32)), np.zeros((0, dims), np.float32))
+    known = {s: i for i, s in enumerate(cells.shard.tolist())}
+    fresh = [s for s, _, _ in found if s not in known]
+    n = len(cells.shard)
+    roots = cells.roots | {s: n + i for i, s in enumerate(fresh)}
+    known |= {s: n + i for i, s in enumerate(fresh)}
+    shard = [cells.shard, np.array(fresh, np.int64)]
+    centres = [cells.centres, np.zeros((len(fresh), dims), np.float32)]
+    total = n + len(fresh) + sum(k for _, k, _ in found)
+    first, kids = (np.concatenate([v, np.zeros(total - n, np.int32)]) for v in (cells.first, cells.kids))
+    at = n + len(fresh)
+    for s, k, c in found:
+        first[known[s]], kids[known[s]] = at, k
+        shard.append(np.int64(s) * np.ones(1, np.int64) * 1_000_003 + np.arange(1, k + 1))  # wraps: a hash of the path
+        centres.append(np.frombuffer(c, np.float32).reshape(k, dims))
+        at += k
+    return Cells(roots, np.concatenate(shard), first, kids, np.concatenate(centres))
+
+
+def _children(cells: Cells, x: np.ndarray, row: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, child, cosine)`` of the best children of each ``(row, node)``."""
+    order = np.argsort(node, kind="stable")
+    row, node = row[order], node[order]
+    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+    if len(row) < 8 * len(starts):
+        k = cells.kids[node]
+        rows = np.repeat(row, k)
+        to = np.repeat(cells.first[node] - (np.cumsum(k) - k), k) + np.arange(len(rows))
+        cos = np.empty(len(rows), np.float32)
+        for a in range(0, len(rows), 65_536):
+            b = a + 65_536
+            cos[a:b] = np.einsum("rd,rd->r", x[rows[a:b]], cells.centres[to[a:b]])
+        return rows, to, cos
+    out = []
+    for a, b in zip(starts, np.r_[starts[1:], len(row)]):
+        at, k = cells.first[node[a]], cells.kids[node[a]]
+        cos = x[row[a:b]] @ cells.centres[at : at + k].T
+        best = np.broadcast_to(np.arange(k), cos.shape)
+        if k > BEAM:
+            best = np.argpartition(-cos, BEAM - 1, axis=1)[:, :BEAM]
+            cos = np.take_along_axis(cos, best, axis=1)
+        out.append((np.repeat(row[a:b], best.shape[1]), at + best.ravel(), cos.ravel()))
+    return tuple(np.concatenate(v) for v in zip(*out))
+
+
+def _shards_of(places: Places, grp: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, rank, shard)`` for unit vectors ``x`` of the groups ``grp``, by row
+    and nearness."""
+    cells = places.cells.get(x.shape[1])
+    if cells is None:
+        return np.arange(len(x)), np.zeros(len(x), np.int64), grp
+    own, back = np.unique(grp, return_inverse=True)
+    root = np.array([cells.roots.get(g, -1) for g in own.tolist()], np.int64)[back]
+    row = np.flatnonzero(root >= 0)
+    node, cos, x = root[row], np.zeros(len(row), np.float32), x.astype(np.float32)
+    while True:
+        inner = cells.kids[node] > 0
+        if not inner.any():
+            break
+        found = _children(cells, x, row[inner], node[inner])
+        row, node, cos = (np.concatenate([a[~inner], b]) for a, b in zip((row, node, cos), found))
+        order = np.lexsort((node, -cos, row))
+        row, node, cos = row[order], node[order], cos[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < BEAM
+        row, node, cos = row[keep], node[keep], cos[keep]
+    begin = np.searchsorted(row, row)
+    rank = np.arange(len(row)) - begin
+    near = (rank < OVERLAP) & (cos >= cos[begin] - np.float32(MARGIN))
+    whole = np.flatnonzero(root < 0)
+    row = np.concatenate([row[near], whole])
+    order = np.argsort(row, kind="stable")
+    rank = np.concatenate([rank[near], np.zeros(len(whole), np.int64)])[order]
+    return row[order], rank, np.concatenate([cells.shard[node[near]], grp[whole]])[order]
+
+
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """The columns and the vectors of a batch, for each length of vector."""
+    vec = batch.column(batch.schema.get_field_index("vec"))
+    sizes = pc.list_value_length(vec).to_numpy(zero_copy_only=False)
+    rest = {f.name: batch.column(i).to_numpy(zero_copy_only=False) for i, f in enumerate(batch.schema) if f.name != "vec"}
+    for d in np.unique(sizes):
+        at = sizes == d
+        v = (vec if at.all() else vec.filter(pa.array(at))).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+        yield {k: c[at] for k, c in rest.items()}, v
+
+
+def _looked_up(shard: np.ndarray, large: np.ndarray, values: np.ndarray, other) -> np.ndarray:
+    if not len(large):
+        return np.full(shard.shape, other, values.dtype)
+    at = np.minimum(np.searchsorted(large, shard), len(large) - 1)
+    return np.where(large[at] == shard, values[at], other)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The rows of a structured array, or of a matrix, as binary values."""
+    rows = np.ascontiguousarray(rows)
+    ends = np.arange(len(rows) + 1, dtype=np.int64) * (rows.nbytes // max(1, len(rows)))
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(rows)])
+
+
+def _counter(shared):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rest, v in _by_length(batch):
+                shard, n = np.unique(_shards_of(shared.value, rest["grp"], _unit(v))[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(n)], ["shard", "n"])
+
+    return count
+
+
+def _sampler(shared):
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = shared.value
+        for batch in batches:
+            for rest, v in _by_length(batch):
+                x = _unit(v)
+                row, _, shard = _shards_of(places, rest["grp"], x)
+                at = rest["u"][row] < _looked_up(shard, places.large, places.rate, 0.0)
+                row, shard = row[at], shard[at]
+                k = _looked_up(shard, places.large, places.split, 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard), pa.array(k), pa.array(rest["cls"][row]), _binary(x[row].astype(np.float32))],
+                    ["shard", "k", "cls", "vec"])
+
+    return sample
+
+
+def _centres(rows: pa.Table) -> pa.Table:
+    shard, k = rows["shard"][0].as_py(), rows["k"][0].as_py()
+    x = np.frombuffer(b"".join(rows["vec"].to_pylist()), np.float32).reshape(rows.num_rows, -1)
+    x = _unit(x[np.argsort(rows["cls"].to_numpy(), kind="stable")])
     rng = np.random.default_rng(len(x))
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
     for _ in range(ROUNDS):
         own = np.argmax(x @ c.T, axis=1)
-        sums = np.zeros_like(c)
-        np.add.at(sums, own, x)
+        sums = (own == np.arange(len(c))[:, None]).astype(np.float64) @ x
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
         c = np.where(norm > 1e-9, sums / np.maximum(norm, 1e-9), c)
-    return pd.DataFrame({"shard": rows["shard"].iloc[0], "centres": [c.ravel().tolist()], "k": len(c)})
-
-
-def _deal(own: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
-    if not len(own):
-        return pd.DataFrame(columns=["cls", "shard", "home"])
-    if not len(centres):
-        return own[["cls", "shard", "home"]]
-    x = _unit(own["vec"])
-    c = np.array(centres["centres"].iloc[0]).reshape(int(centres["k"].iloc[0]), -1)
-    sims = x @ c.T
-    first = np.argsort(-sims, axis=1, kind="stable")[:, :OVERLAP]
-    near = np.take_along_axis(sims, first, axis=1) >= sims.max(axis=1, keepdims=True) - MARGIN
-    row, rank = np.nonzero(near)
-    shard = own["shard"].to_numpy()[row] * 1_000_003 + first[row, rank] + 1  # wraps: a hash of the path
-    return pd.DataFrame({"cls": own["cls"].to_numpy()[row], "shard": shard,
-                         "home": own["home"].to_numpy()[row] & (rank == 0)})
-
-
-def cluster_shards(classes: DataFrame) -> DataFrame:
-    """``(cls, shard, home)`` for ``classes (cls, grp, vec)``: the shards of every
-    vector, one of them its home."""
-    place = staged(classes.select("cls", F.col("grp").alias("shard"), F.lit(True).alias("home")), "shards")
-    done = None
-    for level in range(LEVELS):
-        sizes = place.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-        large = staged(sizes.where(F.col("n") > SHARD), "large")
-        if large.isEmpty():
-            break
+    c = c[np.sort(np.unique(c.round(6), axis=0, return_index=True)[1])].astype(np.float32)
+    return pa.table({"shard": [shard], "k": [len(c)], "dims": [x.shape[1]], "centres": [c.tobytes()]})
+
+
+def cluster_shards(classes: DataFrame) -> Places:
+    """The places of ``classes (cls, grp, vec)``: the shards of every vector follow
+    from them, and the first is its home."""
+    context = classes.sparkSession.sparkContext
+    places = Places({}, *(np.zeros(0, t) for t in (np.int64, np.int64, np.float64, np.int64)))
+    sizes, whole = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), set()
+    for level in range(LEVELS + 1):
+        large = sorted((s, n) for s, n in sizes.where(F.col("n") > SHARD).collect())
+        shard, n = np.array(large, np.int64).reshape(-1, 2).T
         # so many centres that the shards with their overlap are small enough at
-        # once: each further level would multiply the overlap
-        k = F.least(F.lit(FANOUT), F.greatest(F.lit(2), F.ceil(F.col("n") * OVERLAP / (0.6 * SHARD)))).cast("int")
-        large = large.withColumn("k", k)
-        small_ = place.join(large.select("shard"), "shard", "left_anti")
-        done = small_ if done is None else done.unionByName(small_)
-        at = place.join(large, "shard").join(classes.select("cls", "vec"), "cls")
-        u = F.pmod(F.xxhash64("cls", F.lit(level)), F.lit(1 << 30)) / float(1 << 30)
-        sample = at.where(u < SAMPLED * F.col("k") / F.col("n")).select("shard", "k", "vec")
-        centres = staged(sample.groupBy("shard").applyInPandas(_centres, "shard bigint, centres array<double>, k int"), "centres")
-        salts = F.ceil(F.col("n") / 4096).cast("int")
-        left = at.withColumn("salt", F.pmod(F.xxhash64("cls"), salts).cast("int"))
-        right = centres.join(large.select("shard", "n"), "shard").withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), salts - 1))).select("shard", "salt", "centres", "k")
-        place = staged(left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInPandas(
-            lambda a, b: _deal(a, b), "cls bigint, shard bigint, home boolean"), "shards")
-        # a vector that two paths take to one shard is there once
-        place = staged(place.groupBy("cls", "shard").agg(F.max("home").alias("home")), "shards")
-    return place if done is None else staged(done.unionByName(place), "shards")
+        # once; members of a shard that was split have their overlap already
+        split = np.clip(np.ceil(n * (1.3 if level else OVERLAP) / (0.6 * SHARD)).astype(np.int64), 2, FANOUT)
+        places = Places(places.cells, shard, split, SAMPLED * split / n, -(-n // (2 * SHARD)))
+        open_ = [s for s, _ in large if s not in whole]
+        if not open_ or level == LEVELS:
+            return places
+        shared = context.broadcast(places._replace(rate=np.where(np.isin(shard, open_), places.rate, 0.0)))
+        u = (F.pmod(F.xxhash64("cls", F.lit(level)), F.lit(1 << 30)) / float(1 << 30)).alias("u")
+        drawn = classes.select("cls", "grp", "vec", u).where(F.col("u") < float(places.rate.max())).mapInArrow(
+            _sampler(shared), "shard bigint, k bigint, cls bigint, vec binary")
+        found: dict[int, list] = {}
+        for r in _settled(drawn.groupBy("shard").applyInArrow(
+                _centres, "shard bigint, k bigint, dims bigint, centres binary"), "centres").orderBy("shard").collect():
+            if r["k"] > 1:
+                found.setdefault(r["dims"], []).append((r["shard"], r["k"], bytes(r["centres"])))
+            else:  # nothing tells its members apart
+                whole.add(r["shard"])
+        shared.destroy()
+        places = places._replace(cells=places.cells | {
+            d: _grown(places.cells.get(d), d, new) for d, new in found.items()})
+        shared = context.broadcast(places)
+        sizes = _settled(classes.select("grp", "vec").mapInArrow(_counter(shared), "shard bigint, n bigint").groupBy(
+            "shard").agg(F.sum("n").alias("n")).where(F.col("n") > SHARD), "large")
+        shared.destroy()
+    return places
+
+
+def _member(dims: int, kind: str) -> np.dtype:
+    """A vector in a part.  ``places`` are its shards, the home first and again
+    where there are fewer, with the blocks each is worked off in; ``slot`` is
+    the shard of this part and ``x``, ``y`` are its blocks."""
+    return np.dtype([("cls", "<i8"), ("size", "<i8"), ("places", "<i8", (OVERLAP,)), ("blocks", "<i4", (OVERLAP,)),
+                     ("slot", "<i4"), ("x", "<i4"), ("y", "<i4"), ("vec", kind, (dims,))])
+
+
+def _part(shard: np.ndarray, x, y) -> np.ndarray:
+    """The key of the blocks ``x`` and ``y`` of a shard."""
+    return shard + (np.asarray(x, np.int64) << 42) + (np.asarray(y, np.int64) << 21)  # wraps
+
+
+def _dealer(shared, kind: str):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = shared.value
+        for batch in batches:
+            for rest, v in _by_length(batch):
+                row, rank, shard = _shards_of(places, rest["grp"], _unit(v))
+                to = np.repeat(shard[rank == 0][:, None], OVERLAP, axis=1)
+                to[row, rank] = shard
+                m = np.zeros(len(row), _member(v.shape[1], kind))
+                m["cls"], m["size"], m["vec"] = rest["cls"][row], rest["size"][row], v[row]
+                m["places"], m["slot"] = to[row], rank
+                m["blocks"] = _looked_up(m["places"], places.large, places.blocks, 1)
+                blocks = m["blocks"][np.arange(len(m)), rank]
+                own, m = np.repeat(m["cls"] % blocks, blocks), np.repeat(m, blocks)
+                other = np.arange(len(m)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                m["x"], m["y"] = np.minimum(own, other), np.maximum(own, other)
+                part = _part(m["places"][np.arange(len(m)), m["slot"]], m["x"], m["y"])
+                yield pa.RecordBatch.from_arrays([pa.array(part), _binary(m)], ["part", "body"])
+
+    return deal
 
 
 def robust_pruned(x: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
-    """Edges ``(i, j)`` of the robust-pruned graph over unit vectors."""
+    """Adjacency (symmetric) of the robust-pruned graph over unit vectors."""
     n = len(x)
+    near = np.zeros((n, n), bool)
     if n < 2:
-        return np.zeros((0, 2), np.int64)
+        return near
     d = np.sqrt(np.maximum(2 - 2 * (x @ x.T), 0)).astype(np.float32)
+    far, own = alpha * d, d
     left = d.copy()  # candidates still open, inf once chosen or dropped
     np.fill_diagonal(left, np.inf)
-    rows, out = np.arange(n), []
-    while len(rows):
+    rows, drop, between = np.arange(n), np.empty((n, n), bool), np.empty_like(d)
+    while True:
         p = np.argmin(left, axis=1)
-        open_ = np.isfinite(left[np.arange(len(rows)), p])
-        rows, left, p = rows[open_], left[open_], p[open_]
-        if not len(rows):
-            break
-        out.append(np.stack([rows, p], axis=1))
-        left[alpha * d[p] <= d[rows]] = np.inf
+        open_ = left[np.arange(len(rows)), p] < np.inf
+        if not open_.any():
+            return near | near.T
+        near[rows[open_], p[open_]] = True
+        if open_.mean() < 0.8:
+            rows, left, own, p = rows[open_], left[open_], own[open_], p[open_]
+            drop, between = drop[: len(rows)], between[: len(rows)]
+        np.take(far, p, axis=0, out=between, mode="clip")
+        np.less_equal(between, own, out=drop)
+        np.putmask(left, drop, np.inf)
         left[np.arange(len(rows)), p] = np.inf
-    e = np.concatenate(out)
-    return np.unique(np.concatenate([e, e[:, ::-1]]), axis=0)
 
 
-def range_search(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, threshold: float, slack: float = SLACK) -> np.ndarray:
+def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, threshold: float, slack: float = SLACK) -> np.ndarray:
     """Pairs ``(query, node)`` with a cosine of ``threshold`` or more that the
-    graph search finds, for ``queries`` given as node numbers: all at once,
-    greedily from the medoid, then on through the nodes in range."""
-    n = len(x)
-    degree = np.bincount(edges[:, 0], minlength=n) if len(edges) else np.zeros(n, np.int64)
-    table = np.repeat(np.arange(n)[:, None], max(1, degree.max(initial=0)), axis=1)  # padded with the node itself
-    if len(edges):
-        e = edges[np.argsort(edges[:, 0], kind="stable")]
-        at = np.arange(len(e)) - np.repeat(np.r_[0, np.cumsum(degree)[:-1]], degree)
-        table[e[:, 0], at] = e[:, 1]
+    search of the graph ``near`` finds, for ``queries`` given as node numbers:
+    all at once, greedily from the medoid, then on through the nodes in range."""
+    n, all_sims = len(x), x @ x.T
     medoid = int(np.argmax(x @ x.mean(axis=0)))
+    weights = near.astype(np.float32)
     out = []
-    step = max(1, 4_000_000 // (table.shape[1] * x.shape[1]))
+    step = max(1, 4_000_000 // max(1, n))
     for lo in range(0, len(queries), step):
         q = queries[lo : lo + step]
-        cur, best = np.full(len(q), medoid), x[q] @ x[medoid]
+        sims = all_sims[q]
+        cur, best = np.full(len(q), medoid), sims[:, medoid].copy()
         moving = np.arange(len(q))
         while len(moving):
-            around = table[cur[moving]]
-            sims = np.einsum("qrd,qd->qr", x[around], x[q[moving]])
-            pick = np.argmax(sims, axis=1)
-            got = sims[np.arange(len(moving)), pick]
+            around = np.where(near[cur[moving]], sims[moving], -np.inf)
+            pick = np.argmax(around, axis=1)
+            got = around[np.arange(len(moving)), pick]
             better = got > best[moving] + 1e-12
             moving = moving[better]
-            cur[moving], best[moving] = around[better, pick[better]], got[better]
-        seen = np.zeros((len(q), n), bool)
-        hit = np.zeros((len(q), n), bool)
-        row, node = np.arange(len(q)), cur
-        seen[row, node] = True
-        while len(row):
-            sims = np.empty(len(row))
-            for a in range(0, len(row), 65_536):
-                b = a + 65_536
-                sims[a:b] = np.einsum("rd,rd->r", x[node[a:b]], x[q[row[a:b]]])
-            hit[row[sims >= threshold], node[sims >= threshold]] = True
-            go = sims >= threshold - slack
-            # the first node of a query is followed even if out of range
-            go |= node == cur[row]
-            fresh = np.zeros((len(q), n), bool)
-            for a in range(0, int(go.sum()), 65_536):
-                r, m = row[go][a : a + 65_536], node[go][a : a + 65_536]
-                fresh[r[:, None], table[m]] = True
-            fresh &= ~seen
-            seen |= fresh
-            row, node = np.nonzero(fresh)
-        r, m = np.nonzero(hit)
+            cur[moving], best[moving] = pick[better], got[better]
+        # the first node of a query is followed even if out of range
+        seen = near[cur]
+        seen[np.arange(len(q)), cur] = True
+        go = seen & (sims >= threshold - slack)
+        go[np.arange(len(q)), cur] = False
+        while go.any():
+            at = np.flatnonzero(go.any(axis=1))
+            fresh = (go[at].astype(np.float32) @ weights > 0) & ~seen[at]
+            seen[at] |= fresh
+            go = np.zeros_like(go)
+            go[at] = fresh & (sims[at] >= threshold - slack)
+        r, m = np.nonzero(seen & (sims >= threshold))
         out.append(np.stack([q[r], m], axis=1))
     found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
     return found[found[:, 0] != found[:, 1]]
 
 
-def _build(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    cls = rows["cls"].to_numpy()
-    e = robust_pruned(_unit(rows["vec"]))
-    cut = np.searchsorted(e[:, 0], np.arange(len(cls) + 1))
-    return pd.DataFrame({"cls": cls, "near": [cls[e[a:b, 1]] for a, b in zip(cut[:-1], cut[1:])]})
-
-
-def _finder(threshold: float):
-    def find(rows: pd.DataFrame) -> pd.DataFrame:
+def _members(rows: pa.Table, kind: str) -> np.ndarray:
+    """The members of a part by class."""
+    body = rows["body"].to_pylist()
+    m = np.frombuffer(b"".join(body), _member((len(body[0]) - _member(0, kind).itemsize) // np.dtype(kind).itemsize, kind))
+    return m[np.argsort(m["cls"], kind="stable")]
+
+
+def _builder(kind: str):
+    def build(rows: pa.Table) -> pa.Table:
+        """The graph of a part: for the part itself, and of the members that
+        another one has as well, for that one.  What a shard worked off in
+        blocks has found between members of one block goes to all its parts
+        with that block; shards tell each other of such pairs alone."""
+        m = _members(rows, kind)
+        near = robust_pruned(_unit(m["vec"]))
+        out = [(rows["part"][0].as_py(), b"", np.packbits(near).tobytes())]
+        x, slot = int(m["x"][0]), m["slot"]
+        if x == m["y"][0]:
+            row, to = np.nonzero((np.arange(OVERLAP) != slot[:, None])
+                                 & ((np.arange(OVERLAP) == 0) | (m["places"] != m["places"][:, :1])))
+            own = m["cls"][row] % m["blocks"][row, to]
+            part = _part(m["places"][row, to], own, own)
+            order = np.argsort(part, kind="stable")
+            row, part = row[order], part[order]
+            starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
+            told = [(int(part[a]), row[a:b]) for a, b in zip(starts, [*starts[1:], len(part)]) if b - a > 1]
+            here = m["places"][0, slot[0]][None]
+            told += [(int(_part(here, min(x, y), max(x, y))[0]), np.arange(len(m))) for y in range(m["blocks"][0, slot[0]]) if y != x]
+            for to_part, at in told:
+                some = near[np.ix_(at, at)]
+                if some.any():
+                    out.append((to_part, m["cls"][at].tobytes(), np.packbits(some).tobytes()))
+        return pa.table({k: pa.array(v, t) for k, v, t in zip(("part", "ids", "bits"), zip(*out), (pa.int64(), pa.binary(), pa.binary()))})
+
+    return build
+
+
+def _finder(threshold: float, kind: str):
+    def find(rows: pa.Table, graphs: pa.Table) -> pa.Table:
         """Rows ``(a, b, n)``: link counts of ``a`` (b null), and links that span
         the components (n null).
 
@@ -197,21 +426,17 @@ def _finder(threshold: float):
         vector at home elsewhere counts for the one at home here, and for the
         other one as well if its home does not have the first, so that no list
         of pairs is needed to count every link once on either side."""
-        cls, size = rows["cls"].to_numpy(), rows["size"].to_numpy()
-        place = rows["place"].to_numpy()
-        most = max(map(len, rows["places"]))
-        places = np.array([[*p, *[p[0]] * (most - len(p))] for p in rows["places"]], np.int64)
-        home, block = rows["home"].to_numpy(), rows["own"].to_numpy()
-        across = rows["x"].iloc[0] != rows["y"].iloc[0]
-        x = _unit(rows["vec"])
-        order = np.argsort(cls, kind="stable")
-        ends = np.repeat(np.arange(len(cls)), [len(v) for v in rows["near"]])
-        ids = np.concatenate([np.asarray(v, np.int64) for v in rows["near"]]) if len(ends) else np.zeros(0, np.int64)
-        pos = np.minimum(np.searchsorted(cls[order], ids), len(cls) - 1)
-        here = cls[order][pos] == ids
-        edges = np.unique(np.stack([ends[here], order[pos[here]]], axis=1), axis=0)
-        pairs = range_search(x, edges, np.flatnonzero(home), threshold)
-        if across:
+        m = _members(rows, kind)
+        cls, size, places = m["cls"], m["size"], m["places"]
+        home, place = m["slot"] == 0, m["places"][:, 0]
+        block = cls % m["blocks"][np.arange(len(m)), m["slot"]]
+        near = np.zeros((len(m), len(m)), bool)
+        for ids, bits in zip(graphs["ids"].to_pylist(), graphs["bits"].to_pylist()):
+            at = np.searchsorted(cls, np.frombuffer(ids, np.int64)) if ids else np.arange(len(m))
+            n = len(at)
+            near[np.ix_(at, at)] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=n * n).reshape(n, n).astype(bool)
+        pairs = range_search(_unit(m["vec"]), near, np.flatnonzero(home), threshold)
+        if m["x"][0] != m["y"][0]:
             pairs = pairs[block[pairs[:, 0]] != block[pairs[:, 1]]]
         inner = pairs[home[pairs[:, 1]]]
         inner = np.unique(np.concatenate([inner, inner[:, ::-1]]), axis=0)
@@ -221,16 +446,21 @@ def _finder(threshold: float):
         counts = np.bincount(links[:, 0], weights=size[links[:, 1]], minlength=len(cls)).astype(np.int64)
         at = np.flatnonzero(counts)
         root = np.arange(len(cls))
-        span = []
-        for i, j in np.concatenate([inner[inner[:, 0] < inner[:, 1]], outer]):
-            if root[i] != root[j]:
-                span.append((cls[i], cls[j]))
-                root[root == root[j]] = root[i]
-        span = np.array(span, np.int64).reshape(-1, 2)
-        return pd.DataFrame({
-            "a": np.concatenate([cls[at], span[:, 0]]),
-            "b": pd.array([*[pd.NA] * len(at), *span[:, 1].tolist()], dtype="Int64"),
-            "n": pd.array([*counts[at].tolist(), *[pd.NA] * len(span)], dtype="Int64")})
+        i, j = np.concatenate([inner, outer]).T
+        while len(i):
+            low = root.copy()
+            np.minimum.at(low, i, root[j])
+            np.minimum.at(low, j, root[i])
+            low = low[low]
+            if (low == root).all():
+                break
+            root = low
+        joined = np.flatnonzero(root != np.arange(len(cls)))
+        none = pa.nulls
+        return pa.table({
+            "a": pa.array(np.concatenate([cls[at], cls[root[joined]]])),
+            "b": pa.concat_arrays([none(len(at), pa.int64()), pa.array(cls[joined])]),
+            "n": pa.concat_arrays([pa.array(counts[at]), none(len(joined), pa.int64())])})
 
     return find
 
@@ -252,24 +482,24 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("string").alias("label"),
                           F.transform("embedding", lambda x: x.cast(kind) + F.lit(0.0).cast(kind)).alias("vec"))
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & _usable(F.col("vec"))
-    cls = F.when(good, F.xxhash64("label", "vec"))
-    rows = staged(rows.select("vec_id", "label", F.when(good, F.col("vec")).alias("vec"), cls.alias("cls")), "vectors")
+    rows = rows.withColumn("cls", F.when(good, F.xxhash64("label", "vec")))
     classes = rows.where("cls is not null").groupBy("cls").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("vec").alias("vec"),
         F.first(F.xxhash64("label", F.size("vec"))).alias("grp"))
-    classes = staged(classes, "vector-classes")
-    shards = cluster_shards(classes)
-
-    sizes = shards.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / (2 * SHARD)).alias("blocks"))
-    own = shards.join(sizes, "shard").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
-        "shard", "cls", "home", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-    places = shards.groupBy("cls").agg(F.collect_set("shard").alias("places"), F.max(F.when(F.col("home"), F.col("shard"))).alias("place"))
-    dealt = dealt.join(classes.select("cls", "size", "vec").join(places, "cls"), "cls")
-    lists = dealt.groupBy("shard", "x", "y").applyInPandas(_build, "cls bigint, near array<bigint>")
-    united = staged(lists.groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    found = staged(dealt.join(united, "cls").groupBy("shard", "x", "y").applyInPandas(
-        _finder(threshold), "a bigint, b bigint, n bigint"), "found")
+    classes = _settled(classes, "vector-classes")
+    rows = _settled(rows.select("vec_id", "cls"), "vectors")
+    shared = vectors.sparkSession.sparkContext.broadcast(cluster_shards(classes))
+
+    body = "f4" if kind == "float" else "f8"
+    found, waves = None, max(1, round(classes.count() / WAVE))
+    for wave in range(waves):
+        mine = classes.where(F.pmod(F.xxhash64("grp"), F.lit(waves)) == wave)
+        dealt = mine.select("cls", "grp", "size", "vec").mapInArrow(_dealer(shared, body), "part bigint, body binary")
+        graphs = dealt.groupBy("part").applyInArrow(_builder(body), "part bigint, ids binary, bits binary")
+        links = _settled(dealt.groupBy("part").cogroup(graphs.groupBy("part")).applyInArrow(
+            _finder(threshold, body), "a bigint, b bigint, n bigint"), "found")
+        found = links if found is None else found.unionByName(links)
+    shared.destroy()
 
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
     comps = components(found.where("b is not null").select("a", "b"))

@@ -1,3 +1,7 @@
+import gc
+import os
+import time
+
 import numpy as np
 import pytest
 
@@ -94,3 +98,77 @@ def test_few_links_are_lost_between_shards(spark):
     rs = [(i, [float(v) for v in row], 0, "x", 1) for i, row in enumerate(x)]
     result = neighbours.near_vectors(spark.createDataFrame(rs, SCHEMA))
     assert 0.992 * 2 * n <= sum(h["n_links"] for h in got(result)) <= 2 * n
+
+
+def _disk(spark):
+    """Bytes of shuffle files and staged tables."""
+    sc = spark.sparkContext
+    local = sc._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    roots = [*local, sc.getCheckpointDir().removeprefix("file:")]
+    return sum(os.lstat(os.path.join(d, f)).st_size for r in roots for d, _, names in os.walk(r) for f in names)
+
+
+def test_disk_stays_within_the_input(spark, tmp_path, monkeypatch):
+    """Several levels of splitting, and all that the links need but the result."""
+    monkeypatch.setattr(neighbours, "SHARD", 100)
+    monkeypatch.setattr(neighbours, "FANOUT", 4)
+    x = np.random.default_rng(2).normal(size=(4000, 64))
+    rs = [(i, [float(v) for v in row], 0, "x", 1) for i, row in enumerate(np.float32(x))]
+    spark.createDataFrame(rs, SCHEMA).write.parquet(str(tmp_path / "vectors"))
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(2)
+    before = _disk(spark)
+    result = neighbours.near_vectors(spark.read.parquet(str(tmp_path / "vectors")))
+    for _ in range(20):  # shuffle files go in the background
+        if (left := _disk(spark) - before) < 2.5 * x.size * 4:
+            break
+        time.sleep(0.5)
+    assert left < 2.5 * x.size * 4
+    assert sum(h["n_links"] for h in got(result)) == 0
+
+
+def test_a_vector_goes_to_three_shards_in_all(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 60)
+    monkeypatch.setattr(neighbours, "FANOUT", 3)
+    x = neighbours._unit(np.random.default_rng(3).normal(size=(1500, 16)))
+    rs = [(i, 7 + i % 2, [float(v) for v in row]) for i, row in enumerate(x)]
+    places = neighbours.cluster_shards(spark.createDataFrame(rs, "cls bigint, grp bigint, vec array<double>"))
+    grp = np.arange(1500) % 2 + 7
+    row, rank, shard = neighbours._shards_of(places, grp, x)
+    assert max(places.cells[16].first) > 30 and set(places.blocks) <= {1}
+    assert sorted(row[rank == 0]) == list(range(1500)) and rank.max() == neighbours.OVERLAP - 1
+    assert len(set(zip(row, shard))) == len(row) and np.bincount(row).max() <= neighbours.OVERLAP
+    assert not set(shard[grp[row] == 7]) & set(shard[grp[row] == 8])
+    # a vector finds the same shards whatever it is asked together with
+    for some in np.array_split(np.random.default_rng(4).permutation(1500), 40):
+        r, k, s = neighbours._shards_of(places, grp[some], x[some])
+        assert set(zip(some[r], k, s)) == {(a, b, c) for a, b, c in zip(row, rank, shard) if a in set(some)}
+
+
+def test_graph_and_search_against_plain_loops():
+    x = neighbours._unit(np.random.default_rng(5).normal(size=(120, 6)))
+    d = np.sqrt(np.maximum(2 - 2 * (x @ x.T), 0)).astype(np.float32)
+    want = np.zeros((120, 120), bool)
+    for i in range(120):
+        left = [j for j in np.argsort(d[i], kind="stable") if j != i]
+        while left:
+            p = left.pop(0)
+            want[i, p] = want[p, i] = True
+            left = [j for j in left if neighbours.ALPHA * d[p, j] > d[i, j]]
+    near = neighbours.robust_pruned(x)
+    assert (near == want).all() and not near.diagonal().any() and not near.all()
+    queries = np.arange(0, 120, 2)
+    pairs = neighbours.range_search(x, near, queries, 0.9)
+    truth = {(q, j) for q in queries for j in range(120) if j != q and x[q] @ x[j] >= 0.9}
+    assert set(map(tuple, pairs)) <= truth and len(pairs) >= 0.9 * len(truth) > 20
+    assert len(neighbours.range_search(x, np.zeros_like(near), queries, 0.9)) < len(truth)
+    assert not neighbours.robust_pruned(x[:1]).any()
+
+
+def test_labels_in_waves(spark, monkeypatch):
+    rs = rows(300)
+    vectors = spark.createDataFrame(rs, SCHEMA)
+    whole = sorted(map(repr, got(neighbours.near_vectors(vectors))))
+    monkeypatch.setattr(neighbours, "WAVE", 90)
+    assert sorted(map(repr, got(neighbours.near_vectors(vectors)))) == whole
