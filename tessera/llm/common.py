@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessera.session import staging_path, table_path
+from tessera.session import forget_staged, staging_path, table_path
 
 #: A word of the contracts: a run of anything but ASCII white space.  In Python
 #: ``bytes.split()`` splits at exactly the same six characters.
@@ -50,6 +50,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folders of a :func:`staged` table (or a union of such) that
+    nothing reads any more."""
+    forget_staged(df.sparkSession, {f.rpartition("/")[0] for f in df.inputFiles()})
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -8,19 +8,21 @@ centres and, at the end, to those shards whose centre is about as near as the
 nearest: three at most, however often a shard was split.  In each shard every
 vector is joined with the neighbours that robust pruning leaves (a neighbour is
 dropped if an already chosen one is nearer to it by the factor ``ALPHA``); the
-adjacency of all shards is united by vector.  Every vector then searches the
-shard of its nearest centre: greedily from the medoid to itself, and on from
-there through all vectors in range.  Pairs found are verified in double
-precision.  :func:`audit_recall` compares link counts with brute force.
-
-Vectors are moved once to make classes and once, as ``OVERLAP`` copies at most,
-to their shards; both steps of the graph read that one exchange.  Adjacency
-moves as bits of pairs of members, and labels are worked off in waves.
+adjacency of all shards is united by vector.  Every vector then searches its
+shards, that of its nearest centre and the others: greedily from the medoid to
+itself, and on from there through all vectors in range.  Pairs found are
+verified in double precision and count in one of the shards that both are in.
+:func:`audit_recall` compares link counts with brute force.
+
+On disk are, at any time, the vectors once, the exchange of one wave of shards
+(vectors as ``OVERLAP`` copies at most, ``WAVES`` waves) and the adjacency, as
+bits of pairs of members.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -29,23 +31,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import components, staged
+from tessera.llm.common import components, discard, staged
 
 SHARD = 800
 FANOUT = 64
 #: Sampled vectors per centre, and rounds of k-means.
 SAMPLED, ROUNDS = 48, 8
 #: Levels of splitting; a shard that is still too large (vectors that no centre
-#: tells apart) is worked off in pairs of blocks.
-LEVELS = 6
+#: tells apart) is worked off in pairs of blocks, and so are the last ones that
+#: are, if that is up to this share of the classes.
+LEVELS, FEW = 6, 0.05
 ALPHA = 1.2
 #: A vector goes to centres whose cosine is at most this below the best one's,
 #: three at most; the search goes on through vectors so far below the threshold.
 MARGIN, OVERLAP, SLACK = 0.12, 3, 0.03
 #: Centres that a vector follows down the tree.
 BEAM = 2 * OVERLAP
-#: Classes per wave, about: whole labels, whose exchange is dropped with the wave.
-WAVE = 2_000_000
+#: Shards are worked off in so many waves, a power of two, from about so many
+#: classes per wave on.
+WAVES, WAVE = 4, 500_000
 
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -86,7 +90,7 @@ class Cells(NamedTuple):
     shard: np.ndarray  #: by node
     first: np.ndarray
     kids: np.ndarray
-    centres: np.ndarray
+    centres: np.ndarray  #: half precision: every task holds them
 
 
 class Places(NamedTuple):
@@ -102,21 +106,21 @@ class Places(NamedTuple):
 def _grown(cells: Cells | None, dims: int, found: list[tuple[int, int, bytes]]) -> Cells:
     """``cells`` with the centres found for some of its shards."""
     if cells is None:
-        cells = Cells({}, *(np.zeros(0, t) for t in (np.int64, np.int32, np.int32)), np.zeros((0, dims), np.float32))
+        cells = Cells({}, *(np.zeros(0, t) for t in (np.int64, np.int32, np.int32)), np.zeros((0, dims), np.float16))
     known = {s: i for i, s in enumerate(cells.shard.tolist())}
     fresh = [s for s, _, _ in found if s not in known]
     n = len(cells.shard)
     roots = cells.roots | {s: n + i for i, s in enumerate(fresh)}
     known |= {s: n + i for i, s in enumerate(fresh)}
     shard = [cells.shard, np.array(fresh, np.int64)]
-    centres = [cells.centres, np.zeros((len(fresh), dims), np.float32)]
+    centres = [cells.centres, np.zeros((len(fresh), dims), np.float16)]
     total = n + len(fresh) + sum(k for _, k, _ in found)
     first, kids = (np.concatenate([v, np.zeros(total - n, np.int32)]) for v in (cells.first, cells.kids))
     at = n + len(fresh)
     for s, k, c in found:
         first[known[s]], kids[known[s]] = at, k
         shard.append(np.int64(s) * np.ones(1, np.int64) * 1_000_003 + np.arange(1, k + 1))  # wraps: a hash of the path
-        centres.append(np.frombuffer(c, np.float32).reshape(k, dims))
+        centres.append(np.frombuffer(c, np.float16).reshape(k, dims))
         at += k
     return Cells(roots, np.concatenate(shard), first, kids, np.concatenate(centres))
 
@@ -133,12 +137,12 @@ def _children(cells: Cells, x: np.ndarray, row: np.ndarray, node: np.ndarray) ->
         cos = np.empty(len(rows), np.float32)
         for a in range(0, len(rows), 65_536):
             b = a + 65_536
-            cos[a:b] = np.einsum("rd,rd->r", x[rows[a:b]], cells.centres[to[a:b]])
+            cos[a:b] = np.einsum("rd,rd->r", x[rows[a:b]], cells.centres[to[a:b]].astype(np.float32))
         return rows, to, cos
     out = []
     for a, b in zip(starts, np.r_[starts[1:], len(row)]):
         at, k = cells.first[node[a]], cells.kids[node[a]]
-        cos = x[row[a:b]] @ cells.centres[at : at + k].T
+        cos = x[row[a:b]] @ cells.centres[at : at + k].astype(np.float32).T
         best = np.broadcast_to(np.arange(k), cos.shape)
         if k > BEAM:
             best = np.argpartition(-cos, BEAM - 1, axis=1)[:, :BEAM]
@@ -163,7 +167,7 @@ def _shards_of(places: Places, grp: np.ndarray, x: np.ndarray) -> tuple[np.ndarr
             break
         found = _children(cells, x, row[inner], node[inner])
         row, node, cos = (np.concatenate([a[~inner], b]) for a, b in zip((row, node, cos), found))
-        order = np.lexsort((node, -cos, row))
+        order = np.argsort(4.0 * row - cos, kind="stable")  # by row, the nearest first
         row, node, cos = row[order], node[order], cos[order]
         keep = np.arange(len(row)) - np.searchsorted(row, row) < BEAM
         row, node, cos = row[keep], node[keep], cos[keep]
@@ -177,11 +181,18 @@ def _shards_of(places: Places, grp: np.ndarray, x: np.ndarray) -> tuple[np.ndarr
     return row[order], rank, np.concatenate([cells.shard[node[near]], grp[whole]])[order]
 
 
+def _values(column: pa.Array) -> np.ndarray:
+    """A column of numbers, or of lists of one length as a matrix."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return column.to_numpy(zero_copy_only=False)
+
+
 def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
     """The columns and the vectors of a batch, for each length of vector."""
     vec = batch.column(batch.schema.get_field_index("vec"))
     sizes = pc.list_value_length(vec).to_numpy(zero_copy_only=False)
-    rest = {f.name: batch.column(i).to_numpy(zero_copy_only=False) for i, f in enumerate(batch.schema) if f.name != "vec"}
+    rest = {f.name: _values(batch.column(i)) for i, f in enumerate(batch.schema) if f.name != "vec"}
     for d in np.unique(sizes):
         at = sizes == d
         v = (vec if at.all() else vec.filter(pa.array(at))).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
@@ -195,6 +206,12 @@ def _looked_up(shard: np.ndarray, large: np.ndarray, values: np.ndarray, other)
     return np.where(large[at] == shard, values[at], other)
 
 
+def _lists(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(rows).ravel()))
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """The rows of a structured array, or of a matrix, as binary values."""
     rows = np.ascontiguousarray(rows)
@@ -240,7 +257,8 @@ def _centres(rows: pa.Table) -> pa.Table:
         sums = (own == np.arange(len(c))[:, None]).astype(np.float64) @ x
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
         c = np.where(norm > 1e-9, sums / np.maximum(norm, 1e-9), c)
-    c = c[np.sort(np.unique(c.round(6), axis=0, return_index=True)[1])].astype(np.float32)
+    c = c.astype(np.float16)
+    c = c[np.sort(np.unique(c.view(np.uint16), axis=0, return_index=True)[1])]
     return pa.table({"shard": [shard], "k": [len(c)], "dims": [x.shape[1]], "centres": [c.tobytes()]})
 
 
@@ -249,16 +267,18 @@ def cluster_shards(classes: DataFrame) -> Places:
     from them, and the first is its home."""
     context = classes.sparkSession.sparkContext
     places = Places({}, *(np.zeros(0, t) for t in (np.int64, np.int64, np.float64, np.int64)))
-    sizes, whole = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), set()
+    sizes, whole, total = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), set(), classes.count()
     for level in range(LEVELS + 1):
         large = sorted((s, n) for s, n in sizes.where(F.col("n") > SHARD).collect())
         shard, n = np.array(large, np.int64).reshape(-1, 2).T
         # so many centres that the shards with their overlap are small enough at
-        # once; members of a shard that was split have their overlap already
-        split = np.clip(np.ceil(n * (1.3 if level else OVERLAP) / (0.6 * SHARD)).astype(np.int64), 2, FANOUT)
+        # once, also if all of a vector's shards come from one; most members of a
+        # shard that was split have their overlap already
+        split = np.clip(np.ceil(n * (2 if level else OVERLAP) / (0.6 * SHARD)).astype(np.int64), 2, FANOUT)
         places = Places(places.cells, shard, split, SAMPLED * split / n, -(-n // (2 * SHARD)))
         open_ = [s for s, _ in large if s not in whole]
-        if not open_ or level == LEVELS:
+        few = (n * places.blocks).sum() <= total * FEW
+        if not open_ or level == LEVELS or few:
             return places
         shared = context.broadcast(places._replace(rate=np.where(np.isin(shard, open_), places.rate, 0.0)))
         u = (F.pmod(F.xxhash64("cls", F.lit(level)), F.lit(1 << 30)) / float(1 << 30)).alias("u")
@@ -290,23 +310,37 @@ def _member(dims: int, kind: str) -> np.dtype:
 
 
 def _part(shard: np.ndarray, x, y) -> np.ndarray:
-    """The key of the blocks ``x`` and ``y`` of a shard."""
+    """The key of the blocks ``x`` and ``y`` of a shard, in the shard's wave."""
     return shard + (np.asarray(x, np.int64) << 42) + (np.asarray(y, np.int64) << 21)  # wraps
 
 
-def _dealer(shared, kind: str):
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = shared.value
+def _placer(shared):
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rest, v in _by_length(batch):
-                row, rank, shard = _shards_of(places, rest["grp"], _unit(v))
+                row, rank, shard = _shards_of(shared.value, rest["grp"], _unit(v))
                 to = np.repeat(shard[rank == 0][:, None], OVERLAP, axis=1)
                 to[row, rank] = shard
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, (rest["cls"], rest["rep"], rest["size"])), _lists(to), _lists(v)],
+                    ["cls", "rep", "size", "places", "vec"])
+
+    return place
+
+
+def _dealer(shared, kind: str, waves: int, wave: int):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        large, blocks_of = shared.value.large, shared.value.blocks
+        for batch in batches:
+            for rest, v in _by_length(batch):
+                to = rest["places"]
+                slots = np.arange(OVERLAP)
+                row, slot = np.nonzero(((slots == 0) | (to != to[:, :1])) & (to & (waves - 1) == wave))
                 m = np.zeros(len(row), _member(v.shape[1], kind))
                 m["cls"], m["size"], m["vec"] = rest["cls"][row], rest["size"][row], v[row]
-                m["places"], m["slot"] = to[row], rank
-                m["blocks"] = _looked_up(m["places"], places.large, places.blocks, 1)
-                blocks = m["blocks"][np.arange(len(m)), rank]
+                m["places"], m["slot"] = to[row], slot
+                m["blocks"] = _looked_up(m["places"], large, blocks_of, 1)
+                blocks = m["blocks"][np.arange(len(m)), slot]
                 own, m = np.repeat(m["cls"] % blocks, blocks), np.repeat(m, blocks)
                 other = np.arange(len(m)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
                 m["x"], m["y"] = np.minimum(own, other), np.maximum(own, other)
@@ -322,24 +356,31 @@ def robust_pruned(x: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
     near = np.zeros((n, n), bool)
     if n < 2:
         return near
-    d = np.sqrt(np.maximum(2 - 2 * (x @ x.T), 0)).astype(np.float32)
-    far, own = alpha * d, d
-    left = d.copy()  # candidates still open, inf once chosen or dropped
+    d = x @ x.T
+    d *= -2
+    d += 2
+    d = np.sqrt(np.maximum(d, 0, out=d), out=d).astype(np.float32)
+    left = d.copy()  # candidates still open, above all distances once chosen or dropped
     np.fill_diagonal(left, np.inf)
-    rows, drop, between = np.arange(n), np.empty((n, n), bool), np.empty_like(d)
+    # scaled up, the difference of what is dropped is above all distances as well
+    far, scale = alpha * d, np.float32(2.0**100)
+    far, own = np.where(far > 0, np.nextafter(far, -np.float32(np.inf)), np.float32(-1)) * scale, d * scale
+    rows, gain = np.arange(n), np.empty_like(d)
     while True:
+        at = np.arange(len(rows))
         p = np.argmin(left, axis=1)
-        open_ = left[np.arange(len(rows)), p] < np.inf
-        if not open_.any():
+        open_ = left[at, p] < 4
+        count = np.count_nonzero(open_)
+        if not count:
             return near | near.T
         near[rows[open_], p[open_]] = True
-        if open_.mean() < 0.8:
-            rows, left, own, p = rows[open_], left[open_], own[open_], p[open_]
-            drop, between = drop[: len(rows)], between[: len(rows)]
-        np.take(far, p, axis=0, out=between, mode="clip")
-        np.less_equal(between, own, out=drop)
-        np.putmask(left, drop, np.inf)
-        left[np.arange(len(rows)), p] = np.inf
+        if count < 0.8 * len(rows):
+            rows, left, own, p, at = rows[open_], left[open_], own[open_], p[open_], at[:count]
+            gain = gain[:count]
+        np.take(far, p, axis=0, out=gain, mode="clip")
+        np.subtract(own, gain, out=gain)
+        np.maximum(left, gain, out=left)
+        left[at, p] = np.inf
 
 
 def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, threshold: float, slack: float = SLACK) -> np.ndarray:
@@ -422,31 +463,30 @@ def _finder(threshold: float, kind: str):
         """Rows ``(a, b, n)``: link counts of ``a`` (b null), and links that span
         the components (n null).
 
-        A link of two vectors at home here counts for both.  A link with a
-        vector at home elsewhere counts for the one at home here, and for the
-        other one as well if its home does not have the first, so that no list
-        of pairs is needed to count every link once on either side."""
+        A link counts, for both vectors, in the least of the shards that both
+        are in, so that no list of pairs is needed to count every link once."""
         m = _members(rows, kind)
         cls, size, places = m["cls"], m["size"], m["places"]
-        home, place = m["slot"] == 0, m["places"][:, 0]
+        here = places[np.arange(len(m)), m["slot"]]
         block = cls % m["blocks"][np.arange(len(m)), m["slot"]]
         near = np.zeros((len(m), len(m)), bool)
         for ids, bits in zip(graphs["ids"].to_pylist(), graphs["bits"].to_pylist()):
             at = np.searchsorted(cls, np.frombuffer(ids, np.int64)) if ids else np.arange(len(m))
             n = len(at)
             near[np.ix_(at, at)] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=n * n).reshape(n, n).astype(bool)
-        pairs = range_search(_unit(m["vec"]), near, np.flatnonzero(home), threshold)
+        pairs = range_search(_unit(m["vec"]), near, np.arange(len(m)), threshold)
         if m["x"][0] != m["y"][0]:
             pairs = pairs[block[pairs[:, 0]] != block[pairs[:, 1]]]
-        inner = pairs[home[pairs[:, 1]]]
-        inner = np.unique(np.concatenate([inner, inner[:, ::-1]]), axis=0)
-        outer = pairs[~home[pairs[:, 1]]]
-        unseen = outer[~(places[outer[:, 0]] == place[outer[:, 1]][:, None]).any(axis=1)]
-        links = np.concatenate([inner, outer, unseen[:, ::-1]])
+        pairs = np.unique(np.concatenate([pairs, pairs[:, ::-1]]), axis=0)
+        least = np.full(len(pairs), np.iinfo(np.int64).max)
+        for p in places.T:
+            both = (places[pairs[:, 1]] == p[pairs[:, 0]][:, None]).any(axis=1)
+            least = np.where(both, np.minimum(least, p[pairs[:, 0]]), least)
+        links = pairs[least == here[pairs[:, 0]]]
         counts = np.bincount(links[:, 0], weights=size[links[:, 1]], minlength=len(cls)).astype(np.int64)
         at = np.flatnonzero(counts)
         root = np.arange(len(cls))
-        i, j = np.concatenate([inner, outer]).T
+        i, j = pairs.T
         while len(i):
             low = root.copy()
             np.minimum.at(low, i, root[j])
@@ -489,24 +529,34 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     classes = _settled(classes, "vector-classes")
     rows = _settled(rows.select("vec_id", "cls"), "vectors")
     shared = vectors.sparkSession.sparkContext.broadcast(cluster_shards(classes))
+    placed = _settled(classes.mapInArrow(_placer(shared), f"cls bigint, rep bigint, size bigint, places array<bigint>, vec array<{kind}>"), "placed")
+    discard(classes)
 
     body = "f4" if kind == "float" else "f8"
-    found, waves = None, max(1, round(classes.count() / WAVE))
-    for wave in range(waves):
-        mine = classes.where(F.pmod(F.xxhash64("grp"), F.lit(waves)) == wave)
-        dealt = mine.select("cls", "grp", "size", "vec").mapInArrow(_dealer(shared, body), "part bigint, body binary")
-        graphs = dealt.groupBy("part").applyInArrow(_builder(body), "part bigint, ids binary, bits binary")
-        links = _settled(dealt.groupBy("part").cogroup(graphs.groupBy("part")).applyInArrow(
-            _finder(threshold, body), "a bigint, b bigint, n bigint"), "found")
-        found = links if found is None else found.unionByName(links)
+    waves = min(WAVES, 1 << (placed.count() // WAVE).bit_length())
+
+    def dealt(wave: int) -> DataFrame:
+        mine = F.exists("places", lambda s: s.bitwiseAND(F.lit(waves - 1)) == wave)
+        return placed.where(mine).select("cls", "size", "places", "vec").mapInArrow(
+            _dealer(shared, body, waves, wave), "part bigint, body binary").groupBy("part")
+
+    def united(name: str, tables) -> DataFrame:
+        return reduce(DataFrame.unionByName, [_settled(t, name) for t in tables])
+
+    graphs = united("graph", (dealt(w).applyInArrow(_builder(body), "part bigint, ids binary, bits binary") for w in range(waves)))
+    found = united("found", (dealt(w).cogroup(
+        graphs.where(F.col("part").bitwiseAND(F.lit(waves - 1)) == w).groupBy("part")).applyInArrow(
+        _finder(threshold, body), "a bigint, b bigint, n bigint") for w in range(waves)))
+    discard(graphs)
     shared.destroy()
 
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
     comps = components(found.where("b is not null").select("a", "b"))
-    known = classes.select("cls", "rep", "size").join(counts, F.col("cls") == F.col("a"), "left").join(
+    known = placed.select("cls", "rep", "size").join(counts, F.col("cls") == F.col("a"), "left").join(
         comps, F.col("cls") == F.col("node"), "left").select(
         "cls", "rep", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "cls").alias("comp"))
     known = staged(known, "vector-links")
+    discard(placed)
     smallest = known.groupBy("comp").agg(F.min("rep").alias("component_id"))
     known = known.join(smallest, "comp").select("cls", "n_links", "component_id")
     out = rows.select("vec_id", "cls").join(known, "cls", "left")

@@ -92,5 +92,15 @@ def remove_staged() -> None:
             return
 
 
+def forget_staged(spark: SparkSession, paths: set[str]) -> None:
+    """Delete folders that :func:`staging_path` handed out before the process ends."""
+    names = {p.rstrip("/").rpartition("/")[2] for p in paths}
+    for known in [x for x in _handed_out if x[1].rpartition("/")[2] in names]:
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(known[1])
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        _handed_out.remove(known)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
