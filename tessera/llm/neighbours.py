@@ -360,27 +360,33 @@ def robust_pruned(x: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
     d *= -2
     d += 2
     d = np.sqrt(np.maximum(d, 0, out=d), out=d).astype(np.float32)
-    left = d.copy()  # candidates still open, above all distances once chosen or dropped
-    np.fill_diagonal(left, np.inf)
-    # scaled up, the difference of what is dropped is above all distances as well
+    # scaled up, the difference of what is dropped is above all distances
     far, scale = alpha * d, np.float32(2.0**100)
-    far, own = np.where(far > 0, np.nextafter(far, -np.float32(np.inf)), np.float32(-1)) * scale, d * scale
-    rows, gain = np.arange(n), np.empty_like(d)
-    while True:
-        at = np.arange(len(rows))
-        p = np.argmin(left, axis=1)
-        open_ = left[at, p] < 4
-        count = np.count_nonzero(open_)
-        if not count:
-            return near | near.T
-        near[rows[open_], p[open_]] = True
-        if count < 0.8 * len(rows):
-            rows, left, own, p, at = rows[open_], left[open_], own[open_], p[open_], at[:count]
-            gain = gain[:count]
-        np.take(far, p, axis=0, out=gain, mode="clip")
-        np.subtract(own, gain, out=gain)
-        np.maximum(left, gain, out=left)
-        left[at, p] = np.inf
+    far = np.where(far > 0, np.nextafter(far, -np.float32(np.inf)), np.float32(-1)) * scale
+    step = max(16, 700_000 // n)  # rows at a time: their matrices stay small
+    for lo in range(0, n, step):
+        own = d[lo : lo + step]
+        rows = np.arange(lo, lo + len(own))
+        left = own.copy()  # candidates still open, above all distances once chosen or dropped
+        left[rows - lo, rows] = np.inf
+        own = own * scale
+        gain = np.empty_like(own)
+        while True:
+            at = np.arange(len(rows))
+            p = np.argmin(left, axis=1)
+            open_ = left[at, p] < 4
+            count = np.count_nonzero(open_)
+            if not count:
+                break
+            near[rows[open_], p[open_]] = True
+            if count < 0.8 * len(rows):
+                rows, left, own, p, at = rows[open_], left[open_], own[open_], p[open_], at[:count]
+                gain = gain[:count]
+            np.take(far, p, axis=0, out=gain, mode="clip")
+            np.subtract(own, gain, out=gain)
+            np.maximum(left, gain, out=left)
+            left[at, p] = np.inf
+    return near | near.T
 
 
 def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, threshold: float, slack: float = SLACK) -> np.ndarray:
@@ -428,6 +434,17 @@ def _members(rows: pa.Table, kind: str) -> np.ndarray:
     return m[np.argsort(m["cls"], kind="stable")]
 
 
+def _packed(near: np.ndarray) -> bytes:
+    """A symmetric adjacency as the bits of its lower triangle."""
+    return np.packbits(near[np.tri(len(near), k=-1, dtype=bool)]).tobytes()
+
+
+def _unpacked(bits: bytes, n: int) -> np.ndarray:
+    near = np.zeros((n, n), bool)
+    near[np.tri(n, k=-1, dtype=bool)] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n * (n - 1) // 2)
+    return near | near.T
+
+
 def _builder(kind: str):
     def build(rows: pa.Table) -> pa.Table:
         """The graph of a part: for the part itself, and of the members that
@@ -436,7 +453,7 @@ def _builder(kind: str):
         with that block; shards tell each other of such pairs alone."""
         m = _members(rows, kind)
         near = robust_pruned(_unit(m["vec"]))
-        out = [(rows["part"][0].as_py(), b"", np.packbits(near).tobytes())]
+        out = [(rows["part"][0].as_py(), b"", _packed(near))]
         x, slot = int(m["x"][0]), m["slot"]
         if x == m["y"][0]:
             row, to = np.nonzero((np.arange(OVERLAP) != slot[:, None])
@@ -452,7 +469,7 @@ def _builder(kind: str):
             for to_part, at in told:
                 some = near[np.ix_(at, at)]
                 if some.any():
-                    out.append((to_part, m["cls"][at].tobytes(), np.packbits(some).tobytes()))
+                    out.append((to_part, m["cls"][at].tobytes(), _packed(some)))
         return pa.table({k: pa.array(v, t) for k, v, t in zip(("part", "ids", "bits"), zip(*out), (pa.int64(), pa.binary(), pa.binary()))})
 
     return build
@@ -472,8 +489,7 @@ def _finder(threshold: float, kind: str):
         near = np.zeros((len(m), len(m)), bool)
         for ids, bits in zip(graphs["ids"].to_pylist(), graphs["bits"].to_pylist()):
             at = np.searchsorted(cls, np.frombuffer(ids, np.int64)) if ids else np.arange(len(m))
-            n = len(at)
-            near[np.ix_(at, at)] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=n * n).reshape(n, n).astype(bool)
+            near[np.ix_(at, at)] |= _unpacked(bits, len(at))
         pairs = range_search(_unit(m["vec"]), near, np.arange(len(m)), threshold)
         if m["x"][0] != m["y"][0]:
             pairs = pairs[block[pairs[:, 0]] != block[pairs[:, 1]]]

@@ -172,3 +172,11 @@ def test_labels_in_waves(spark, monkeypatch):
     whole = sorted(map(repr, got(neighbours.near_vectors(vectors))))
     monkeypatch.setattr(neighbours, "WAVE", 90)
     assert sorted(map(repr, got(neighbours.near_vectors(vectors)))) == whole
+
+
+def test_adjacency_as_bits():
+    for n in (1, 2, 3, 50):
+        near = np.random.default_rng(n).random((n, n)) < 0.4
+        near = (near | near.T) & ~np.eye(n, dtype=bool)
+        bits = neighbours._packed(near)
+        assert len(bits) == -(-n * (n - 1) // 16) and (neighbours._unpacked(bits, n) == near).all()
